@@ -1,5 +1,8 @@
 """Cleaning: de-duplicate, drop invalid amounts, fill, impute, clip, cast."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ FLOATS = [
     "customer_income",
 ]
 INTEGERS = ["is_international", "is_weekend", "transaction_hour"]
+MAX_BROADCAST_BRACKETS = 10_000
 
 
 def missing_mark(column: str) -> str:
@@ -60,16 +64,26 @@ def fill_city(df: DataFrame) -> DataFrame:
     return df.fillna({"city": S.UNKNOWN_CITY})
 
 
+def _attach(df: DataFrame, medians: DataFrame) -> DataFrame:
+    """Left join of bracket medians; broadcast when there are few, as for real ages."""
+    few = medians.limit(MAX_BROADCAST_BRACKETS + 1).collect()
+    if len(few) <= MAX_BROADCAST_BRACKETS:
+        small = df.sparkSession.createDataFrame(few, medians.schema)
+        return df.join(F.broadcast(small), "_bracket", "left")
+    return df.join(medians, "_bracket", "left")  # adaptive execution splits hot brackets
+
+
 def impute_income(
     df: DataFrame, *, rows: int | None = None, small: int = SMALL_GROUP
 ) -> DataFrame:
     """Fill income with the median of the age bracket, then with the overall median.
 
     Brackets come from the age as given, before clipping. The overall median is taken
-    after the first fill. Reads ``df`` several times: pass a stored table.
+    after the first fill. Reads two columns of ``df`` a few times: pass a stored table.
+    A missing bracket has no median, and matches none.
     """
-    age, income = F.col("customer_age"), F.col("customer_income")
-    keyed = df.withColumn("_bracket", X.bracket(age, S.AGE_BRACKET))
+    income = F.col("customer_income")
+    keyed = df.withColumn("_bracket", X.bracket(F.col("customer_age"), S.AGE_BRACKET))
     medians = exact_quantile(
         keyed.where(F.col("_bracket").isNotNull()),
         "customer_income",
@@ -79,16 +93,10 @@ def impute_income(
         rows=rows,
         small=small,
     )
-    # left to the planner: broadcast when the brackets are few, as ages always are;
-    # a null bracket never matches
-    filled = (
-        keyed.join(medians, "_bracket", "left")
-        .withColumn("customer_income", F.coalesce(income, F.col("_median")))
-        .select(*df.columns)
-    )
-    # A null can remain only where a bracket has no income at all, or an age is missing.
-    rest = filled.where(income.isNull()).limit(1).count()
-    if not rest:
+    joined = _attach(keyed, medians)
+    filled = joined.withColumn("customer_income", F.coalesce(income, "_median")).select(*df.columns)
+    # a null is left only where a bracket has no income at all, or an age is missing
+    if joined.where(income.isNull() & F.col("_median").isNull()).isEmpty():
         return filled
     overall = exact_quantile(filled, "customer_income", 0.5, rows=rows, small=small).first()[0]
     return filled if overall is None else filled.fillna({"customer_income": overall})
@@ -98,19 +106,25 @@ def clip_age(df: DataFrame) -> DataFrame:
     return df.withColumn("customer_age", X.clip(F.col("customer_age"), S.AGE_MIN, S.AGE_MAX))
 
 
+def check_integers(df: DataFrame) -> None:
+    """Raise when a column that must be an integer has missing values."""
+    tests = [F.max(F.col(c).isNull()).alias(c) for c in INTEGERS]
+    missing = reduce(or_, [F.col(c).isNull() for c in INTEGERS])
+    found = df.where(missing).agg(*tests).first()  # the test is pushed to the scan
+    bad = [c for c in INTEGERS if found[c]]
+    if bad:
+        raise ValueError(f"missing values in integer column(s): {', '.join(bad)}")
+
+
 def cast_types(df: DataFrame, lenient: bool = False) -> DataFrame:
     """Cast the four amounts to double and the three flags to bigint.
 
-    A missing flag raises when the row is read, unless ``lenient``.
+    Text that is no number raises, or becomes null when ``lenient``.
     """
-    casts = {c: F.col(c).cast("double") for c in FLOATS}
-    for c in INTEGERS:
-        if lenient:
-            casts[c] = F.col(c).try_cast("bigint")
-        else:
-            missing = F.raise_error(F.lit(f"missing value in {c}"))
-            casts[c] = F.when(F.col(c).isNull(), missing).otherwise(F.col(c).cast("bigint"))
-    return df.withColumns(casts)
+    kinds = {**dict.fromkeys(FLOATS, "double"), **dict.fromkeys(INTEGERS, "bigint")}
+    return df.withColumns(
+        {c: F.col(c).try_cast(k) if lenient else F.col(c).cast(k) for c, k in kinds.items()}
+    )
 
 
 def clean_distinct(
@@ -119,6 +133,8 @@ def clean_distinct(
     """The steps after de-duplication, over a stored table of distinct transactions."""
     columns = [c for c in distinct.columns if not c.startswith("_")]
     kept = fill_city(keep_positive(distinct.select(*columns)))
+    if not lenient:
+        check_integers(kept)
     filled = impute_income(kept, rows=rows, small=small)
     return cast_types(clip_age(filled), lenient)
 

@@ -36,6 +36,7 @@ NODE_SCHEMA = ", ".join(f"{c} {'double' if c == 'split' else 'bigint'}" for c in
 # Scaling digits kept in the model: sums of doubles may differ in their last digits
 # from run to run, the model must not.
 MOMENT_DIGITS = 9
+SCORE_CHUNK = 10_000  # rows scored at a time, so that their values stay in cache
 
 
 def path_constant(n: int) -> float:
@@ -146,39 +147,34 @@ class ForestModel:
     def raw_score(self, spark: SparkSession) -> Column:
         """Scoring expression over prepared rows: lower is more unusual."""
         shared = spark.sparkContext.broadcast(self._levels())
-        normal = path_constant(self.size)
+        normal, chunk = path_constant(self.size), SCORE_CHUNK
 
         @F.pandas_udf("double")
         def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             depth, feature, split, path = shared.value
-            trees = len(path)
+            levels = [slice(2**d - 1, 2 ** (d + 1) - 1) for d in range(depth)]
             for columns in batches:
-                n = len(columns[0])
-                values = np.concatenate([c.to_numpy(dtype=float) for c in columns])
-                total = np.zeros(n)
-                for start in range(0, n, 4096):  # keeps the working set in cache
-                    rows = np.arange(start, min(start + 4096, n))
-                    sum_here = np.zeros(len(rows))
-                    for t in range(trees):
-                        at = np.zeros(len(rows), dtype=np.int64)
-                        for level in range(depth):
-                            first = 2**level - 1
-                            last = 2 * first + 1
-                            if level == 0:
-                                x = values[feature[t, 0] * n + rows]
-                                at = (x > split[t, 0]).astype(np.int64)
-                                continue
-                            offset = feature[t, first:last].take(at) * n
-                            offset += rows
-                            right = values.take(offset) > split[t, first:last].take(at)
+                parts = []
+                for start in range(0, len(columns[0]), chunk):
+                    part = [c.iloc[start : start + chunk].to_numpy(dtype=float) for c in columns]
+                    values, n = np.concatenate(part), len(part[0])
+                    rows, total = np.arange(n), np.zeros(n)
+                    for t in range(len(path)):
+                        column_start = feature[t] * n
+                        at = np.zeros(n, dtype=np.int64)  # place among the level's nodes
+                        for level in levels:
+                            cell = column_start[level].take(at)
+                            cell += rows
+                            right = values.take(cell) > split[t, level].take(at)
                             at += at
                             at += right
-                        sum_here += path[t].take(at)
-                    total[start : start + len(rows)] = sum_here
+                        total += path[t].take(at)
+                    parts.append(total)
+                total = np.concatenate(parts) if parts else np.zeros(0)
                 if normal > 0:
-                    yield pd.Series(-np.exp2(-total / (trees * normal)))
+                    yield pd.Series(-np.exp2(-total / (len(path) * normal)))
                 else:
-                    yield pd.Series(np.full(n, -0.5))
+                    yield pd.Series(np.full(len(total), -0.5))
 
         return score(*[F.col(f"_x_{i}") for i in range(len(self.features))])
 

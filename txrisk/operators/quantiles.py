@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SMALL_GROUP = 1_000_000  # rows one task may rank
-MAX_LARGE_GROUPS = 50_000  # groups whose cut points the driver holds at once
+MAX_LARGE_GROUPS = 200_000  # groups whose cut points the driver holds at once
 GRID = 1000  # rank sketch: cut points offered per round
 ACCURACY = 20 * GRID
+SKETCH_ROWS = 4_000_000  # rows per group the sketch looks at, if there are more
 
 _GROUP = "_group"
 
@@ -71,8 +72,12 @@ def _match(values: DataFrame, bounds: DataFrame, by) -> DataFrame:
     return joined.where(_between(F.col("_v"), F.col("_lower"), F.col("_upper"))).drop(*keys)
 
 
-def _narrow(values: DataFrame, by, active) -> None:
-    """One round: move the cuts of the active ranks toward the wanted row."""
+def _cuts(values: DataFrame, by, active, sampled: bool = True) -> dict:
+    """Cut points on both sides of each active rank, from a rank sketch.
+
+    Large groups are sketched from a sample. A cut that misses the rank costs a round,
+    nothing else.
+    """
     grid = [i / GRID for i in range(GRID + 1)]
 
     def steps(r):
@@ -81,17 +86,27 @@ def _narrow(values: DataFrame, by, active) -> None:
 
     pick = [T.StructField("_lo", T.IntegerType()), T.StructField("_hi", T.IntegerType())]
     bounds = _bounds_frame(values, by, active, pick, steps)
+    share = SKETCH_ROWS / min(r.rows for _, r in active)
+    looked_at = values.sample(share, seed=0) if sampled and share < 1 else values
     sketch = (
-        _match(values, bounds, by)
+        _match(looked_at, bounds, by)
         .groupBy("_id", "_lo", "_hi")
-        .agg(F.percentile_approx("_v", grid, ACCURACY).alias("_cuts"))
+        .agg(F.percentile_approx("_v", grid, ACCURACY).alias("_points"))
         .select(
             "_id",
-            F.when(F.col("_lo") > 0, F.get("_cuts", F.col("_lo"))).alias("cut_lo"),
-            F.when(F.col("_hi") < GRID, F.get("_cuts", F.col("_hi"))).alias("cut_hi"),
+            F.when(F.col("_lo") > 0, F.get("_points", F.col("_lo"))).alias("lo"),
+            F.when(F.col("_hi") < GRID, F.get("_points", F.col("_hi"))).alias("hi"),
         )
     )
-    cuts = {row["_id"]: (row["cut_lo"], row["cut_hi"]) for row in sketch.collect()}
+    cuts = {row["_id"]: (row["lo"], row["hi"]) for row in sketch.collect()}
+    if sampled and len(cuts) < len(active):  # a group the sample missed
+        return _cuts(values, by, active, sampled=False)
+    return cuts
+
+
+def _narrow(values: DataFrame, by, active) -> None:
+    """One round: move the cuts of the active ranks toward the wanted row."""
+    cuts = _cuts(values, by, active)
 
     vtype = values.schema["_v"].dataType
     fields = [T.StructField("_cut_lo", vtype), T.StructField("_cut_hi", vtype)]
