@@ -77,8 +77,8 @@ def test_no_rows(spark):
 
 
 def test_a_cut_that_misses_the_rank_is_put_right():
-    rank = Q._Rank((0,), rank=10, rows=100)
-    Q._move(rank, 5.0, 6.0, 40, 1, 3, 1)  # rank lies under the lower cut
+    rank = Q._Rank(0, "v", rank=10, rows=100)
+    rank.move(5.0, 6.0, 40, 1, 3, 1)  # rank lies under the lower cut
     assert (rank.lower, rank.upper, rank.rows, rank.below) == (None, 5.0, 40, 0)
-    Q._move(rank, 1.0, 2.0, 1, 1, 3, 1)  # rank lies over the upper cut
+    rank.move(1.0, 2.0, 1, 1, 3, 1)  # rank lies over the upper cut
     assert (rank.lower, rank.upper, rank.rows, rank.below) == (2.0, 5.0, 34, 6)

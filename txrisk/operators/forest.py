@@ -74,7 +74,7 @@ def tree_grower(features, seed: int, cap: int):
             if depth >= cap or len(part) <= 1 or len(varying) == 0:
                 nodes.append((tree, node, -1, 0.0, -1, -1, len(part), depth))
                 continue
-            feature = int(random.choice(varying))
+            feature = int(varying[random.integers(len(varying))])
             split = float(random.uniform(low[feature], high[feature]))
             if split >= high[feature]:
                 split = float(low[feature])

@@ -8,12 +8,17 @@ which is then the answer, or strictly between the two, which hold a fraction of
 percent of the rows whatever the distribution and however often one value repeats.
 When few rows are left between the cuts they are ranked directly. The sketch only
 chooses where to cut; it never decides a result.
+
+Columns of a whole table are scanned with the cuts as literals, all columns in one
+aggregation. Groups meet their cuts in a broadcast join on the group.
 """
 
 import math
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,14 +28,16 @@ GRID = 1000  # rank sketch: cut points offered per round
 ACCURACY = 20 * GRID
 SKETCH_ROWS = 4_000_000  # rows per group the sketch looks at, if there are more
 
-_GROUP = "_group"
-
 
 @dataclass
 class _Rank:
-    """One wanted order statistic: the value at 0-based ``rank`` of a group."""
+    """One wanted order statistic: the value at 0-based ``rank`` of a group.
+
+    ``group`` is the group's key, or the column's name when columns are the groups.
+    """
 
-    group: tuple
+    id: int
+    group: object
     rank: int
     rows: int  # rows strictly between the cuts
     below: int = 0  # rows at or below the lower cut
@@ -39,142 +46,210 @@ class _Rank:
     value: float | None = None
     done: bool = False
 
+    def steps(self) -> tuple[int, int]:
+        """Grid points on both sides of the rank, one step apart from it."""
+        share = (self.rank - self.below) / self.rows
+        return int(math.floor(share * GRID)) - 1, int(math.ceil(share * GRID)) + 1
 
-def _with_group(df: DataFrame, by: list[str]) -> tuple[DataFrame, list[str]]:
-    if by:
-        return df, by
-    return df.withColumn(_GROUP, F.lit(0)), [_GROUP]
-
-
-def _between(value, lower, upper):
+    def move(self, lo, hi, under, on_lo, inside, on_hi) -> None:
+        """Place the rank among: under lo, on lo, inside, on hi, over hi."""
+        at = self.rank - self.below
+        if lo is not None and at < under:
+            self.upper, self.rows = lo, under
+        elif lo is not None and at < under + on_lo:
+            self.value, self.done = lo, True
+        elif at < under + on_lo + inside:
+            if lo is not None:
+                self.lower, self.below = lo, self.below + under + on_lo
+            if hi is not None:
+                self.upper = hi
+            self.rows = inside
+        elif at < under + on_lo + inside + on_hi:
+            self.value, self.done = hi, True
+        else:
+            passed = under + on_lo + inside + on_hi
+            self.lower, self.below, self.rows = hi, self.below + passed, self.rows - passed
+
+
+def _between(value: Column, lower: Column, upper: Column) -> Column:
     return (lower.isNull() | (value > lower)) & (upper.isNull() | (value < upper))
 
 
-def _bounds_frame(values: DataFrame, by, ranks, extra_fields, extra) -> DataFrame:
-    """The driver's cut points as a frame; at most two rows per large group."""
-    vtype = values.schema["_v"].dataType
-    fields = [values.schema[c] for c in by] + [
-        T.StructField("_id", T.IntegerType()),
-        T.StructField("_lower", vtype),
-        T.StructField("_upper", vtype),
-        *extra_fields,
-    ]
-    rows = [(*r.group, i, r.lower, r.upper, *extra(r)) for i, r in ranks]
-    return values.sparkSession.createDataFrame(rows, T.StructType(fields))
-
-
-def _match(values: DataFrame, bounds: DataFrame, by) -> DataFrame:
-    """Rows strictly between their group's cuts. ``bounds`` has a bounded row count."""
-    keys = [f"_k{i}" for i in range(len(by))]
-    renamed = bounds.withColumnsRenamed(dict(zip(by, keys, strict=True)))
-    same = [values[c].eqNullSafe(renamed[k]) for c, k in zip(by, keys, strict=True)]
-    joined = values.join(F.broadcast(renamed), same)
-    return joined.where(_between(F.col("_v"), F.col("_lower"), F.col("_upper"))).drop(*keys)
+def _tallies(v: Column, lo: Column, hi: Column, within: Column | None = None) -> dict:
+    """Exact counts of the rows under, on and between two cuts."""
+    tests = {
+        "under": v < lo,
+        "on_lo": v == lo,
+        "inside": _between(v, lo, hi),
+        "on_hi": (v == hi) & (lo.isNull() | (lo < hi)),
+    }
+    return {k: F.count_if(t if within is None else t & within) for k, t in tests.items()}
 
 
-def _cuts(values: DataFrame, by, active, sampled: bool = True) -> dict:
-    """Cut points on both sides of each active rank, from a rank sketch.
+def _points(v: Column) -> Column:
+    return F.percentile_approx(v, [i / GRID for i in range(GRID + 1)], ACCURACY)
 
-    Large groups are sketched from a sample. A cut that misses the rank costs a round,
-    nothing else.
-    """
-    grid = [i / GRID for i in range(GRID + 1)]
-
-    def steps(r):
-        share = (r.rank - r.below) / r.rows
-        return int(math.floor(share * GRID)) - 1, int(math.ceil(share * GRID)) + 1
 
-    pick = [T.StructField("_lo", T.IntegerType()), T.StructField("_hi", T.IntegerType())]
-    bounds = _bounds_frame(values, by, active, pick, steps)
-    share = SKETCH_ROWS / min(r.rows for _, r in active)
-    looked_at = values.sample(share, seed=0) if sampled and share < 1 else values
-    sketch = (
-        _match(looked_at, bounds, by)
-        .groupBy("_id", "_lo", "_hi")
-        .agg(F.percentile_approx("_v", grid, ACCURACY).alias("_points"))
-        .select(
-            "_id",
-            F.when(F.col("_lo") > 0, F.get("_points", F.col("_lo"))).alias("lo"),
-            F.when(F.col("_hi") < GRID, F.get("_points", F.col("_hi"))).alias("hi"),
-        )
-    )
-    cuts = {row["_id"]: (row["lo"], row["hi"]) for row in sketch.collect()}
-    if sampled and len(cuts) < len(active):  # a group the sample missed
-        return _cuts(values, by, active, sampled=False)
-    return cuts
-
-
-def _narrow(values: DataFrame, by, active) -> None:
-    """One round: move the cuts of the active ranks toward the wanted row."""
-    cuts = _cuts(values, by, active)
-
-    vtype = values.schema["_v"].dataType
-    fields = [T.StructField("_cut_lo", vtype), T.StructField("_cut_hi", vtype)]
-    numbered = dict(active)
-    ids = {id(r): i for i, r in active}
-    bounds = _bounds_frame(values, by, active, fields, lambda r: cuts[ids[id(r)]])
-    v, lo, hi = F.col("_v"), F.col("_cut_lo"), F.col("_cut_hi")
-    counts = (
-        _match(values, bounds, by)
-        .groupBy("_id")
-        .agg(
-            F.count_if(v < lo).alias("under"),
-            F.count_if(v == lo).alias("on_lo"),
-            F.count_if(_between(v, lo, hi)).alias("inside"),
-            F.count_if((v == hi) & (lo.isNull() | (lo < hi))).alias("on_hi"),
-        )
-    )
-    for row in counts.collect():
-        r = numbered[row["_id"]]
-        _move(r, *cuts[row["_id"]], row["under"], row["on_lo"], row["inside"], row["on_hi"])
-
-
-def _move(r: _Rank, lo, hi, under, on_lo, inside, on_hi) -> None:
-    """Place the rank among: under lo, on lo, inside, on hi, over hi."""
-    at = r.rank - r.below
-    if lo is not None and at < under:
-        r.upper, r.rows = lo, under
-    elif lo is not None and at < under + on_lo:
-        r.value, r.done = lo, True
-    elif at < under + on_lo + inside:
-        if lo is not None:
-            r.lower, r.below = lo, r.below + under + on_lo
-        if hi is not None:
-            r.upper = hi
-        r.rows = inside
-    elif at < under + on_lo + inside + on_hi:
-        r.value, r.done = hi, True
-    else:
-        passed = under + on_lo + inside + on_hi
-        r.lower, r.below, r.rows = hi, r.below + passed, r.rows - passed
-
-
-def _rank_rest(values: DataFrame, by, rest) -> None:
-    """Rank the few rows left between the cuts of each wanted row."""
-    need = [T.StructField("_need", T.LongType())]
-    bounds = _bounds_frame(values, by, rest, need, lambda r: (r.rank - r.below,))
-    counted = _match(values, bounds, by).groupBy("_id", "_need", "_v").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+def _ranked(inside: DataFrame) -> dict:
+    """Values at ``_need`` among the few ``_v`` of each ``_id``."""
+    counted = inside.groupBy("_id", "_need", "_v").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy("_id").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    need, end = F.col("_need"), F.col("_upto")
     hit = (
         counted.withColumn("_upto", F.sum("_n").over(upto))
-        .where((F.col("_upto") > F.col("_need")) & (F.col("_upto") - F.col("_n") <= F.col("_need")))
+        .where((end > need) & (end - F.col("_n") <= need))
         .select("_id", "_v")
     )
-    numbered = dict(rest)
-    for row in hit.collect():
-        numbered[row["_id"]].value, numbered[row["_id"]].done = row["_v"], True
+    return {row["_id"]: row["_v"] for row in hit.collect()}
+
+
+class _Columns:
+    """Scans for ranks of columns over the whole table."""
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+
+    def _range(self, r: _Rank) -> Column:
+        v, test = F.col(r.group), F.col(r.group).isNotNull()
+        if r.lower is not None:
+            test = test & (v > F.lit(r.lower))
+        return test if r.upper is None else test & (v < F.lit(r.upper))
+
+    def cuts(self, active, share) -> dict:
+        looked_at = self.df.sample(share, seed=0) if share < 1 else self.df
+        ranges = {(r.group, r.lower, r.upper): r for r in active}  # ranks may share one
+        names = {key: f"_p{i}" for i, key in enumerate(ranges)}
+        sketches = [
+            _points(F.when(self._range(r), F.col(r.group))).alias(names[key])
+            for key, r in ranges.items()
+        ]
+        row = looked_at.agg(*sketches).first()
+        out = {}
+        for r in active:
+            points = row[names[(r.group, r.lower, r.upper)]]
+            lo, hi = r.steps()
+            if points is not None:
+                out[r.id] = (points[lo] if lo > 0 else None, points[hi] if hi < GRID else None)
+        return out
+
+    def counts(self, active, cuts) -> dict:
+        aggs = []
+        for r in active:
+            v = F.col(r.group)
+            lo, hi = (F.lit(c).cast(self.df.schema[r.group].dataType) for c in cuts[r.id])
+            tallies = _tallies(v, lo, hi, self._range(r))
+            aggs += [c.alias(f"{name}_{r.id}") for name, c in tallies.items()]
+        row = self.df.agg(*aggs).first()
+        names = ("under", "on_lo", "inside", "on_hi")
+        return {r.id: tuple(row[f"{name}_{r.id}"] for name in names) for r in active}
+
+    def rest(self, ranks) -> dict:
+        kept = self.df.where(reduce(or_, [self._range(r) for r in ranks]))
+        found = [
+            F.when(
+                self._range(r),
+                F.struct(
+                    F.lit(r.id).alias("_id"),
+                    F.lit(r.rank - r.below).cast("bigint").alias("_need"),
+                    F.col(r.group).cast("double" if self._mixed(ranks) else self._kind(r)).alias("_v"),
+                ),
+            )
+            for r in ranks
+        ]
+        hits = kept.select(F.explode(F.array(*found)).alias("_hit")).where(F.col("_hit").isNotNull())
+        return _ranked(hits.select("_hit.*"))
+
+    def _kind(self, r):
+        return self.df.schema[r.group].dataType
+
+    def _mixed(self, ranks):
+        return len({self._kind(r).simpleString() for r in ranks}) > 1
+
+
+class _Groups:
+    """Scans for ranks of the column ``_v`` within groups of the columns ``by``."""
+
+    def __init__(self, values: DataFrame, by: list[str]):
+        self.values, self.by = values, by
+
+    def _bounds(self, ranks, extra_fields, extra) -> DataFrame:
+        """Cut points as a frame: at most two rows per large group."""
+        kind = self.values.schema["_v"].dataType
+        fields = [
+            *[T.StructField(f"_k{i}", self.values.schema[c].dataType) for i, c in enumerate(self.by)],
+            T.StructField("_id", T.IntegerType()),
+            T.StructField("_lower", kind),
+            T.StructField("_upper", kind),
+            *extra_fields,
+        ]
+        rows = [(*r.group, r.id, r.lower, r.upper, *extra(r)) for r in ranks]
+        return self.values.sparkSession.createDataFrame(rows, T.StructType(fields))
+
+    def _match(self, values: DataFrame, bounds: DataFrame) -> DataFrame:
+        """Rows strictly between their group's cuts; the bounds are few by design."""
+        same = [values[c].eqNullSafe(bounds[f"_k{i}"]) for i, c in enumerate(self.by)]
+        joined = values.join(F.broadcast(bounds), same)
+        return joined.where(_between(F.col("_v"), F.col("_lower"), F.col("_upper")))
+
+    def cuts(self, active, share) -> dict:
+        looked_at = self.values.sample(share, seed=0) if share < 1 else self.values
+        pick = [T.StructField("_lo", T.IntegerType()), T.StructField("_hi", T.IntegerType())]
+        lo, hi = F.col("_lo"), F.col("_hi")
+        sketch = (
+            self._match(looked_at, self._bounds(active, pick, _Rank.steps))
+            .groupBy("_id", "_lo", "_hi")
+            .agg(_points(F.col("_v")).alias("_points"))
+            .select(
+                "_id",
+                F.when(lo > 0, F.get("_points", lo)).alias("lo"),
+                F.when(hi < GRID, F.get("_points", hi)).alias("hi"),
+            )
+        )
+        return {row["_id"]: (row["lo"], row["hi"]) for row in sketch.collect()}
 
+    def counts(self, active, cuts) -> dict:
+        kind = self.values.schema["_v"].dataType
+        fields = [T.StructField("_cut_lo", kind), T.StructField("_cut_hi", kind)]
+        matched = self._match(self.values, self._bounds(active, fields, lambda r: cuts[r.id]))
+        tallies = _tallies(F.col("_v"), F.col("_cut_lo"), F.col("_cut_hi"))
+        counted = matched.groupBy("_id").agg(*[c.alias(name) for name, c in tallies.items()])
+        return {row["_id"]: tuple(row)[1:] for row in counted.collect()}
 
-def _resolve(values: DataFrame, by, ranks: list[_Rank], small: int) -> None:
-    active = [(i, r) for i, r in enumerate(ranks) if r.rows > small]
+    def rest(self, ranks) -> dict:
+        need = [T.StructField("_need", T.LongType())]
+        bounds = self._bounds(ranks, need, lambda r: (r.rank - r.below,))
+        return _ranked(self._match(self.values, bounds).select("_id", "_need", "_v"))
+
+
+def _resolve(scans, ranks: list[_Rank], small: int) -> None:
+    """Find the value of every rank."""
+    active = [r for r in ranks if r.rows > small]
     while active:
-        _narrow(values, by, active)
-        active = [(i, r) for i, r in active if not r.done and r.rows > small]
-    rest = [(i, r) for i, r in enumerate(ranks) if not r.done]
-    if rest:
-        _rank_rest(values, by, rest)
+        share = SKETCH_ROWS / min(r.rows for r in active)
+        cuts = scans.cuts(active, share)
+        if len(cuts) < len(active):  # a group the sample missed
+            cuts = scans.cuts(active, 1.0)
+        counts = scans.counts(active, cuts)
+        for r in active:
+            r.move(*cuts[r.id], *counts[r.id])
+        active = [r for r in active if not r.done and r.rows > small]
+    rest = [r for r in ranks if not r.done]
+    found = scans.rest(rest) if rest else {}
+    for r in rest:
+        r.value, r.done = found[r.id], True
+
+
+def _pairs(sizes: dict, q: float) -> tuple[list[_Rank], dict]:
+    """The two ranks on both sides of quantile ``q`` of each group, by group size."""
+    ranks, pairs = [], {}
+    for group, n in sizes.items():
+        position = q * (n - 1)
+        first = min(int(math.floor(position)), n - 1)
+        low = _Rank(len(ranks), group, first, n)
+        high = _Rank(len(ranks) + 1, group, min(first + 1, n - 1), n)
+        ranks += [low, high]
+        pairs[group] = (low, high, position - first)
+    return ranks, pairs
 
 
 def _interpolate(low: _Rank, high: _Rank, part: float) -> float:
@@ -185,11 +260,28 @@ def _interpolate(low: _Rank, high: _Rank, part: float) -> float:
 
 def nth_smallest(df: DataFrame, value: str, rank: int, rows: int, small=SMALL_GROUP):
     """The value at 0-based ``rank`` among the ``rows`` non-null values of a column."""
-    values = df.select(F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    values, by = _with_group(values, [])
-    wanted = [_Rank((0,), rank, rows)]
-    _resolve(values, by, wanted, small)
-    return wanted[0].value
+    wanted = _Rank(0, value, rank, rows)
+    _resolve(_Columns(df.select(value)), [wanted], small)
+    return wanted.value
+
+
+def column_quantiles(df: DataFrame, columns, q: float, *, rows=None, small=SMALL_GROUP) -> dict:
+    """Quantile of each column over the whole table, as a dict of column to double.
+
+    ``rows`` is an upper bound of the row count, when the caller knows one. A small table
+    takes one aggregation; a larger one a few scans of these columns, each serving all.
+    """
+    columns = list(columns)
+    values = df.select(*columns)
+    if rows is None:
+        rows = values.count()
+    if rows <= small:
+        return values.agg(*[F.percentile(c, q).alias(c) for c in columns]).first().asDict()
+    sizes = values.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    ranks, pairs = _pairs({c: n for c, n in sizes.items() if n}, q)
+    if ranks:
+        _resolve(_Columns(values), ranks, small)
+    return {c: _interpolate(*pairs[c]) if c in pairs else None for c in columns}
 
 
 def exact_quantile(
@@ -210,56 +302,30 @@ def exact_quantile(
     ``df`` should be a stored table then, since it is read several times.
     """
     by = list(by)
-    values = df.select(*by, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+    values = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     if rows is None:
         rows = values.count()
     out = F.percentile("_v", q).alias(name)
+    if not by:
+        if rows <= small:
+            return values.agg(out)
+        found = column_quantiles(values, ["_v"], q, rows=rows, small=small)["_v"]
+        return df.sparkSession.createDataFrame([(found,)], f"`{name}` double")
     if rows <= small:
-        return values.groupBy(*by).agg(out) if by else values.agg(out)
+        return values.groupBy(*by).agg(out)
 
-    values, keys = _with_group(values, by)
     small = max(small, rows // MAX_LARGE_GROUPS)
-    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.where(F.col("_n") > small).collect()  # at most MAX_LARGE_GROUPS rows
-    wanted, results = [], []
-    for row in large:
-        group, n = tuple(row[c] for c in keys), row["_n"]
-        position = q * (n - 1)
-        first = min(int(math.floor(position)), n - 1)
-        pair = [_Rank(group, first, n), _Rank(group, min(first + 1, n - 1), n)]
-        wanted += pair
-        results.append((group, pair, position - first))
-    _resolve(values, keys, wanted, small)
+    sizes = values.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > small)
+    large = {tuple(row[c] for c in by): row["_n"] for row in sizes.collect()}
+    ranks, pairs = _pairs(large, q)  # at most MAX_LARGE_GROUPS groups
+    _resolve(_Groups(values, by), ranks, small)
 
-    fields = [values.schema[c] for c in keys] + [T.StructField(name, T.DoubleType())]
+    fields = [T.StructField(c, values.schema[c].dataType) for c in by]
     found = df.sparkSession.createDataFrame(
-        [(*group, _interpolate(*pair, part)) for group, pair, part in results],
-        T.StructType(fields),
+        [(*group, _interpolate(*pair)) for group, pair in pairs.items()],
+        T.StructType([*fields, T.StructField(name, T.DoubleType())]),
     )
-    if not by:
-        if large:
-            return found.drop(_GROUP)
-        return values.agg(out)
-    marks = found.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)])
-    same = [values[c].eqNullSafe(marks[f"_k{i}"]) for i, c in enumerate(keys)]
-    others = values.join(F.broadcast(marks), same, "left_anti").groupBy(*keys).agg(out)
+    marks = found.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)])
+    same = [values[c].eqNullSafe(marks[f"_k{i}"]) for i, c in enumerate(by)]
+    others = values.join(F.broadcast(marks), same, "left_anti").groupBy(*by).agg(out)
     return others.unionByName(found)
-
-
-def column_quantiles(df: DataFrame, columns, q: float, *, rows=None, small=SMALL_GROUP) -> dict:
-    """Quantile of each column over the whole table, as a dict of column to double.
-
-    Small tables take one aggregation. Larger ones are read in long form, so the
-    columns are the groups and every scan serves all of them.
-    """
-    columns = list(columns)
-    if rows is None:
-        rows = df.count()
-    if rows <= small:
-        row = df.agg(*[F.percentile(c, q).alias(c) for c in columns]).first()
-        return row.asDict()
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = doubles.unpivot([], columns, "_column", "_value")
-    found = exact_quantile(long, "_value", q, ["_column"], rows=rows * len(columns), small=small)
-    got = {row["_column"]: row["quantile"] for row in found.collect()}
-    return {c: got.get(c) for c in columns}

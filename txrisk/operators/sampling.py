@@ -111,10 +111,12 @@ def sample_exact(
     if n == 0:
         return df.limit(0)
     hashed = df.withColumn("_hash", H.word(H.digest(H.key_of(df, key), seed), 0))
-    cut = nth_smallest(hashed, "_hash", n - 1, rows, small)
+    hashes = materialize(hashed.select("_hash"), "hashes")  # read several times, 8 bytes a row
+    cut = nth_smallest(hashes, "_hash", n - 1, rows, small)
+    short = n - hashes.where(F.col("_hash") < cut).count()
     below = hashed.where(F.col("_hash") < cut)
     on_cut = hashed.where(F.col("_hash") == cut).orderBy(*([key] if isinstance(key, str) else key))
-    return below.unionByName(on_cut.limit(n - below.count())).drop("_hash")
+    return below.unionByName(on_cut.limit(short)).drop("_hash")
 
 
 def sample_share(df: DataFrame, share: float, *, key="transaction_id", seed: int = S.SEED):
