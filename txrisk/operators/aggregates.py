@@ -124,48 +124,30 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> D
     """
     low, high = df.agg(F.min(column), F.max(column)).first()
     names = [by] if by else []
-    schema = "bin bigint, bin_start double, bin_end double"
     if low is None:
-        columns = [*[df.schema[c] for c in names]]
-        empty = df.sparkSession.createDataFrame([], schema)
-        for f in columns:
-            empty = empty.withColumn(f.name, F.lit(None).cast(f.dataType))
-        return empty.withColumn("transaction_count", F.lit(0).cast("bigint"))
+        low, high, df = 0.0, 0.0, df.limit(0)
     low, high = float(low), float(high)
     bins = bins if high > low else 1
     width = (high - low) / bins
     position = F.floor((F.col(column) - low) / width) if width > 0 else F.lit(0)
-    bin_of = F.least(position, F.lit(bins - 1)).cast("bigint")
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(*names, bin_of.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    edges = [(i, low + i * width, low + (i + 1) * width) for i in range(bins)]
-    frame = df.sparkSession.createDataFrame(edges, schema)
-    if by:
-        # every group gets every bin: the groups' counts as a map from bin to count
-        per_group = counts.groupBy(by).agg(
-            F.map_from_entries(F.collect_list(F.struct("bin", "_n"))).alias("_counts")
-        )
-        every = F.array(
-            *[
-                F.struct(
-                    F.lit(i).cast("bigint").alias("bin"),
-                    F.lit(a).alias("bin_start"),
-                    F.lit(b).alias("bin_end"),
-                )
-                for i, a, b in edges
-            ]
+    bin_of = F.least(position, F.lit(bins - 1)).cast("bigint").alias("bin")
+    known = df.where(F.col(column).isNotNull())
+    counts = known.groupBy(*names, bin_of).agg(F.count(F.lit(1)).alias("n"))
+    # a group's counts by bin, at most one entry per bin, laid beside the list of all bins
+    by_bin = F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_counts")
+    grouped = counts.groupBy(*names).agg(by_bin).where(F.size("_counts") > 0)
+    all_bins, bin_ = F.array(*[F.lit(i).cast("bigint") for i in range(bins)]), F.col("bin")
+    return (
+        grouped.withColumn("bin", F.explode(all_bins))
+        .select(
+            *names,
+            "bin",
+            (F.lit(low) + bin_ * F.lit(width)).alias("bin_start"),
+            (F.lit(low) + (bin_ + 1) * F.lit(width)).alias("bin_end"),
+            F.coalesce(F.try_element_at("_counts", bin_), F.lit(0)).alias("transaction_count"),
         )
-        out = per_group.select(by, "_counts", F.inline(every))
-        n = F.coalesce(F.try_element_at("_counts", F.col("bin")), F.lit(0))
-        out = out.select(by, "bin", "bin_start", "bin_end", n.alias("transaction_count"))
-        return out.orderBy(by, "bin")
-    out = frame.join(counts, "bin", "left")
-    return out.select(
-        "bin", "bin_start", "bin_end", F.coalesce("_n", F.lit(0)).alias("transaction_count")
-    ).orderBy("bin")
+        .orderBy(*names, "bin")
+    )
 
 
 def amount_histogram(df: DataFrame, bins: int = S.AMOUNT_BINS) -> DataFrame:
