@@ -138,7 +138,8 @@ def _forest_samples(dealt):
 
 
 def _forest_nodes(spark, sf_dir):
-    return forest.fit_trees(_cleaned(spark, sf_dir)).node_table(spark)
+    # the id is unique after cleaning; as the key it lets other engines draw the same rows
+    return forest.fit_trees(_cleaned(spark, sf_dir), key="transaction_id").node_table(spark)
 
 
 # A small given forest: (tree, node, feature, split, left, right, size, depth).
@@ -174,19 +175,19 @@ def _score_fixed(spark, sf_dir):
 
 
 def _scored(spark, sf_dir):
-    return forest.detect_anomalies(_cleaned(spark, sf_dir))
+    return forest.detect_anomalies(_cleaned(spark, sf_dir), key="transaction_id")
 
 
-def _score_forest(spark, sf_dir):
-    return _scored(spark, sf_dir).select("transaction_id", "anomaly_score", "is_anomaly")
+def _scores(df):
+    rounded = F.floor(F.col("anomaly_score") * 1e8 + 0.5) / 1e8
+    return df.select("transaction_id", rounded.alias("anomaly_score"), "is_anomaly")
 
 
 def _save_load_score(spark, sf_dir):
     cleaned = _cleaned(spark, sf_dir)
     path = new_path(spark, "model")
-    forest.fit_forest(cleaned).save(spark, path)
-    scored = forest.ForestModel.load(spark, path).score(cleaned)
-    return scored.select("transaction_id", "anomaly_score", "is_anomaly")
+    forest.fit_forest(cleaned, key="transaction_id").save(spark, path)
+    return _scores(forest.ForestModel.load(spark, path).score(cleaned))
 
 
 def _given_scores(spark, sf_dir):
@@ -318,7 +319,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forest_samples_dealt": _forest_samples(dealt=True),
         "forest_nodes": _forest_nodes,
         "score_fixed_forest": _score_fixed,
-        "score_forest": _score_forest,
+        "score_forest": _on(_scored, _scores),
         "contamination_threshold": _threshold,
         "contamination_flag": _contamination_flag,
         "anomaly_summary": _on(ledger, summary.anomaly_summary),

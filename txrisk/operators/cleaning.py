@@ -26,6 +26,12 @@ def missing_mark(column: str) -> str:
     return f"_missing_{column}"
 
 
+def data_columns(distinct: DataFrame) -> list[str]:
+    """Columns of the raw table, in a table of distinct transactions."""
+    helpers = {COPIES, *(missing_mark(c) for c in distinct.columns)}
+    return [c for c in distinct.columns if c not in helpers]
+
+
 def distinct_transactions(df: DataFrame, order_by: str | None = None) -> DataFrame:
     """One row per distinct set of required columns, with its number of copies.
 
@@ -131,8 +137,7 @@ def clean_distinct(
     distinct: DataFrame, *, rows=None, lenient: bool = False, small: int = SMALL_GROUP
 ) -> DataFrame:
     """The steps after de-duplication, over a stored table of distinct transactions."""
-    columns = [c for c in distinct.columns if not c.startswith("_")]
-    kept = fill_city(keep_positive(distinct.select(*columns)))
+    kept = fill_city(keep_positive(distinct.select(*data_columns(distinct))))
     if not lenient:
         check_integers(kept)
     filled = impute_income(kept, rows=rows, small=small)

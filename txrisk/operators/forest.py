@@ -9,6 +9,7 @@ The functions sent to executors are closures over numpy only, so a cluster needs
 copy of this package.
 """
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk import schema as S
+from txrisk.functions.hashing import BITS, SPAN
 from txrisk.operators.features import (
     feature_medians,
     feature_moments,
@@ -36,6 +38,8 @@ NODE_SCHEMA = ", ".join(f"{c} {'double' if c == 'split' else 'bigint'}" for c in
 # Scaling digits kept in the model: sums of doubles may differ in their last digits
 # from run to run, the model must not.
 MOMENT_DIGITS = 9
+# A model is broadcast to score: its size is set by trees and sample size, and checked.
+MAX_MODEL_CELLS = 20_000_000
 SCORE_CHUNK = 10_000  # rows scored at a time, so that their values stay in cache
 
 
@@ -57,15 +61,15 @@ def tree_grower(features, seed: int, cap: int):
 
     Nodes are numbered as in a heap (children of i: 2i + 1 and 2i + 2). A split takes a
     feature at random among those that vary in the node, and a point at random between
-    its least and greatest value. Only these two numbers enter, so row order is
-    irrelevant.
+    its least and greatest value. Both come from the MD5 of seed, tree and node, so
+    neither row order nor the order of growing matters.
     """
     features, names = list(features), list(NODE_COLUMNS)
+    digits, span = BITS // 4, float(SPAN)
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
         tree = int(rows["tree"].iloc[0])
         data = rows[features].to_numpy(dtype=float)
-        random = np.random.default_rng([seed, tree])
         nodes, open_nodes = [], [(0, 0, data)]
         while open_nodes:
             node, depth, part = open_nodes.pop()
@@ -74,14 +78,15 @@ def tree_grower(features, seed: int, cap: int):
             if depth >= cap or len(part) <= 1 or len(varying) == 0:
                 nodes.append((tree, node, -1, 0.0, -1, -1, len(part), depth))
                 continue
-            feature = int(varying[random.integers(len(varying))])
-            split = float(random.uniform(low[feature], high[feature]))
-            if split >= high[feature]:
-                split = float(low[feature])
+            digest = hashlib.md5(f"{seed}|{tree}|{node}".encode()).hexdigest()
+            feature = int(varying[int(digest[:digits], 16) % len(varying)])
+            share = int(digest[digits : 2 * digits], 16) / span
+            least, greatest = float(low[feature]), float(high[feature])
+            split = least + share * (greatest - least)
+            if split >= greatest:
+                split = least
             left = part[:, feature] <= split
-            nodes.append(
-                (tree, node, feature, split, 2 * node + 1, 2 * node + 2, len(part), depth)
-            )
+            nodes.append((tree, node, feature, split, 2 * node + 1, 2 * node + 2, len(part), depth))
             open_nodes.append((2 * node + 2, depth + 1, part[~left]))
             open_nodes.append((2 * node + 1, depth + 1, part[left]))
         return pd.DataFrame(nodes, columns=names)
@@ -265,6 +270,8 @@ def fit_trees(
     S.check_columns(df, features)
     rows = df.count() if rows is None else rows
     size = max(min(size, rows), 1)
+    if trees * 2 ** (depth_cap(size) + 1) > MAX_MODEL_CELLS:
+        raise ValueError(f"{trees} trees over samples of {size} rows are too large a model")
     if rows == 0:
         return ForestModel(pd.DataFrame(columns=NODE_COLUMNS), features, size)
     medians = feature_medians(df, features, rows=rows, small=small)

@@ -11,6 +11,7 @@ from txrisk.functions.money import percentage
 from txrisk.operators.cleaning import (
     COPIES,
     clean_distinct,
+    data_columns,
     distinct_transactions,
     missing_mark,
 )
@@ -18,10 +19,6 @@ from txrisk.operators.quantiles import SMALL_GROUP
 from txrisk.sources.stages import materialize
 
 
-def _data_columns(distinct: DataFrame) -> list[str]:
-    return [c for c in distinct.columns if not c.startswith("_")]
-
-
 def _weighted(condition):
     return F.coalesce(F.sum(F.when(condition, F.col(COPIES))), F.lit(0)).cast("bigint")
 
@@ -29,7 +26,7 @@ def _weighted(condition):
 def _missing_counts(distinct: DataFrame) -> dict:
     """Missing cells of each column of the raw table, copies counted."""
     out = {}
-    for c in _data_columns(distinct):
+    for c in data_columns(distinct):
         mark = missing_mark(c)
         if mark in distinct.columns:
             out[c] = F.coalesce(F.sum(mark), F.lit(0)).cast("bigint")
@@ -40,7 +37,7 @@ def _missing_counts(distinct: DataFrame) -> dict:
 
 def profile_distinct(distinct: DataFrame) -> DataFrame:
     """Quality profile from a table of distinct transactions, in one aggregation."""
-    n_columns = len(_data_columns(distinct))
+    n_columns = len(data_columns(distinct))
     amount, age = F.col("transaction_amount"), F.col("customer_age")
     counted = distinct.agg(
         F.coalesce(F.sum(COPIES), F.lit(0)).cast("bigint").alias("total_records"),

@@ -230,6 +230,91 @@ SQL["forest_samples_dealt"] = _samples(
     f"SELECT transaction_id, b % {DEALT_TREES} AS tree, a AS rank_hash FROM words"
 )
 
+# ------------------------------------------------- the whole forest, level by level
+
+_N = len(_F)
+DEPTH = 8  # of trees over samples of 256 rows
+
+
+def _scaled(column):
+    mean, std = (f"CAST(printf('%.9g', {f}({column})) AS DOUBLE)" for f in ("avg", "stddev_pop"))
+    return f"{mean} AS m_{column}, CASE WHEN {std} = 0 THEN 1 ELSE {std} END AS s_{column}"
+
+
+def _level(depth):
+    """Nodes of one level from the rows that reached it, and the rows of the next."""
+    ranges = ", ".join(f"min(x[{i + 1}]), max(x[{i + 1}])" for i in range(_N))
+    # the features that vary, as a text of one digit each
+    varying = ", ".join(f"CASE WHEN r[{2 * i + 1}] < r[{2 * i + 2}] THEN '{i}' END" for i in range(_N))
+    node_key = "CAST(tree AS VARCHAR) || '|' || CAST(node AS VARCHAR)"
+    return f"""
+seen{depth} AS (SELECT tree, node, count(*) AS size, [{ranges}] AS r FROM at{depth} GROUP BY tree, node),
+open{depth} AS (SELECT *, concat({varying}) AS v FROM seen{depth}),
+drawn{depth} AS (SELECT *, {depth} < {DEPTH} AND size > 1 AND v <> '' AS inner_node,
+  CAST(nullif(substr(v, CAST({word(node_key, S.SEED, 0)} % greatest(length(v), 1) AS INTEGER) + 1, 1), '')
+    AS INTEGER) AS f,
+  CAST({word(node_key, S.SEED, 1)} AS DOUBLE) / CAST({2**52} AS DOUBLE) AS u FROM open{depth}),
+cut{depth} AS (SELECT *, r[2 * f + 1] AS lo, r[2 * f + 2] AS hi,
+  r[2 * f + 1] + u * (r[2 * f + 2] - r[2 * f + 1]) AS point FROM drawn{depth}),
+nodes{depth} AS MATERIALIZED (SELECT tree, node, CASE WHEN inner_node THEN f ELSE -1 END AS feature,
+  CASE WHEN NOT inner_node THEN 0 WHEN point >= hi THEN lo ELSE point END AS split,
+  size, {depth} AS depth FROM cut{depth}),
+at{depth + 1} AS (SELECT a.tree, a.x, 2 * a.node + CASE WHEN a.x[n.feature + 1] <= n.split THEN 1 ELSE 2 END AS node
+  FROM at{depth} a JOIN nodes{depth} n ON n.tree = a.tree AND n.node = a.node WHERE n.feature >= 0)"""
+
+
+FOREST = f"""{CLEANED}, {_WORDS},
+scaling AS (SELECT {", ".join(_scaled(c) for c in _F)} FROM cleaned),
+prepared AS (SELECT cleaned.*, [{", ".join(f"({c} - m_{c}) / s_{c}" for c in _F)}] AS x FROM cleaned, scaling),
+hashed AS (SELECT transaction_id, tree, (a + tree * b) % {2**52} AS rank_hash
+  FROM words, range({S.N_TREES}) AS r(tree)),
+picked AS (SELECT tree, transaction_id FROM hashed QUALIFY row_number()
+  OVER (PARTITION BY tree ORDER BY rank_hash, transaction_id) <= {S.SAMPLE_SIZE}),
+at0 AS MATERIALIZED (SELECT tree, 0 AS node, x FROM picked JOIN prepared USING (transaction_id)),
+{",".join(_level(d) for d in range(DEPTH + 1))},
+nodes AS MATERIALIZED ({" UNION ALL ".join(f"SELECT * FROM nodes{d}" for d in range(DEPTH + 1))})"""
+
+SQL["forest_nodes"] = over(
+    FOREST,
+    """SELECT CAST(tree AS BIGINT) AS tree, CAST(node AS BIGINT) AS node, CAST(feature AS BIGINT) AS feature,
+  CAST(split AS DOUBLE) AS split, CAST(CASE WHEN feature < 0 THEN -1 ELSE 2 * node + 1 END AS BIGINT) AS "left",
+  CAST(CASE WHEN feature < 0 THEN -1 ELSE 2 * node + 2 END AS BIGINT) AS "right",
+  CAST(size AS BIGINT) AS size, CAST(depth AS BIGINT) AS depth FROM nodes""",
+)
+
+
+def _path_constant(n):
+    return (
+        f"CASE WHEN {n} <= 1 THEN 0 WHEN {n} = 2 THEN 1 ELSE CAST(2 AS DOUBLE) * (ln(CAST({n} - 1 AS DOUBLE)) "
+        f"+ CAST(0.5772156649015329 AS DOUBLE)) - CAST(2 AS DOUBLE) * ({n} - 1) / {n} END"
+    )
+
+
+def _step(depth):
+    return f"""
+step{depth + 1} AS (SELECT s.transaction_id, s.tree, s.x,
+  CASE WHEN n.feature < 0 THEN s.node WHEN s.x[n.feature + 1] <= n.split THEN 2 * s.node + 1
+  ELSE 2 * s.node + 2 END AS node FROM step{depth} s JOIN nodes n ON n.tree = s.tree AND n.node = s.node)"""
+
+
+SCORED = f"""{FOREST},
+step0 AS (SELECT transaction_id, CAST(tree AS BIGINT) AS tree, x, 0 AS node
+  FROM prepared, range({S.N_TREES}) AS r(tree)),
+{",".join(_step(d) for d in range(DEPTH))},
+raw_scores AS MATERIALIZED (SELECT transaction_id, -pow(CAST(2 AS DOUBLE), -(sum(n.depth + {_path_constant("n.size")})
+  / ({S.N_TREES} * ({_path_constant(str(S.SAMPLE_SIZE))})))) AS raw
+  FROM step{DEPTH} s JOIN nodes n ON n.tree = s.tree AND n.node = s.node GROUP BY transaction_id),
+cut AS (SELECT quantile_cont(raw, {S.CONTAMINATION}) AS t FROM raw_scores),
+scored AS (SELECT cleaned.*, raw - t AS anomaly_score, CAST(CASE WHEN raw - t < 0 THEN 1 ELSE 0 END AS BIGINT)
+  AS is_anomaly FROM cleaned JOIN raw_scores USING (transaction_id), cut)"""
+
+_SCORES = over(
+    SCORED,
+    f"SELECT transaction_id, {round_half_up('anomaly_score', 8)} AS anomaly_score, is_anomaly FROM scored",
+)
+SQL["score_forest"] = _SCORES
+SQL["save_load_score"] = _SCORES
+
 # A fixed forest of three trees of depth two, as (feature, split) tests and leaf paths.
 _C = {n: f"CAST({v!r} AS DOUBLE)" for n, v in {2: 1.0, 3: 1.207392357589623}.items()}
 FIXED_CASES = [
@@ -261,14 +346,21 @@ SQL["contamination_flag"] = over(
     "CAST(CASE WHEN anomaly_score - t < 0 THEN 1 ELSE 0 END AS BIGINT) AS is_anomaly "
     "FROM transactions, cut",
 )
-SQL["anomaly_summary"] = over(
-    LEDGER,
-    f"""SELECT count(*) AS total_transactions, CAST(sum(is_anomaly) AS BIGINT) AS anomaly_count,
+def _summary(table):
+    return f"""SELECT count(*) AS total_transactions, CAST(sum(is_anomaly) AS BIGINT) AS anomaly_count,
   {percentage("sum(is_anomaly)", "count(*)", 3)} AS anomaly_rate_pct,
   {round_half_up("avg(anomaly_score)", 4)} AS avg_anomaly_score,
   {mean(f"CASE WHEN is_anomaly = 0 THEN {CENTS} END")} AS avg_amount_normal,
   coalesce({mean(f"CASE WHEN is_anomaly = 1 THEN {CENTS} END")}, 0) AS avg_amount_anomaly
-FROM transactions""",
+FROM {table}"""
+
+
+SQL["anomaly_summary"] = over(LEDGER, _summary("transactions"))
+SQL["forest_summary"] = over(SCORED, _summary("scored"))
+SQL["forest_recall"] = over(
+    SCORED,
+    "SELECT count(*) FILTER (WHERE ground_truth_unusual = 1 AND is_anomaly = 1) AS caught, "
+    "CAST(sum(ground_truth_unusual) AS BIGINT) AS planted FROM scored",
 )
 SQL["planted_recall"] = over(
     f"{LEDGER}, cut AS (SELECT {_THRESHOLD} AS t FROM transactions)",

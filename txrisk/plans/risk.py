@@ -8,7 +8,7 @@ from txrisk import schema as S
 from txrisk.operators.forest import ForestModel, fit_and_score
 from txrisk.operators.quality import profile_and_clean
 from txrisk.plans.reports import run_all_reports
-from txrisk.sources.transactions import TABLE, load_table, read_transactions
+from txrisk.sources.transactions import load_table, read_transactions
 
 
 @dataclass
@@ -29,7 +29,6 @@ def run_risk(
     raw: DataFrame,
     *,
     contamination: float = S.CONTAMINATION,
-    table: str = TABLE,
     path: str | None = None,
     **forest_options,
 ) -> RiskRun:
@@ -40,5 +39,5 @@ def run_risk(
     """
     quality, cleaned = profile_and_clean(raw)
     model, scored = fit_and_score(cleaned, contamination, **forest_options)
-    scored = load_table(scored, table, path)
+    scored = load_table(scored, path=path)
     return RiskRun(quality, cleaned, model, scored, run_all_reports(raw.sparkSession))
