@@ -273,6 +273,14 @@ def _sample_exact(spark, sf_dir):
     return sampling.sample_exact(keys, 0.01)
 
 
+def _plant_exact(spark, sf_dir):
+    rows = materialize(_kept(spark, sf_dir), "kept")
+    planted = planting.plant_defects(planting.plant_outliers(rows, exact=True), exact=True)
+    return planted.select(
+        "transaction_id", S.LABEL, "city", "customer_income", "transaction_amount"
+    )
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Raw transactions, cleaned, scored and flagged: flagged share by category."""
     run = run_risk(raw_transactions(spark, SMOKE_DIR))
@@ -370,6 +378,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 "transaction_id", "city", "customer_income", "transaction_amount"
             ),
         ),
+        "plant_exact": _plant_exact,
         "union_duplicates": _on(raw, lambda df: _text_dates(planting.plant_duplicates(df))),
         "sample_exact_n": _sample_exact,
     }

@@ -4,7 +4,11 @@ from pyspark.sql import functions as F
 
 from txrisk import schema as S
 from txrisk.operators import planting as P
+from txrisk.operators.forest import detect_anomalies
+from txrisk.operators.quality import profile_and_clean
 from txrisk.operators.sampling import sample_exact, sample_share
+from txrisk.operators.summary import anomaly_summary, planted_recall
+from txrisk.sources.stages import materialize
 
 N = 4000
 
@@ -66,3 +70,43 @@ def test_exact_sample(rows, small):
 
 def test_share_sample(rows):
     assert near(sample_share(rows, 0.1).count(), 0.1)
+
+
+def test_exact_planting(rows):
+    counted = {}
+    for name, df in (("soft", P.plant_all(rows)), ("exact", P.plant_all(rows, exact=True))):
+        counted[name] = (
+            df.count() - N,
+            df.where(f"{S.LABEL} = 1").select("transaction_id").distinct().count(),
+        )
+    assert counted["exact"] == (20, 80) and counted["soft"] != counted["exact"]
+
+
+def test_known_counts_of_a_whole_run(spark):
+    """20,000 rows with planted outliers, defects and copies: what a run must find."""
+    spread = {
+        "transaction_amount": F.round(F.lit(20.0) + F.col("id") * 7919 % 30011 / 100, 2),
+        "transaction_hour": 8 + F.col("id") * 31 % 15,
+        "distance_from_home_km": (F.col("id") * 617 % 4001) / 100,
+        "previous_transaction_amount": F.round(20.0 + F.col("id") * 104729 % 30011 / 100, 2),
+        "customer_income": 30000.0 + F.col("id") * 48611 % 60013,
+        "customer_age": 18 + F.col("id") * 13 % 57,
+        "transaction_id": F.concat(F.lit("TXN"), F.lpad(F.col("id").cast("string"), 7, "0")),
+    }
+    base = spark.range(20000).join(F.broadcast(numbered(spark, {}))).withColumns(spread).drop("id")
+    raw = materialize(P.plant_all(materialize(base), exact=True), "raw")
+    report, cleaned = profile_and_clean(raw)
+    found = report.first()
+    assert found["total_records"] == 20100
+    assert found["duplicate_rows"] == 100
+    assert found["total_columns"] == 18
+    assert raw.select("transaction_id").distinct().count() == 20000
+    assert found["total_records_after_cleaning"] == 19940
+    assert found["records_removed"] == 160
+    assert 400 <= found["total_missing_cells"] <= 420
+    assert 60 <= found["invalid_amount_count"] <= 63
+    scored = detect_anomalies(cleaned)
+    result = anomaly_summary(scored).first()
+    assert result["anomaly_count"] == 399 and result["anomaly_rate_pct"] == 2.001
+    caught, planted = planted_recall(scored).first()
+    assert planted >= 390 and caught / planted > 0.9

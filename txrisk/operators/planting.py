@@ -1,15 +1,21 @@
 """Planting known outliers, defects and copies into a transactions table.
 
 For checking a cleaning or scoring run on one's own data: the planted rows are known by
-the row key and a seed, so they can be found again. All of it is done row by row,
-without a shuffle.
+the row key and a seed, so they can be found again. Each row is picked on its own, so
+about the given share is planted, row by row and without a shuffle. With ``exact`` the
+rows with the lowest hashes are picked, exactly ``floor(rows * share)`` of them when keys
+are unique; that reads the keys a few times to find the cut.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk import schema as S
 from txrisk.functions import hashing as H
+from txrisk.operators.quantiles import nth_smallest
+from txrisk.sources.stages import materialize
 
 KEY = "transaction_id"
 
@@ -23,19 +29,39 @@ INVALID_SHARE = 0.003
 DUPLICATE_SHARE = 0.005
 
 
+def _picker(df: DataFrame, key, seed, exact: bool) -> Callable[[str, float], Column]:
+    """Function from a purpose and a share to a condition that picks rows."""
+    k = H.key_of(df, key)
+    if not exact:
+        return lambda purpose, share: H.chosen(k, f"{seed}/{purpose}", share)
+    rows = df.count()
+
+    def pick(purpose, share):
+        n = int(rows * share)
+        if n == 0:
+            return F.lit(False)
+        hashed = H.word(H.digest(k, f"{seed}/{purpose}"), 0)
+        hashes = materialize(df.select(hashed.alias("_hash")), "hashes")
+        return hashed <= F.lit(nth_smallest(hashes, "_hash", n - 1, rows))
+
+    return pick
+
+
 def _hundredths(key: Column, seed: str, low: int, high: int) -> Column:
     """A number in [low, high], in steps of 0.01, from the key."""
     steps = (high - low) * 100 + 1
     return (H.word(H.digest(key, seed), 0) % steps + low * 100) / F.lit(100.0)
 
 
-def plant_outliers(df: DataFrame, share=OUTLIER_SHARE, *, key=KEY, seed=S.SEED) -> DataFrame:
+def plant_outliers(
+    df: DataFrame, share=OUTLIER_SHARE, *, key=KEY, seed=S.SEED, exact: bool = False
+) -> DataFrame:
     """Make some rows stand out (amount, hour, distance, abroad) and label them.
 
     The previous amount is left alone.
     """
     k = H.key_of(df, key)
-    hit = H.chosen(k, f"{seed}/outlier", share)
+    hit = _picker(df, key, seed, exact)("outlier", share)
     hours = OUTLIER_HOURS[1] - OUTLIER_HOURS[0] + 1
     hour = H.word(H.digest(k, f"{seed}/hour"), 0) % hours + OUTLIER_HOURS[0]
     values = {
@@ -52,20 +78,24 @@ def plant_outliers(df: DataFrame, share=OUTLIER_SHARE, *, key=KEY, seed=S.SEED)
 
 
 def plant_defects(
-    df: DataFrame, missing=MISSING_SHARE, invalid=INVALID_SHARE, *, key=KEY, seed=S.SEED
+    df: DataFrame,
+    missing=MISSING_SHARE,
+    invalid=INVALID_SHARE,
+    *,
+    key=KEY,
+    seed=S.SEED,
+    exact: bool = False,
 ) -> DataFrame:
     """Remove some cities and incomes and make some amounts negative, independently."""
-    k = H.key_of(df, key)
+    pick = _picker(df, key, seed, exact)
     amount = F.col("transaction_amount")
     return df.withColumns(
         {
-            "city": F.when(~H.chosen(k, f"{seed}/city", missing), F.col("city")),
-            "customer_income": F.when(
-                ~H.chosen(k, f"{seed}/income", missing), F.col("customer_income")
+            "city": F.when(~pick("city", missing), F.col("city")),
+            "customer_income": F.when(~pick("income", missing), F.col("customer_income")),
+            "transaction_amount": F.when(pick("invalid", invalid), -F.abs(amount)).otherwise(
+                amount
             ),
-            "transaction_amount": F.when(
-                H.chosen(k, f"{seed}/invalid", invalid), -F.abs(amount)
-            ).otherwise(amount),
         }
     )
 
@@ -75,16 +105,14 @@ def append_rows(df: DataFrame, extra: DataFrame) -> DataFrame:
     return df.unionByName(extra)
 
 
-def plant_duplicates(df: DataFrame, share=DUPLICATE_SHARE, *, key=KEY, seed=S.SEED) -> DataFrame:
+def plant_duplicates(
+    df: DataFrame, share=DUPLICATE_SHARE, *, key=KEY, seed=S.SEED, exact: bool = False
+) -> DataFrame:
     """Append a copy of some rows."""
-    picked = df.where(H.chosen(H.key_of(df, key), f"{seed}/duplicate", share))
-    return append_rows(df, picked)
+    return append_rows(df, df.where(_picker(df, key, seed, exact)("duplicate", share)))
 
 
-def plant_all(df: DataFrame, *, key=KEY, seed=S.SEED) -> DataFrame:
+def plant_all(df: DataFrame, *, key=KEY, seed=S.SEED, exact: bool = False) -> DataFrame:
     """Outliers, then defects, then copies."""
-    return plant_duplicates(
-        plant_defects(plant_outliers(df, key=key, seed=seed), key=key, seed=seed),
-        key=key,
-        seed=seed,
-    )
+    options = {"key": key, "seed": seed, "exact": exact}
+    return plant_duplicates(plant_defects(plant_outliers(df, **options), **options), **options)

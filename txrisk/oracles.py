@@ -611,3 +611,20 @@ SQL["sample_exact_n"] = over(
     f"SELECT transaction_id FROM kept QUALIFY row_number() OVER (ORDER BY "
     f"{word('transaction_id', S.SEED, 0)}, transaction_id) <= CAST(floor((SELECT count(*) FROM kept) * 0.01) AS BIGINT)",
 )
+
+
+def _lowest(purpose, share):
+    """Whether a row's hash is among the lowest ``share`` of all."""
+    order = word("transaction_id", f"{S.SEED}/{purpose}", 0)
+    return f"rank() OVER (ORDER BY {order}) <= CAST(floor((SELECT count(*) FROM kept) * {share}) AS BIGINT)"
+
+
+SQL["plant_exact"] = over(
+    f"""{KEPT}, picked AS (SELECT *, {_lowest("outlier", 0.02)} AS outlier, {_lowest("city", 0.01)} AS no_city,
+  {_lowest("income", 0.01)} AS no_income, {_lowest("invalid", 0.003)} AS invalid FROM kept),
+shifted AS (SELECT * REPLACE (CASE WHEN outlier THEN {_hundredths(f"{S.SEED}/amount", 1500, 9000)}
+  ELSE transaction_amount END AS transaction_amount) FROM picked)""",
+    """SELECT transaction_id, CAST(CASE WHEN outlier THEN 1 ELSE 0 END AS BIGINT) AS ground_truth_unusual,
+  CASE WHEN NOT no_city THEN city END AS city, CASE WHEN NOT no_income THEN customer_income END AS customer_income,
+  CASE WHEN invalid THEN -abs(transaction_amount) ELSE transaction_amount END AS transaction_amount FROM shifted""",
+)
