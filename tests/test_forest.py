@@ -217,6 +217,11 @@ def test_features(rows):
     assert filled.where("customer_income is null").count() == 0
     medians = X.feature_medians(rows)
     assert X.feature_medians(rows, small=10) == medians
+    for small in (10, 10_000):
+        together = X.feature_statistics(rows, small=small)
+        assert together[0] == medians
+        for c, (mean, std) in X.feature_moments(filled).items():
+            assert together[1][c] == pytest.approx((mean, std), rel=1e-12)
     scaled = X.standardize(filled)
     for mean, std in X.feature_moments(scaled).values():
         assert abs(mean) < 1e-9 and std == pytest.approx(1.0)

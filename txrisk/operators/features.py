@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk import schema as S
-from txrisk.operators.quantiles import SMALL_GROUP, column_quantiles
+from txrisk.operators.quantiles import SMALL_GROUP, column_quantiles, column_statistics
 
 
 def project_features(df: DataFrame, features=tuple(S.FEATURES)) -> DataFrame:
@@ -41,6 +41,32 @@ def feature_moments(df: DataFrame, features=tuple(S.FEATURES)) -> dict:
     return {c: (row[f"mean_{c}"], row[f"std_{c}"]) for c in features}
 
 
+def feature_statistics(
+    df: DataFrame, features=tuple(S.FEATURES), *, rows=None, small=SMALL_GROUP
+) -> tuple[dict, dict]:
+    """Medians, and the moments after filling missing values with them.
+
+    The moments come from the scan that the medians need anyway: a filled column is the
+    known values and a constant.
+    """
+    table = project_features(df, features)
+    sums = {"_rows": F.count(F.lit(1))}
+    for c in features:
+        sums |= {f"_n_{c}_known": F.count(c), f"_mean_{c}": F.avg(c), f"_std_{c}": F.stddev_pop(c)}
+    medians, got = column_statistics(table, features, 0.5, sums, rows=rows, small=small)
+    moments = {}
+    for c in features:
+        n, mean, std = (got[k] for k in (f"_n_{c}_known", f"_mean_{c}", f"_std_{c}"))
+        moments[c] = (mean, std)
+        filled = got["_rows"] - n
+        if n and filled:
+            rows_all, fill = got["_rows"], medians[c]
+            both = (n * mean + filled * fill) / rows_all
+            spread = n * (std**2 + (mean - both) ** 2) + filled * (fill - both) ** 2
+            moments[c] = (both, (spread / rows_all) ** 0.5)
+    return medians, moments
+
+
 def scale_features(df: DataFrame, moments: dict) -> DataFrame:
     """(x - mean) / std; a constant feature is only centred."""
     return df.withColumns(

@@ -21,13 +21,7 @@ from pyspark.sql import functions as F
 
 from txrisk import schema as S
 from txrisk.functions.hashing import BITS, SPAN
-from txrisk.operators.features import (
-    feature_medians,
-    feature_moments,
-    fill_features,
-    project_features,
-    scale_features,
-)
+from txrisk.operators.features import feature_statistics, fill_features, scale_features
 from txrisk.operators.quantiles import SMALL_GROUP, exact_quantile
 from txrisk.operators.sampling import tree_samples
 from txrisk.sources.stages import materialize
@@ -274,9 +268,8 @@ def fit_trees(
         raise ValueError(f"{trees} trees over samples of {size} rows are too large a model")
     if rows == 0:
         return ForestModel(pd.DataFrame(columns=NODE_COLUMNS), features, size)
-    medians = feature_medians(df, features, rows=rows, small=small)
-    filled = fill_features(project_features(df, features), medians)
-    moments = _rounded(feature_moments(filled, features)) if standardize else {}
+    medians, moments = feature_statistics(df, features, rows=rows, small=small)
+    moments = _rounded(moments) if standardize else {}
     samples = tree_samples(
         df, rows, features, trees=trees, size=size, seed=seed, key=key, dealt=dealt
     )

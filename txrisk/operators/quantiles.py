@@ -51,6 +51,10 @@ class _Rank:
         share = (self.rank - self.below) / self.rows
         return int(math.floor(share * GRID)) - 1, int(math.ceil(share * GRID)) + 1
 
+    def pick(self, points) -> tuple:
+        lo, hi = self.steps()
+        return points[lo] if lo > 0 else None, points[hi] if hi < GRID else None
+
     def move(self, lo, hi, under, on_lo, inside, on_hi) -> None:
         """Place the rank among: under lo, on lo, inside, on hi, over hi."""
         at = self.rank - self.below
@@ -124,13 +128,8 @@ class _Columns:
             for key, r in ranges.items()
         ]
         row = looked_at.agg(*sketches).first()
-        out = {}
-        for r in active:
-            points = row[names[(r.group, r.lower, r.upper)]]
-            lo, hi = r.steps()
-            if points is not None:
-                out[r.id] = (points[lo] if lo > 0 else None, points[hi] if hi < GRID else None)
-        return out
+        points = {r.id: row[names[(r.group, r.lower, r.upper)]] for r in active}
+        return {r.id: r.pick(points[r.id]) for r in active if points[r.id] is not None}
 
     def counts(self, active, cuts) -> dict:
         aggs = []
@@ -221,17 +220,18 @@ class _Groups:
         return _ranked(self._match(self.values, bounds).select("_id", "_need", "_v"))
 
 
-def _resolve(scans, ranks: list[_Rank], small: int) -> None:
-    """Find the value of every rank."""
+def _resolve(scans, ranks: list[_Rank], small: int, cuts: dict | None = None) -> None:
+    """Find the value of every rank; ``cuts`` are the first round's, if known."""
     active = [r for r in ranks if r.rows > small]
     while active:
         share = SKETCH_ROWS / min(r.rows for r in active)
-        cuts = scans.cuts(active, share)
-        if len(cuts) < len(active):  # a group the sample missed
+        cuts = scans.cuts(active, share) if cuts is None else cuts
+        if not cuts.keys() >= {r.id for r in active}:  # a group the sample missed
             cuts = scans.cuts(active, 1.0)
         counts = scans.counts(active, cuts)
         for r in active:
             r.move(*cuts[r.id], *counts[r.id])
+        cuts = None
         active = [r for r in active if not r.done and r.rows > small]
     rest = [r for r in ranks if not r.done]
     found = scans.rest(rest) if rest else {}
@@ -265,23 +265,44 @@ def nth_smallest(df: DataFrame, value: str, rank: int, rows: int, small=SMALL_GR
     return wanted.value
 
 
-def column_quantiles(df: DataFrame, columns, q: float, *, rows=None, small=SMALL_GROUP) -> dict:
-    """Quantile of each column over the whole table, as a dict of column to double.
+def column_statistics(
+    df: DataFrame, columns, q: float, extra: dict, *, rows=None, small=SMALL_GROUP
+) -> tuple[dict, dict]:
+    """Quantile of each column over the whole table, and other aggregates of it.
 
     ``rows`` is an upper bound of the row count, when the caller knows one. A small table
-    takes one aggregation; a larger one a few scans of these columns, each serving all.
+    takes one aggregation. For a larger one that aggregation also counts and sketches the
+    columns; a few scans follow, each serving all columns.
     """
     columns = list(columns)
     values = df.select(*columns)
     if rows is None:
         rows = values.count()
+    others = [c.alias(name) for name, c in extra.items()]
     if rows <= small:
-        return values.agg(*[F.percentile(c, q).alias(c) for c in columns]).first().asDict()
-    sizes = values.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    ranks, pairs = _pairs({c: n for c, n in sizes.items() if n}, q)
-    if ranks:
-        _resolve(_Columns(values), ranks, small)
-    return {c: _interpolate(*pairs[c]) if c in pairs else None for c in columns}
+        found = values.agg(*[F.percentile(c, q).alias(f"_q_{c}") for c in columns], *others).first()
+        return {c: found[f"_q_{c}"] for c in columns}, {name: found[name] for name in extra}
+    looked_at = F.col("_draw") < SKETCH_ROWS / rows
+    first = (
+        values.withColumn("_draw", F.rand(0))
+        .agg(
+            *[F.count(c).alias(f"_n_{c}") for c in columns],
+            *[_points(F.when(looked_at, F.col(c))).alias(f"_p_{c}") for c in columns],
+            *others,
+        )
+        .first()
+    )
+    ranks, pairs = _pairs({c: first[f"_n_{c}"] for c in columns if first[f"_n_{c}"]}, q)
+    points = {r.id: first[f"_p_{r.group}"] for r in ranks}
+    cuts = {r.id: r.pick(points[r.id]) for r in ranks if points[r.id] is not None}
+    _resolve(_Columns(values), ranks, small, cuts)
+    quantiles = {c: _interpolate(*pairs[c]) if c in pairs else None for c in columns}
+    return quantiles, {name: first[name] for name in extra}
+
+
+def column_quantiles(df: DataFrame, columns, q: float, *, rows=None, small=SMALL_GROUP) -> dict:
+    """Quantile of each column over the whole table, as a dict of column to double."""
+    return column_statistics(df, columns, q, {}, rows=rows, small=small)[0]
 
 
 def exact_quantile(
