@@ -22,11 +22,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SMALL_GROUP = 1_000_000  # rows one task may rank
+SMALL_GROUP = 1_000_000  # rows of a group whose distinct values one task may hold
+RANK_FACTOR = 5  # as many times more rows may be sorted in one task, which can spill
 MAX_LARGE_GROUPS = 200_000  # groups whose cut points the driver holds at once
 GRID = 1000  # rank sketch: cut points offered per round
 ACCURACY = 20 * GRID
 SKETCH_ROWS = 4_000_000  # rows per group the sketch looks at, if there are more
+SKETCH_TASKS = 16  # tasks that share the sketch of a group
 
 
 @dataclass
@@ -46,14 +48,18 @@ class _Rank:
     value: float | None = None
     done: bool = False
 
+    @property
+    def share(self) -> float:
+        """Share of the rows between the cuts that the sketch looks at."""
+        return min(SKETCH_ROWS / self.rows, 1.0)
+
     def steps(self) -> tuple[int, int]:
         """Grid points on both sides of the rank, one step apart from it."""
-        share = (self.rank - self.below) / self.rows
-        return int(math.floor(share * GRID)) - 1, int(math.ceil(share * GRID)) + 1
+        at = (self.rank - self.below) / self.rows
+        return int(math.floor(at * GRID)) - 1, int(math.ceil(at * GRID)) + 1
 
-    def pick(self, points) -> tuple:
-        lo, hi = self.steps()
-        return points[lo] if lo > 0 else None, points[hi] if hi < GRID else None
+    def need(self) -> tuple[int, int]:
+        return self.rank - self.below, 0
 
     def move(self, lo, hi, under, on_lo, inside, on_hi) -> None:
         """Place the rank among: under lo, on lo, inside, on hi, over hi."""
@@ -90,21 +96,39 @@ def _tallies(v: Column, lo: Column, hi: Column, within: Column | None = None) ->
     return {k: F.count_if(t if within is None else t & within) for k, t in tests.items()}
 
 
-def _points(v: Column) -> Column:
-    return F.percentile_approx(v, [i / GRID for i in range(GRID + 1)], ACCURACY)
+def _sketched(hits: DataFrame) -> dict:
+    """Cut points for each ``_id``, at grid points ``_a`` and ``_b`` of its rows.
+
+    The rows are spread evenly before they are sketched. They are few, while the tasks
+    that found them may be many, and one sketch per task would all meet in one.
+    """
+    grid = [i / GRID for i in range(GRID + 1)]
+    lo, hi = F.col("_a"), F.col("_b")
+    points = (
+        hits.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SKETCH_TASKS)))
+        .repartition("_id", "_salt")
+        .groupBy("_id", "_a", "_b")
+        .agg(F.percentile_approx("_v", grid, ACCURACY).alias("_points"))
+    )
+    cuts = points.select(
+        "_id",
+        F.when(lo > 0, F.get("_points", lo.cast("int"))).alias("lo"),
+        F.when(hi < GRID, F.get("_points", hi.cast("int"))).alias("hi"),
+    )
+    return {row["_id"]: (row["lo"], row["hi"]) for row in cuts.collect()}
 
 
-def _ranked(inside: DataFrame) -> dict:
-    """Values at ``_need`` among the few ``_v`` of each ``_id``."""
-    counted = inside.groupBy("_id", "_need", "_v").agg(F.count(F.lit(1)).alias("_n"))
+def _ranked(hits: DataFrame) -> dict:
+    """The value at position ``_a`` among the few rows of each ``_id``."""
+    counted = hits.groupBy("_id", "_a", "_v").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy("_id").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    need, end = F.col("_need"), F.col("_upto")
-    hit = (
+    need, end = F.col("_a"), F.col("_upto")
+    found = (
         counted.withColumn("_upto", F.sum("_n").over(upto))
         .where((end > need) & (end - F.col("_n") <= need))
         .select("_id", "_v")
     )
-    return {row["_id"]: row["_v"] for row in hit.collect()}
+    return {row["_id"]: row["_v"] for row in found.collect()}
 
 
 class _Columns:
@@ -113,57 +137,45 @@ class _Columns:
     def __init__(self, df: DataFrame):
         self.df = df
 
+    def _kind(self, r: _Rank):
+        return self.df.schema[r.group].dataType
+
     def _range(self, r: _Rank) -> Column:
         v, test = F.col(r.group), F.col(r.group).isNotNull()
         if r.lower is not None:
             test = test & (v > F.lit(r.lower))
         return test if r.upper is None else test & (v < F.lit(r.upper))
 
-    def cuts(self, active, share) -> dict:
-        looked_at = self.df.sample(share, seed=0) if share < 1 else self.df
-        ranges = {(r.group, r.lower, r.upper): r for r in active}  # ranks may share one
-        names = {key: f"_p{i}" for i, key in enumerate(ranges)}
-        sketches = [
-            _points(F.when(self._range(r), F.col(r.group))).alias(names[key])
-            for key, r in ranges.items()
-        ]
-        row = looked_at.agg(*sketches).first()
-        points = {r.id: row[names[(r.group, r.lower, r.upper)]] for r in active}
-        return {r.id: r.pick(points[r.id]) for r in active if points[r.id] is not None}
+    def hits(self, ranks, numbers, sampled: bool = False) -> DataFrame:
+        """Rows between the cuts of each rank: ``_id``, its two numbers, ``_v``."""
+        df = self.df.withColumn("_draw", F.rand(0)) if sampled else self.df
+        mixed = len({self._kind(r).simpleString() for r in ranks}) > 1
+        tests, found = [], []
+        for r in ranks:
+            test = self._range(r)
+            if sampled and r.share < 1:
+                test = test & (F.col("_draw") < r.share)
+            value = F.col(r.group).cast("double" if mixed else self._kind(r))
+            a, b = (F.lit(x).cast("bigint") for x in numbers(r))
+            row = F.struct(
+                F.lit(r.id).alias("_id"), a.alias("_a"), b.alias("_b"), value.alias("_v")
+            )
+            tests.append(test)
+            found.append(F.when(test, row))
+        kept = df.where(reduce(or_, tests)).select(F.explode(F.array(*found)).alias("_hit"))
+        return kept.where(F.col("_hit").isNotNull()).select("_hit.*")
 
     def counts(self, active, cuts) -> dict:
         aggs = []
         for r in active:
             v = F.col(r.group)
-            lo, hi = (F.lit(c).cast(self.df.schema[r.group].dataType) for c in cuts[r.id])
+            lo, hi = (F.lit(c).cast(self._kind(r)) for c in cuts[r.id])
             tallies = _tallies(v, lo, hi, self._range(r))
             aggs += [c.alias(f"{name}_{r.id}") for name, c in tallies.items()]
         row = self.df.agg(*aggs).first()
         names = ("under", "on_lo", "inside", "on_hi")
         return {r.id: tuple(row[f"{name}_{r.id}"] for name in names) for r in active}
 
-    def rest(self, ranks) -> dict:
-        kept = self.df.where(reduce(or_, [self._range(r) for r in ranks]))
-        found = [
-            F.when(
-                self._range(r),
-                F.struct(
-                    F.lit(r.id).alias("_id"),
-                    F.lit(r.rank - r.below).cast("bigint").alias("_need"),
-                    F.col(r.group).cast("double" if self._mixed(ranks) else self._kind(r)).alias("_v"),
-                ),
-            )
-            for r in ranks
-        ]
-        hits = kept.select(F.explode(F.array(*found)).alias("_hit")).where(F.col("_hit").isNotNull())
-        return _ranked(hits.select("_hit.*"))
-
-    def _kind(self, r):
-        return self.df.schema[r.group].dataType
-
-    def _mixed(self, ranks):
-        return len({self._kind(r).simpleString() for r in ranks}) > 1
-
 
 class _Groups:
     """Scans for ranks of the column ``_v`` within groups of the columns ``by``."""
@@ -171,70 +183,69 @@ class _Groups:
     def __init__(self, values: DataFrame, by: list[str]):
         self.values, self.by = values, by
 
-    def _bounds(self, ranks, extra_fields, extra) -> DataFrame:
-        """Cut points as a frame: at most two rows per large group."""
+    def _match(self, ranks, extra_fields, extra) -> DataFrame:
+        """Rows strictly between their group's cuts. The cuts are broadcast: at most two
+        rows per large group."""
         kind = self.values.schema["_v"].dataType
+        keys = [f"_k{i}" for i in range(len(self.by))]
         fields = [
-            *[T.StructField(f"_k{i}", self.values.schema[c].dataType) for i, c in enumerate(self.by)],
+            *[
+                T.StructField(k, self.values.schema[c].dataType)
+                for k, c in zip(keys, self.by, strict=True)
+            ],
             T.StructField("_id", T.IntegerType()),
             T.StructField("_lower", kind),
             T.StructField("_upper", kind),
-            *extra_fields,
+            *[T.StructField(name, t) for name, t in extra_fields.items()],
         ]
         rows = [(*r.group, r.id, r.lower, r.upper, *extra(r)) for r in ranks]
-        return self.values.sparkSession.createDataFrame(rows, T.StructType(fields))
-
-    def _match(self, values: DataFrame, bounds: DataFrame) -> DataFrame:
-        """Rows strictly between their group's cuts; the bounds are few by design."""
-        same = [values[c].eqNullSafe(bounds[f"_k{i}"]) for i, c in enumerate(self.by)]
-        joined = values.join(F.broadcast(bounds), same)
+        bounds = self.values.sparkSession.createDataFrame(rows, T.StructType(fields))
+        same = [self.values[c].eqNullSafe(bounds[k]) for k, c in zip(keys, self.by, strict=True)]
+        joined = self.values.join(F.broadcast(bounds), same)
         return joined.where(_between(F.col("_v"), F.col("_lower"), F.col("_upper")))
 
-    def cuts(self, active, share) -> dict:
-        looked_at = self.values.sample(share, seed=0) if share < 1 else self.values
-        pick = [T.StructField("_lo", T.IntegerType()), T.StructField("_hi", T.IntegerType())]
-        lo, hi = F.col("_lo"), F.col("_hi")
-        sketch = (
-            self._match(looked_at, self._bounds(active, pick, _Rank.steps))
-            .groupBy("_id", "_lo", "_hi")
-            .agg(_points(F.col("_v")).alias("_points"))
-            .select(
-                "_id",
-                F.when(lo > 0, F.get("_points", lo)).alias("lo"),
-                F.when(hi < GRID, F.get("_points", hi)).alias("hi"),
-            )
-        )
-        return {row["_id"]: (row["lo"], row["hi"]) for row in sketch.collect()}
+    def hits(self, ranks, numbers, sampled: bool = False) -> DataFrame:
+        """Rows between the cuts of each rank: ``_id``, its two numbers, ``_v``."""
+        extra = {"_a": T.LongType(), "_b": T.LongType(), "_share": T.DoubleType()}
+        found = self._match(ranks, extra, lambda r: (*numbers(r), r.share))
+        if sampled:
+            found = found.where(F.rand(0) < F.col("_share"))
+        return found.select("_id", "_a", "_b", "_v")
 
     def counts(self, active, cuts) -> dict:
         kind = self.values.schema["_v"].dataType
-        fields = [T.StructField("_cut_lo", kind), T.StructField("_cut_hi", kind)]
-        matched = self._match(self.values, self._bounds(active, fields, lambda r: cuts[r.id]))
+        extra = {"_cut_lo": kind, "_cut_hi": kind}
+        matched = self._match(active, extra, lambda r: cuts[r.id])
         tallies = _tallies(F.col("_v"), F.col("_cut_lo"), F.col("_cut_hi"))
         counted = matched.groupBy("_id").agg(*[c.alias(name) for name, c in tallies.items()])
         return {row["_id"]: tuple(row)[1:] for row in counted.collect()}
 
-    def rest(self, ranks) -> dict:
-        need = [T.StructField("_need", T.LongType())]
-        bounds = self._bounds(ranks, need, lambda r: (r.rank - r.below,))
-        return _ranked(self._match(self.values, bounds).select("_id", "_need", "_v"))
-
-
-def _resolve(scans, ranks: list[_Rank], small: int, cuts: dict | None = None) -> None:
-    """Find the value of every rank; ``cuts`` are the first round's, if known."""
-    active = [r for r in ranks if r.rows > small]
-    while active:
-        share = SKETCH_ROWS / min(r.rows for r in active)
-        cuts = scans.cuts(active, share) if cuts is None else cuts
-        if not cuts.keys() >= {r.id for r in active}:  # a group the sample missed
-            cuts = scans.cuts(active, 1.0)
-        counts = scans.counts(active, cuts)
-        for r in active:
-            r.move(*cuts[r.id], *counts[r.id])
-        cuts = None
-        active = [r for r in active if not r.done and r.rows > small]
+
+def _resolve(scans, ranks: list[_Rank], small: int) -> None:
+    """Find the value of every rank. Ranks that lie between the same cuts move as one."""
+    stop = RANK_FACTOR * small
+    while True:
+        ranges = {}
+        for r in ranks:
+            if not r.done and r.rows > stop:
+                ranges.setdefault((r.group, r.lower, r.upper), []).append(r)
+        if not ranges:
+            break
+        heads = [together[0] for together in ranges.values()]
+        steps = {}
+        for together in ranges.values():
+            both = [r.steps() for r in together]
+            steps[together[0].id] = min(lo for lo, _ in both), max(hi for _, hi in both)
+        cuts = _sketched(scans.hits(heads, lambda r, at=steps: at[r.id], sampled=True))
+        if len(cuts) < len(heads):  # a group the sample missed
+            cuts = _sketched(scans.hits(heads, lambda r, at=steps: at[r.id]))
+        counts = scans.counts(heads, cuts)
+        for together in ranges.values():
+            head = together[0].id
+            for r in together:
+                r.move(*cuts[head], *counts[head])
     rest = [r for r in ranks if not r.done]
-    found = scans.rest(rest) if rest else {}
+    found = _ranked(scans.hits(rest, _Rank.need)) if rest else {}
     for r in rest:
         r.value, r.done = found[r.id], True
 
@@ -271,33 +282,23 @@ def column_statistics(
     """Quantile of each column over the whole table, and other aggregates of it.
 
     ``rows`` is an upper bound of the row count, when the caller knows one. A small table
-    takes one aggregation. For a larger one that aggregation also counts and sketches the
-    columns; a few scans follow, each serving all columns.
+    takes one aggregation; for a larger one a few scans follow, each serving all columns.
     """
     columns = list(columns)
     values = df.select(*columns)
     if rows is None:
         rows = values.count()
     others = [c.alias(name) for name, c in extra.items()]
+    first = F.count if rows > small else lambda c: F.percentile(c, q)
+    found = values.agg(*[first(c).alias(f"_c_{c}") for c in columns], *others).first()
+    extras = {name: found[name] for name in extra}
+    by_column = {c: found[f"_c_{c}"] for c in columns}
     if rows <= small:
-        found = values.agg(*[F.percentile(c, q).alias(f"_q_{c}") for c in columns], *others).first()
-        return {c: found[f"_q_{c}"] for c in columns}, {name: found[name] for name in extra}
-    looked_at = F.col("_draw") < SKETCH_ROWS / rows
-    first = (
-        values.withColumn("_draw", F.rand(0))
-        .agg(
-            *[F.count(c).alias(f"_n_{c}") for c in columns],
-            *[_points(F.when(looked_at, F.col(c))).alias(f"_p_{c}") for c in columns],
-            *others,
-        )
-        .first()
-    )
-    ranks, pairs = _pairs({c: first[f"_n_{c}"] for c in columns if first[f"_n_{c}"]}, q)
-    points = {r.id: first[f"_p_{r.group}"] for r in ranks}
-    cuts = {r.id: r.pick(points[r.id]) for r in ranks if points[r.id] is not None}
-    _resolve(_Columns(values), ranks, small, cuts)
-    quantiles = {c: _interpolate(*pairs[c]) if c in pairs else None for c in columns}
-    return quantiles, {name: first[name] for name in extra}
+        return by_column, extras
+    ranks, pairs = _pairs({c: n for c, n in by_column.items() if n}, q)
+    if ranks:
+        _resolve(_Columns(values), ranks, small)
+    return {c: _interpolate(*pairs[c]) if c in pairs else None for c in columns}, extras
 
 
 def column_quantiles(df: DataFrame, columns, q: float, *, rows=None, small=SMALL_GROUP) -> dict:
