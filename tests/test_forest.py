@@ -91,6 +91,17 @@ def test_sample_of_a_small_table_is_all_of_it(spark, rows):
     assert got.count() == 50
 
 
+@pytest.mark.parametrize("dealt", [False, True])
+def test_copies_count_once(spark, rows, dealt):
+    copies = rows.where("transaction_id = 'T000700'").crossJoin(spark.range(5000)).drop("id")
+    options = {"trees": 4, "size": SIZE, "key": "transaction_id", "dealt": dealt}
+    usual = P.tree_samples(rows, 1500, ["transaction_id"], **options)
+    got = P.tree_samples(rows.unionByName(copies), 6500, ["transaction_id"], **options)
+    assert sorted(got.collect()) == sorted(usual.collect())
+    few = P.tree_samples(copies, 5000, ["transaction_id"], **options)
+    assert few.count() == (1 if dealt else 4)
+
+
 def test_nodes(model):
     nodes = model.nodes
     assert nodes["tree"].nunique() == TREES

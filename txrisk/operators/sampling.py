@@ -70,6 +70,9 @@ def tree_samples(
     large the table, in a stage; the exact cut is made there. Should some tree have too
     few, the bound is raised and the scan repeated, so the outcome never depends on it.
     Which way rows meet trees depends on the row count only, never on the cluster.
+
+    Rows are told apart by their key, so copies count once, and collapse before they
+    move. A table with fewer distinct rows than ``size`` gives all of them.
     """
     columns = df.columns if columns is None else list(columns)
     size = min(size, rows)
@@ -78,10 +81,10 @@ def tree_samples(
     while True:
         wanted = oversample * size * (trees if dealt else 1)
         share = min(wanted / rows, 1.0) if rows else 1.0
-        found = materialize(
-            tree_candidates(df, columns, share, trees=trees, seed=seed, key=key, dealt=dealt),
-            "candidates",
+        candidates = tree_candidates(
+            df, columns, share, trees=trees, seed=seed, key=key, dealt=dealt
         )
+        found = materialize(candidates.distinct(), "candidates")
         short = trees - found.groupBy("tree").count().where(F.col("count") >= size).count()
         if short == 0 or share >= 1.0:
             break
