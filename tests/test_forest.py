@@ -198,6 +198,22 @@ def test_save_and_load(spark, rows, tmp_path):
     assert sorted(loaded.score(some).select(columns).collect()) == sorted(kept.collect())
 
 
+def test_fit_only(rows):
+    options = {"trees": 5, "size": 32, "features": ["transaction_amount"]}
+    fitted, scored = T.fit_and_score(rows, 0.05, **options)
+    alone = T.fit_forest(rows, 0.05, **options)
+    pd.testing.assert_frame_equal(alone.nodes, fitted.nodes)
+    assert alone.threshold == fitted.threshold
+    assert alone.score(rows).where("is_anomaly = 1").count() == (
+        scored.where("is_anomaly = 1").count()
+    )
+
+
+def test_model_size_is_checked(rows):
+    with pytest.raises(ValueError, match="too large"):
+        T.fit_trees(rows, trees=10_000_000)
+
+
 def test_score_without_threshold(rows, model):
     with pytest.raises(ValueError, match="threshold"):
         model.score(rows)

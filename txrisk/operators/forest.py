@@ -153,6 +153,8 @@ class ForestModel:
             depth, feature, split, path = shared.value
             levels = [slice(2**d - 1, 2 ** (d + 1) - 1) for d in range(depth)]
             for columns in batches:
+                if isinstance(columns, pd.Series):  # Spark passes a single feature bare
+                    columns = (columns,)
                 parts = []
                 for start in range(0, len(columns[0]), chunk):
                     part = [c.iloc[start : start + chunk].to_numpy(dtype=float) for c in columns]
@@ -299,8 +301,18 @@ def fit_and_score(
     return model, flag_scores(scored, model.threshold).drop("raw_score")
 
 
-def fit_forest(df: DataFrame, contamination: float = S.CONTAMINATION, **options) -> ForestModel:
-    return fit_and_score(df, contamination, **options)[0]
+def fit_forest(
+    df: DataFrame, contamination: float = S.CONTAMINATION, *, rows: int | None = None, **options
+) -> ForestModel:
+    """Fit on a stored table, for scoring other rows; only the scores are written."""
+    rows = df.count() if rows is None else rows
+    model = fit_trees(df, rows=rows, **options)
+    if rows:
+        inputs = df.select(*model.features)
+        scores = materialize(model.with_raw_score(inputs).select("raw_score"), "scores")
+        small = options.get("small", SMALL_GROUP)
+        model.threshold = score_threshold(scores, contamination, rows=rows, small=small)
+    return model
 
 
 def detect_anomalies(
