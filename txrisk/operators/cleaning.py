@@ -1,8 +1,5 @@
 """Cleaning: de-duplicate, drop invalid amounts, fill, impute, clip, cast."""
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,30 +76,53 @@ def _attach(df: DataFrame, medians: DataFrame) -> DataFrame:
     return df.join(medians, "_bracket", "left")  # adaptive execution splits hot brackets
 
 
+def _with_bracket(df: DataFrame) -> DataFrame:
+    return df.withColumn("_bracket", X.bracket(F.col("customer_age"), S.AGE_BRACKET))
+
+
+def bracket_counts(df: DataFrame) -> DataFrame:
+    """What the cleaning steps must know in advance, by age bracket, from one scan.
+
+    Rows, known and missing incomes, and missing integers; stored, being read twice.
+    """
+    income = F.col("customer_income")
+    counts = {"_rows": F.count(F.lit(1)), "_n": F.count(income)}
+    counts["_gaps"] = F.count_if(income.isNull())
+    counts |= {missing_mark(c): F.count_if(F.col(c).isNull()) for c in INTEGERS if c in df.columns}
+    grouped = _with_bracket(df).groupBy("_bracket")
+    return materialize(grouped.agg(*[c.alias(n) for n, c in counts.items()]), "brackets")
+
+
 def impute_income(
-    df: DataFrame, *, rows: int | None = None, small: int = SMALL_GROUP
+    df: DataFrame, *, counts: DataFrame | None = None, small: int = SMALL_GROUP
 ) -> DataFrame:
     """Fill income with the median of the age bracket, then with the overall median.
 
     Brackets come from the age as given, before clipping. The overall median is taken
     after the first fill. Reads two columns of ``df`` a few times: pass a stored table.
-    A missing bracket has no median, and matches none.
+    A missing bracket has no median, and matches none. ``counts`` are the table's
+    ``bracket_counts``, if at hand.
     """
-    income = F.col("customer_income")
-    keyed = df.withColumn("_bracket", X.bracket(F.col("customer_age"), S.AGE_BRACKET))
+    keyed = _with_bracket(df)
+    counts = bracket_counts(df) if counts is None else counts
+    bracket, known = F.col("_bracket"), F.col("_n")
+    # a null is left only where a bracket has no income at all, or an age is missing
+    unfilled = (bracket.isNull() | (known == 0)) & (F.col("_gaps") > 0)
+    rows, left = counts.agg(F.sum("_rows"), F.max(unfilled)).first()
+    rows = rows or 0
     medians = exact_quantile(
-        keyed.where(F.col("_bracket").isNotNull()),
+        keyed.where(bracket.isNotNull()),
         "customer_income",
         0.5,
         ["_bracket"],
         name="_median",
         rows=rows,
+        sizes=counts.where(bracket.isNotNull()),
         small=small,
     )
-    joined = _attach(keyed, medians)
-    filled = joined.withColumn("customer_income", F.coalesce(income, "_median")).select(*df.columns)
-    # a null is left only where a bracket has no income at all, or an age is missing
-    if joined.where(income.isNull() & F.col("_median").isNull()).isEmpty():
+    income = F.coalesce("customer_income", "_median")
+    filled = _attach(keyed, medians).withColumn("customer_income", income).select(*df.columns)
+    if not left:
         return filled
     overall = exact_quantile(filled, "customer_income", 0.5, rows=rows, small=small).first()[0]
     return filled if overall is None else filled.fillna({"customer_income": overall})
@@ -112,11 +132,9 @@ def clip_age(df: DataFrame) -> DataFrame:
     return df.withColumn("customer_age", X.clip(F.col("customer_age"), S.AGE_MIN, S.AGE_MAX))
 
 
-def check_integers(df: DataFrame) -> None:
+def check_integers(counts: DataFrame) -> None:
     """Raise when a column that must be an integer has missing values."""
-    tests = [F.max(F.col(c).isNull()).alias(c) for c in INTEGERS]
-    missing = reduce(or_, [F.col(c).isNull() for c in INTEGERS])
-    found = df.where(missing).agg(*tests).first()  # the test is pushed to the scan
+    found = counts.agg(*[F.sum(missing_mark(c)).alias(c) for c in INTEGERS]).first()
     bad = [c for c in INTEGERS if found[c]]
     if bad:
         raise ValueError(f"missing values in integer column(s): {', '.join(bad)}")
@@ -134,14 +152,19 @@ def cast_types(df: DataFrame, lenient: bool = False) -> DataFrame:
 
 
 def clean_distinct(
-    distinct: DataFrame, *, rows=None, lenient: bool = False, small: int = SMALL_GROUP
-) -> DataFrame:
-    """The steps after de-duplication, over a stored table of distinct transactions."""
+    distinct: DataFrame, *, lenient: bool = False, small: int = SMALL_GROUP
+) -> tuple[DataFrame, int]:
+    """The steps after de-duplication, over a stored table of distinct transactions.
+
+    Returns the cleaned table and its row count.
+    """
     kept = fill_city(keep_positive(distinct.select(*data_columns(distinct))))
+    counts = bracket_counts(kept)
     if not lenient:
-        check_integers(kept)
-    filled = impute_income(kept, rows=rows, small=small)
-    return cast_types(clip_age(filled), lenient)
+        check_integers(counts)
+    rows = counts.agg(F.sum("_rows")).first()[0] or 0
+    filled = impute_income(kept, counts=counts, small=small)
+    return cast_types(clip_age(filled), lenient), rows
 
 
 def clean(
@@ -154,9 +177,9 @@ def clean(
     """The whole cleaning run.
 
     The distinct rows are written to a stage once: that is the only shuffle of whole
-    rows. Medians then scan two columns of the stage, and the returned frame is a
-    projection over it.
+    rows. Counts and medians then scan a few columns of the stage, and the returned frame
+    is a projection over it.
     """
     S.check_columns(df, ["transaction_amount", "city", "customer_age", *FLOATS, *INTEGERS])
     distinct = materialize(distinct_transactions(df, order_by), "distinct")
-    return clean_distinct(distinct, rows=distinct.count(), lenient=lenient, small=small)
+    return clean_distinct(distinct, lenient=lenient, small=small)[0]

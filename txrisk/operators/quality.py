@@ -87,10 +87,8 @@ def profile_and_clean(
     Both read the stage of distinct transactions, whose copy counts give the profile.
     """
     distinct = materialize(distinct_transactions(df), "distinct")
-    cleaned = clean_distinct(distinct, rows=distinct.count(), lenient=lenient, small=small)
-    # no later step drops or adds rows
-    after = distinct.where(F.col("transaction_amount") > 0).count()
-    return with_removed(profile_distinct(distinct), after), cleaned
+    cleaned, rows = clean_distinct(distinct, lenient=lenient, small=small)
+    return with_removed(profile_distinct(distinct), rows), cleaned
 
 
 def cleaning_actions(report: DataFrame) -> DataFrame:

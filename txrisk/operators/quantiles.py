@@ -314,12 +314,13 @@ def exact_quantile(
     *,
     name: str = "quantile",
     rows: int | None = None,
+    sizes: DataFrame | None = None,
     small: int = SMALL_GROUP,
 ) -> DataFrame:
     """Interpolated quantile of a double column per group; nulls are skipped.
 
-    ``rows`` is an upper bound of the row count, when the caller knows one. Without it
-    the rows are counted. If no group can exceed ``small`` rows the result is a lazy
+    ``rows`` is an upper bound of the row count, and ``sizes`` the groups with their number
+    ``_n`` of values, when the caller knows them. Otherwise they are counted. If no group can exceed ``small`` rows the result is a lazy
     aggregate; otherwise the large groups are resolved first, in a few narrow scans.
     ``df`` should be a stored table then, since it is read several times.
     """
@@ -337,8 +338,10 @@ def exact_quantile(
         return values.groupBy(*by).agg(out)
 
     small = max(small, rows // MAX_LARGE_GROUPS)
-    sizes = values.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > small)
-    large = {tuple(row[c] for c in by): row["_n"] for row in sizes.collect()}
+    if sizes is None:
+        sizes = values.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.where(F.col("_n") > small).collect()
+    large = {tuple(row[c] for c in by): row["_n"] for row in large}
     ranks, pairs = _pairs(large, q)  # at most MAX_LARGE_GROUPS groups
     _resolve(_Groups(values, by), ranks, small)
 
