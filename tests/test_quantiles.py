@@ -1,6 +1,8 @@
 import duckdb
 import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from txrisk.operators import quantiles as Q
@@ -82,3 +84,37 @@ def test_a_cut_that_misses_the_rank_is_put_right():
     assert (rank.lower, rank.upper, rank.rows, rank.below) == (None, 5.0, 40, 0)
     rank.move(1.0, 2.0, 1, 1, 3, 1)  # rank lies over the upper cut
     assert (rank.lower, rank.upper, rank.rows, rank.below) == (2.0, 5.0, 34, 6)
+
+
+def tally(values, lo, hi):
+    under = sum(1 for v in values if lo is not None and v < lo)
+    on_lo = sum(1 for v in values if lo is not None and v == lo)
+    inside = sum((lo is None or v > lo) and (hi is None or v < hi) for v in values)
+    on_hi = sum(1 for v in values if hi is not None and v == hi and (lo is None or lo < hi))
+    return under, on_lo, inside, on_hi
+
+
+@given(
+    st.lists(st.integers(0, 20), min_size=1, max_size=60),
+    st.data(),
+)
+def test_any_cuts_keep_the_rank(values, data):
+    ordered = sorted(values)
+    rank = Q._Rank(0, "v", data.draw(st.integers(0, len(values) - 1)), len(values))
+    for _ in range(6):
+        inside = [
+            v
+            for v in ordered
+            if (rank.lower is None or v > rank.lower) and (rank.upper is None or v < rank.upper)
+        ]
+        assert rank.rows == len(inside)
+        assert rank.below == sum(rank.lower is not None and v <= rank.lower for v in ordered)
+        assert inside[rank.rank - rank.below] == ordered[rank.rank]
+        # any two points between the cuts, right or wrong, or none on a side
+        lo, hi = sorted([data.draw(st.sampled_from(inside)) for _ in range(2)])
+        lo = None if data.draw(st.booleans()) else lo
+        hi = None if data.draw(st.booleans()) else hi
+        rank.move(lo, hi, *tally(inside, lo, hi))
+        if rank.done:
+            assert rank.value == ordered[rank.rank]
+            break
