@@ -68,6 +68,15 @@ def test_exact_sample(rows, small):
     assert sample_exact(rows, 0.0).count() == 0 and sample_exact(rows, 1.0).count() == N
 
 
+def test_exact_sample_of_rows_that_share_a_key(rows):
+    shared = rows.withColumns(
+        {"city": F.col("transaction_id"), "transaction_id": F.lit("one key")}
+    )
+    got = sample_exact(shared, 0.01)
+    assert got.count() == 40
+    assert sorted(got.collect()) == sorted(sample_exact(shared.repartition(5), 0.01).collect())
+
+
 def test_share_sample(rows):
     assert near(sample_share(rows, 0.1).count(), 0.1)
 

@@ -102,11 +102,11 @@ def sample_exact(
     rows: int | None = None,
     small: int = SMALL_GROUP,
 ) -> DataFrame:
-    """Exactly ``floor(rows * fraction)`` rows without replacement; ``key`` is unique.
+    """Exactly ``floor(rows * fraction)`` rows without replacement.
 
     The cut is the n-th smallest key hash, found exactly by the quantile scans, so the
-    pick is a filter on the scan and no row is sorted or moved. Rows that share the
-    cut's hash (as good as never) are taken in key order.
+    pick is a filter on the scan and no row is sorted or moved. ``key`` should be unique;
+    rows on the cut, which share one hash, are taken in the order of their columns.
     """
     if rows is None:
         rows = df.count()
@@ -118,7 +118,7 @@ def sample_exact(
     cut = nth_smallest(hashes, "_hash", n - 1, rows, small)
     short = n - hashes.where(F.col("_hash") < cut).count()
     below = hashed.where(F.col("_hash") < cut)
-    on_cut = hashed.where(F.col("_hash") == cut).orderBy(*([key] if isinstance(key, str) else key))
+    on_cut = hashed.where(F.col("_hash") == cut).orderBy(*df.columns)
     return below.unionByName(on_cut.limit(short)).drop("_hash")
 
 
