@@ -117,3 +117,12 @@ def test_stage_keeps_schema_and_lies_in_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert all(f.removeprefix("file:").lstrip("/") for f in staged.inputFiles())
     assert all(root.strip("/") in f for f in staged.inputFiles())
+
+
+def test_drop_stages_deletes_only_its_folder(spark, tmp_path, monkeypatch):
+    (tmp_path / "other").mkdir()
+    monkeypatch.setattr(stages, "stage_root", lambda _: str(tmp_path / "txrisk-app"))
+    stages.materialize(transactions(spark, {}), "probe")
+    assert (tmp_path / "txrisk-app").exists()
+    stages.drop_stages(spark)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["other"]

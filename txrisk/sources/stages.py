@@ -38,3 +38,11 @@ def materialize(df: DataFrame, name: str = "stage", path: str | None = None) ->
     path = path or new_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete this application's stage folder, once its results are no longer read."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder.getFileSystem(conf).delete(folder, True)
