@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SMALL_GROUP = 1_000_000  # rows of a group whose distinct values one task may hold
-RANK_FACTOR = 5  # as many times more rows may be sorted in one task, which can spill
+RANK_FACTOR = 5  # as many times more rows may be sorted at the end, which can spill
 MAX_LARGE_GROUPS = 200_000  # groups whose cut points the driver holds at once
 GRID = 1000  # rank sketch: cut points offered per round
 ACCURACY = 20 * GRID
@@ -58,9 +58,6 @@ class _Rank:
         at = (self.rank - self.below) / self.rows
         return int(math.floor(at * GRID)) - 1, int(math.ceil(at * GRID)) + 1
 
-    def need(self) -> tuple[int, int]:
-        return self.rank - self.below, 0
-
     def move(self, lo, hi, under, on_lo, inside, on_hi) -> None:
         """Place the rank among: under lo, on lo, inside, on hi, over hi."""
         at = self.rank - self.below
@@ -119,16 +116,17 @@ def _sketched(hits: DataFrame) -> dict:
 
 
 def _ranked(hits: DataFrame) -> dict:
-    """The value at position ``_a`` among the few rows of each ``_id``."""
-    counted = hits.groupBy("_id", "_a", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    """The values at positions ``_a`` and ``_b`` among the few rows of each ``_id``."""
+    counted = hits.groupBy("_id", "_a", "_b", "_v").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy("_id").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    need, end = F.col("_a"), F.col("_upto")
-    found = (
-        counted.withColumn("_upto", F.sum("_n").over(upto))
-        .where((end > need) & (end - F.col("_n") <= need))
-        .select("_id", "_v")
-    )
-    return {row["_id"]: row["_v"] for row in found.collect()}
+    end = F.col("_upto")
+
+    def at(position):
+        here = (end > F.col(position)) & (end - F.col("_n") <= F.col(position))
+        return F.max(F.when(here, F.col("_v"))).alias(f"at{position}")
+
+    found = counted.withColumn("_upto", F.sum("_n").over(upto)).groupBy("_id")
+    return {row["_id"]: tuple(row)[1:] for row in found.agg(at("_a"), at("_b")).collect()}
 
 
 class _Columns:
@@ -221,33 +219,47 @@ class _Groups:
         return {row["_id"]: tuple(row)[1:] for row in counted.collect()}
 
 
+def _ranges(ranks) -> list[list[_Rank]]:
+    """Open ranks by the cuts they lie between: one rank, or the two of a quantile."""
+    found = {}
+    for r in ranks:
+        if not r.done:
+            found.setdefault((r.group, r.lower, r.upper), []).append(r)
+    return list(found.values())
+
+
 def _resolve(scans, ranks: list[_Rank], small: int) -> None:
-    """Find the value of every rank. Ranks that lie between the same cuts move as one."""
-    stop = RANK_FACTOR * small
+    """Find the value of every rank.
+
+    Ranges are narrowed until all that is left between cuts can be ranked at once: few
+    rows in all, or few in each range.
+    """
     while True:
-        ranges = {}
-        for r in ranks:
-            if not r.done and r.rows > stop:
-                ranges.setdefault((r.group, r.lower, r.upper), []).append(r)
-        if not ranges:
+        ranges = _ranges(ranks)
+        if sum(together[0].rows for together in ranges) <= RANK_FACTOR * small:
+            break
+        wide = [together for together in ranges if together[0].rows > min(GRID, small)]
+        if not wide:
             break
-        heads = [together[0] for together in ranges.values()]
-        steps = {}
-        for together in ranges.values():
+        heads, steps = [together[0] for together in wide], {}
+        for together in wide:
             both = [r.steps() for r in together]
             steps[together[0].id] = min(lo for lo, _ in both), max(hi for _, hi in both)
         cuts = _sketched(scans.hits(heads, lambda r, at=steps: at[r.id], sampled=True))
         if len(cuts) < len(heads):  # a group the sample missed
             cuts = _sketched(scans.hits(heads, lambda r, at=steps: at[r.id]))
         counts = scans.counts(heads, cuts)
-        for together in ranges.values():
+        for together in wide:
             head = together[0].id
             for r in together:
                 r.move(*cuts[head], *counts[head])
-    rest = [r for r in ranks if not r.done]
-    found = _ranked(scans.hits(rest, _Rank.need)) if rest else {}
-    for r in rest:
-        r.value, r.done = found[r.id], True
+    if not ranges:
+        return
+    places = {t[0].id: (t[0].rank - t[0].below, t[-1].rank - t[-1].below) for t in ranges}
+    found = _ranked(scans.hits([t[0] for t in ranges], lambda r: places[r.id]))
+    for together in ranges:
+        first, last = found[together[0].id]
+        together[0].value, together[-1].value = first, last
 
 
 def _pairs(sizes: dict, q: float) -> tuple[list[_Rank], dict]:
