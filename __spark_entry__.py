@@ -36,6 +36,14 @@ from txrisk.sources import transactions as sources  # noqa: E402
 from txrisk.sources.orders_fixture import raw_transactions  # noqa: E402
 from txrisk.sources.stages import materialize, new_path  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline
+    from txrisk.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "txrisk.llm"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -287,6 +295,10 @@ def entry(spark: SparkSession) -> DataFrame:
     return run.reports["anomaly_rate_by_category"]
 
 
+def _training_data() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     raw, ledger, cleaned = raw_transactions, _ledger, _cleaned
     return {
@@ -381,9 +393,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "plant_exact": _plant_exact,
         "union_duplicates": _on(raw, lambda df: _text_dates(planting.plant_duplicates(df))),
         "sample_exact_n": _sample_exact,
+        **_training_data(),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     fixed = O.fixed_forest_sql(forest.path_constant(O.FIXED_SIZE))
-    return {**O.SQL, "score_fixed_forest": fixed}
+    more = llm.SQL if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        more = {**more, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {**O.SQL, "score_fixed_forest": fixed, **more}
