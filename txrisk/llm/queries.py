@@ -1,10 +1,14 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from txrisk.llm import packing, token_files
+from txrisk.llm import packing, pii, quality_gam, secrets, token_files, url_filter
 
 QUERIES = {
+    "op3_quality_gam": quality_gam.quality_gam,
+    "op4_pii": pii.pii,
+    "op5_url_filter": url_filter.url_filter,
     "op7_packing": packing.packing,
+    "op9_secrets": secrets.secrets,
     "op10_token_files": token_files.token_files,
 }
 
-SQL = {}
+SQL = {"op5_url_filter": url_filter.SQL}
