@@ -1,11 +1,24 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from txrisk.llm import packing, pii, quality_gam, secrets, token_files, url_filter
+from txrisk.llm import (
+    decontamination,
+    packing,
+    pii,
+    quality_gam,
+    rotated_codes,
+    secrets,
+    substrings,
+    token_files,
+    url_filter,
+)
 
 QUERIES = {
+    "op1_rotated_codes": rotated_codes.rotated_codes,
+    "op2_decontamination": decontamination.decontamination,
     "op3_quality_gam": quality_gam.quality_gam,
     "op4_pii": pii.pii,
     "op5_url_filter": url_filter.url_filter,
+    "op6_substrings": substrings.substrings,
     "op7_packing": packing.packing,
     "op9_secrets": secrets.secrets,
     "op10_token_files": token_files.token_files,
