@@ -36,7 +36,7 @@ from txrisk.sources.stages import new_path
 
 MAGIC = 0x31534C4944495654
 HEADER = 8
-BLOCK_IDS = 2_000_000
+BLOCK_IDS = 1_000_000
 PART_CHARS = 32_000_000
 
 # Data bytes of the four ids of each control byte, from the least significant bits up.

@@ -2,8 +2,8 @@
 
 Byte-level BPE first splits a text into pieces and merges within each piece, so a piece
 always gets the same ids. ``Encoder`` asks the library for the ids of pieces it has not
-met and keeps them in bounded tables, one set per Python worker. Words between single
-blanks are looked up whole. Texts with characters outside the plain set below go through
+met and keeps them in a bounded table, one per Python worker. Words between single blanks
+are looked up whole, without the comma or full stop after them. Texts with characters outside the plain set below go through
 the library whole, so every text gets the library's own ids.
 """
 
@@ -21,7 +21,10 @@ _PLAIN = re.compile(rf"[\t-\r -~{_LETTERS}¡-©«¬®-±´¶-¸»¿×÷–—‘
 # White space other than single blanks and single line ends within a text.
 _SPACED = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\v", "\f")
 
-MEMO = 8_000_000  # characters of words that a worker keeps
+# A comma or full stop that another sign precedes, with which it would make one piece.
+_JOINED = re.compile(rf"[^{_LETTERS}0-9][.,][ \n]")
+
+MEMO = 5_000_000  # characters of words that a worker keeps
 CHUNK_CHARS = 2_000_000  # text handled at once
 GLUED = "\x01"  # marks a word that follows a line end, not a blank
 
@@ -52,7 +55,7 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.pieces, self.words, self.kept = {}, {}, 0
+        self.words, self.kept = {}, 0
         self.ids = np.zeros(0, np.uint32)
         self.starts = self.lengths = np.zeros(0, np.int64)
 
@@ -60,12 +63,8 @@ class Encoder:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def _piece(self, piece):
-        found = self.pieces.get(piece)
-        if found is None:
-            spelled = piece.encode().decode("latin-1").translate(self.letters)
-            found = tuple(t.id for t in self.model.tokenize(spelled))
-            self.pieces[piece] = found
-        return found
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(spelled)]
 
     def _word(self, word):
         """Ids of a word as it stands after a blank, or after a line end if so marked."""
@@ -77,8 +76,6 @@ class Encoder:
 
     def _split(self, text):
         """Ids of a plain text, piece by piece."""
-        if len(self.pieces) > self.memo // 8:
-            self.pieces.clear()
         return [i for p in _PIECES.findall(text) for i in self._piece(p)]
 
     def _learn(self, words):
@@ -125,7 +122,12 @@ class Encoder:
             elif text[0].isspace() or text[-1].isspace() or any(s in text for s in _SPACED):
                 out[i] = np.array(self._split(text), np.uint32)
             else:
-                own = (GLUED + text).replace("\n", " \n " + GLUED).split(" ")
+                own = GLUED + text
+                if not _JOINED.search(text):
+                    for sign in ",.":
+                        own = own.replace(f"{sign} ", f" {GLUED}{sign} ")
+                        own = own.replace(f"{sign}\n", f" {GLUED}{sign}\n")
+                own = own.replace("\n", f" \n {GLUED}").split(" ")
                 held.append(i)
                 words.extend(own)
                 counts.append(len(own))
