@@ -63,7 +63,7 @@ def pack_binary(
                     for length in piece_lengths(len(ids), size):
                         piece = ids[start : start + length]
                         row = (name, start, length, zlib.crc32(piece), len(ids), number, 0)
-                        out.append((*row, length.bit_length() - 1, *([piece] * with_ids)))
+                        out.append((*row, length.bit_length() - 1, *([piece.astype(np.int32)] * with_ids)))
                         start += length
                         number += 1
                 names = [x.split()[0] for x in SCHEMA.split(", ")] + ["ids"] * with_ids
@@ -74,7 +74,7 @@ def pack_binary(
                 yield made
 
     rows = tables.spread(tables.texts(docs))
-    return rows.mapInPandas(pieces, SCHEMA + (", ids array<bigint>" if with_ids else ""))
+    return rows.mapInPandas(pieces, SCHEMA + (", ids array<int>" if with_ids else ""))
 
 
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -234,15 +234,19 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-score))
 
 
-def train(features: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
-    """A model from labelled rows that are not held out, ``fit_rows`` of them at most."""
+def label_sample(labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """doc_id and label (y) of ``fit_rows`` labelled documents at most, none held out."""
     label = F.avg(F.col("quality").cast("double")).alias("y")
     usable = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
     usable = usable.filter(~held_out(F.col("doc_id").cast("bigint")))
     each = usable.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(label)
-    order = (F.xxhash64("doc_id"), "doc_id")
-    some = each.orderBy(*order).limit(fit_rows)
-    rows = features.join(F.broadcast(some), "doc_id").orderBy(*order, "features").limit(fit_rows)
+    return each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+
+
+def train(features: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
+    """A model from the labelled rows of ``label_sample``, ``fit_rows`` of them at most."""
+    rows = features.join(F.broadcast(label_sample(labels, fit_rows)), "doc_id")
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(fit_rows)
     held = rows.select("features", "y").toPandas()
     x = np.array(held["features"].tolist(), float).reshape(-1, len(FEATURES))
     return fit(x, held["y"].to_numpy(float))
@@ -268,6 +272,25 @@ def score_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     )
 
 
+def keep_accepted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """``docs`` without the rows whose text the classifier rejects, all columns as they
+    are. Texts are read once for training, by labelled documents only, and once for
+    dropping, so no row needs a key."""
+    chosen = F.broadcast(label_sample(labels, fit_rows).select("doc_id"))
+    labelled = tables.texts(docs).join(chosen, "doc_id", "left_semi")
+    model = docs.sparkSession.sparkContext.broadcast(
+        train(featurize(labelled), labels, fit_rows)
+    )
+
+    def keep(batch: pd.DataFrame) -> pd.DataFrame:
+        x = [text_features(t) if isinstance(t, str) else text_features("") for t in batch["text"]]
+        score = predict(model.value, np.array(x, float).reshape(-1, len(FEATURES)))
+        return batch[score >= ACCEPT]
+
+    rows = tables.spread(docs)
+    return rows.mapInPandas(lambda batches: in_slices(batches, keep), docs.schema)
+
+
 def quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (tables.read(spark, sf_dir, t) for t in ("documents", "labels"))
     return score_quality(docs, labels)

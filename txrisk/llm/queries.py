@@ -2,6 +2,7 @@
 
 from txrisk.llm import (
     decontamination,
+    near_duplicates,
     packing,
     pii,
     quality_gam,
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_url_filter": url_filter.url_filter,
     "op6_substrings": substrings.substrings,
     "op7_packing": packing.packing,
+    "op8_near_duplicates": near_duplicates.jaccard_join,
     "op9_secrets": secrets.secrets,
     "op10_token_files": token_files.token_files,
 }
