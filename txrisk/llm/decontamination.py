@@ -21,12 +21,10 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.llm import tables
-from txrisk.llm.spans import in_slices
 
 PER_EDIT = 8
 ITEM_CHARS = 16_000_000
@@ -146,25 +144,25 @@ def item_blocks(benchmark: DataFrame, limit: int = ITEM_CHARS) -> Iterator[list[
 def find_contamination(docs: DataFrame, benchmark: DataFrame, per_edit: int = PER_EDIT) -> DataFrame:
     """Every match of a test item in a document."""
     rows, spark = tables.spread(tables.texts(docs)), docs.sparkSession
+    names = tables.names_of(OUT)
 
     def one_pass(items):
         held = spark.sparkContext.broadcast(items)
 
-        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def start():
             matcher = Matcher(held.value, per_edit)
 
-            def some(batch: pd.DataFrame) -> pd.DataFrame:
+            def search(some: dict) -> dict:
                 found = [
-                    (None if pd.isna(d) else int(d), *m)
-                    for d, t in zip(batch["doc_id"], batch["text"], strict=True)
+                    (d, *m)
+                    for d, t in zip(some["doc_id"], some["text"], strict=True)
                     for m in matcher.matches(t)
                 ]
-                out = pd.DataFrame(found, columns=[c.split()[0] for c in OUT.split(", ")])
-                return out.astype({"doc_id": "Int64", "item_id": "Int64"})
+                return {c: [row[i] for row in found] for i, c in enumerate(names)}
 
-            return in_slices(batches, some)
+            return search
 
-        return rows.mapInPandas(search, OUT)
+        return tables.map_slices(rows, start, OUT)
 
     return reduce(DataFrame.unionByName, map(one_pass, item_blocks(benchmark)))
 
@@ -175,12 +173,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, per_edit: int = PER_EDI
     for items in item_blocks(benchmark):
         held = spark.sparkContext.broadcast(items)
 
-        def clean(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
+        def start(held=held):
             matcher = Matcher(held.value, per_edit)
-            for batch in batches:
-                yield batch[[not matcher.matches(t) for t in batch["text"]]]
+            return lambda texts: [not matcher.matches(t) for t in texts]
 
-        out = out.mapInPandas(clean, docs.schema)
+        out = tables.filter_rows(out, start)
     return out
 
 

@@ -11,11 +11,10 @@ columns are not read. ``sequence_id`` numbers pieces within a partition of the i
 the partition's number in the higher bits.
 """
 
+import itertools
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from txrisk.llm import tables
@@ -49,32 +48,29 @@ def pack_binary(
         raise ValueError("size must be a power of two")
     vocabulary = vocabulary or vocabulary_path()
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = SCHEMA + (", ids array<int>" if with_ids else "")
+    names = tables.names_of(schema)
+
+    def start():
         from pyspark import TaskContext
 
-        number, own = TaskContext.get().partitionId() << PART_BITS, encoder(vocabulary)
-        for batch in batches:
-            for a in range(0, len(batch), 500):
-                some = batch.iloc[a : a + 500]
-                out = []
-                for name, ids in zip(some["doc_id"], own.encode(some["text"].tolist())):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    start = 0
-                    for length in piece_lengths(len(ids), size):
-                        piece = ids[start : start + length]
-                        row = (name, start, length, zlib.crc32(piece), len(ids), number, 0)
-                        out.append((*row, length.bit_length() - 1, *([piece.astype(np.int32)] * with_ids)))
-                        start += length
-                        number += 1
-                names = [x.split()[0] for x in SCHEMA.split(", ")] + ["ids"] * with_ids
-                made = pd.DataFrame(out, columns=names)
-                made["doc_id"] = pd.array(
-                    [None if pd.isna(d) else int(d) for d in made["doc_id"]], "Int64"
-                )
-                yield made
-
-    rows = tables.spread(tables.texts(docs))
-    return rows.mapInPandas(pieces, SCHEMA + (", ids array<int>" if with_ids else ""))
+        number = itertools.count(TaskContext.get().partitionId() << PART_BITS)
+        own = encoder(vocabulary)
+
+        def pieces(some: dict) -> dict:
+            out = []
+            for name, ids in zip(some["doc_id"], own.encode(some["text"]), strict=True):
+                ids, at = np.append(ids, np.uint32(end_id)).astype("<u4"), 0
+                for length in piece_lengths(len(ids), size):
+                    piece = ids[at : at + length]
+                    row = (name, at, length, zlib.crc32(piece), len(ids), next(number), 0)
+                    out.append((*row, length.bit_length() - 1, piece.astype(np.int32)))
+                    at += length
+            return dict(zip(names, zip(*out, strict=True), strict=False))
+
+        return pieces
+
+    return tables.map_slices(tables.spread(tables.texts(docs)), start, schema)
 
 
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:

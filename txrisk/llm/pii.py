@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.llm import tables
-from txrisk.llm.spans import Span, digest, free_of, in_slices, listing
+from txrisk.llm.spans import Span, digest, free_of, listing
 from txrisk.sources.stages import materialize
 
 BASE = ("email", "ip", "card", "phone")
@@ -176,9 +176,11 @@ SCANNED = (
 def scan(docs: DataFrame) -> DataFrame:
     """For each document its base spans, and its candidates with their votes."""
 
-    def rows(batch: pd.DataFrame) -> pd.DataFrame:
+    names = tables.names_of(SCANNED)
+
+    def rows(some: dict) -> dict:
         out = []
-        for name, text in zip(batch["doc_id"], batch["text"], strict=True):
+        for name, text in zip(some["doc_id"], some["text"], strict=True):
             base = base_spans(text)
             counts = [sum(k == kind for k, _, _ in base) for kind in BASE]
             line = listing(base, KINDS)
@@ -186,14 +188,10 @@ def scan(docs: DataFrame) -> DataFrame:
                 {"kind": k, "start": a, "end": b, "votes": v}
                 for k, a, b, v in candidates(text, base)
             ]
-            out.append((None if pd.isna(name) else int(name), *counts, digest(line), line, found))
-        columns = "doc_id n_email n_ip n_card n_phone base_sha256 base found".split()
-        made = pd.DataFrame(out, columns=columns)
-        made["doc_id"] = made["doc_id"].astype("Int64")
-        return made
+            out.append((name, *counts, digest(line), line, found))
+        return dict(zip(names, zip(*out, strict=True), strict=True))
 
-    texts = tables.spread(tables.texts(docs))
-    return texts.mapInPandas(lambda batches: in_slices(batches, rows), SCANNED)
+    return tables.map_slices(tables.spread(tables.texts(docs)), lambda: rows, SCANNED)
 
 
 def reliabilities(patterns: pd.DataFrame, rounds: int = EM_ROUNDS):
@@ -254,16 +252,16 @@ def find_pii(docs: DataFrame, least: float = LEAST) -> DataFrame:
         kept = patterns[score >= least]
         chosen = set(zip(kept["kind"], kept["votes"], strict=True))
 
-    def spans(batch: pd.DataFrame) -> pd.DataFrame:
+    def spans(some: dict) -> dict:
         out = []
-        for base, found in zip(batch["base"], batch["found"], strict=True):
+        for base, found in zip(some.pop("base"), some.pop("found"), strict=True):
             more = [(c["kind"], c["start"], c["end"]) for c in found if (c["kind"], c["votes"]) in chosen]
             own = [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in base.split(",") if s)]
             out.append(listing(own + more, KINDS) if more else base)
-        return batch.drop(columns=["base", "found"]).assign(spans=out)
+        return {**some, "spans": out}
 
     schema = SCANNED.split(", base string")[0] + ", spans string"
-    return scanned.mapInPandas(lambda batches: map(spans, batches), schema)
+    return tables.map_slices(scanned, lambda: spans, schema)
 
 
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:

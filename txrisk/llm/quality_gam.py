@@ -21,12 +21,10 @@ import itertools
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.llm import tables
-from txrisk.llm.spans import in_slices
 from txrisk.sources.stages import materialize
 
 FIT_ROWS = 20_000
@@ -104,14 +102,11 @@ def held_out(doc_id: Column) -> Column:
 def featurize(docs: DataFrame) -> DataFrame:
     """doc_id and the array of features of every document."""
 
-    def rows(batch: pd.DataFrame) -> pd.DataFrame:
-        made = [text_features(t) for t in batch["text"]]
-        return pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "features": made})
+    def rows(some: dict) -> dict:
+        return {"doc_id": some["doc_id"], "features": list(map(text_features, some["text"]))}
 
     texts = tables.spread(tables.texts(docs))
-    return texts.mapInPandas(
-        lambda batches: in_slices(batches, rows), "doc_id bigint, features array<double>"
-    )
+    return tables.map_slices(texts, lambda: rows, "doc_id bigint, features array<double>")
 
 
 def _leaf(g, h):
@@ -257,13 +252,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     features = materialize(featurize(docs), "features")
     model = docs.sparkSession.sparkContext.broadcast(train(features, labels, fit_rows))
 
-    def score(batches):
-        for batch in batches:
-            x = np.array(batch["features"].tolist(), float).reshape(-1, len(FEATURES))
-            out = {"doc_id": batch["doc_id"].astype("Int64"), "score": predict(model.value, x)}
-            yield pd.DataFrame(out)
+    def score(some: dict) -> dict:
+        x = np.array(some["features"], float).reshape(-1, len(FEATURES))
+        return {"doc_id": some["doc_id"], "score": predict(model.value, x)}
 
-    scored = features.mapInPandas(score, "doc_id bigint, score double")
+    scored = tables.map_slices(features, lambda: score, "doc_id bigint, score double")
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
@@ -282,13 +275,11 @@ def keep_accepted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
         train(featurize(labelled), labels, fit_rows)
     )
 
-    def keep(batch: pd.DataFrame) -> pd.DataFrame:
-        x = [text_features(t) if isinstance(t, str) else text_features("") for t in batch["text"]]
-        score = predict(model.value, np.array(x, float).reshape(-1, len(FEATURES)))
-        return batch[score >= ACCEPT]
+    def keep(texts: list) -> list:
+        x = np.array([text_features(t or "") for t in texts], float).reshape(-1, len(FEATURES))
+        return (predict(model.value, x) >= ACCEPT).tolist()
 
-    rows = tables.spread(docs)
-    return rows.mapInPandas(lambda batches: in_slices(batches, keep), docs.schema)
+    return tables.filter_rows(tables.spread(docs), lambda: keep)
 
 
 def quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:

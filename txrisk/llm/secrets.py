@@ -16,13 +16,11 @@ are left out; an empty table gives no rows; other columns are not read.
 import math
 import re
 from collections.abc import Iterator
-from functools import partial
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from txrisk.llm import tables
-from txrisk.llm.spans import Span, digest, free_of, in_slices, listing
+from txrisk.llm.spans import Span, digest, free_of, listing
 
 KINDS = ("assign", "access", "hex", "guess")
 GUESSES = 10.0  # decimal logarithm
@@ -190,15 +188,13 @@ def _row(name, text, least):
 def scan_secrets(docs: DataFrame, least: float = GUESSES) -> DataFrame:
     """One row for each document: counts and digest of the fixed patterns' spans, all spans."""
 
-    def scan(batch: pd.DataFrame) -> pd.DataFrame:
-        names = [None if pd.isna(d) else int(d) for d in batch["doc_id"]]
-        rows = map(partial(_row, least=least), names, batch["text"])
-        out = pd.DataFrame(list(rows), columns=[x.split()[0] for x in SCHEMA.split(", ")])
-        out["doc_id"] = pd.array(names, "Int64")
-        return out
+    names = tables.names_of(SCHEMA)
 
-    rows = tables.spread(tables.texts(docs))
-    return rows.mapInPandas(lambda batches: in_slices(batches, scan), SCHEMA)
+    def scan(some: dict) -> dict:
+        rows = [_row(d, t, least) for d, t in zip(some["doc_id"], some["text"], strict=True)]
+        return dict(zip(names, zip(*rows, strict=True), strict=True))
+
+    return tables.map_slices(tables.spread(tables.texts(docs)), lambda: scan, SCHEMA)
 
 
 def redact(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
@@ -214,15 +210,10 @@ def redact(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
 def redact_secrets(docs: DataFrame, least: float = GUESSES, mark: str = "[SECRET]") -> DataFrame:
     """``docs``, its columns as they are, with the secrets in ``text`` replaced."""
 
-    def clean(batch: pd.DataFrame) -> pd.DataFrame:
-        texts = [
-            t if t is None or not (s := all_spans(t, least)) else redact(t, s, mark)
-            for t in batch["text"]
-        ]
-        return batch.assign(text=texts)
+    def clean(text: str) -> str:
+        return redact(text, all_spans(text, least), mark)
 
-    rows = tables.spread(docs)
-    return rows.mapInPandas(lambda batches: in_slices(batches, clean), docs.schema)
+    return tables.replace_texts(tables.spread(docs), clean)
 
 
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

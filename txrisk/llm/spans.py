@@ -1,10 +1,6 @@
 """Spans of a text as (kind, start, end), in code points with the end exclusive."""
 
 import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
-
 Span = tuple[str, int, int]
 
 
@@ -30,10 +26,3 @@ def free_of(found: list[Span], taken: list[Span]) -> list[Span]:
             kept.append((kind, a, b))
             last = b
     return kept
-
-
-def in_slices(batches: Iterator[pd.DataFrame], work, rows: int = 500) -> Iterator[pd.DataFrame]:
-    """``work`` over slices of each batch, so that long texts don't pile up."""
-    for batch in batches:
-        for a in range(0, len(batch), rows):
-            yield work(batch.iloc[a : a + rows])

@@ -23,12 +23,13 @@ import hashlib
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txrisk.llm import codes as C
 from txrisk.llm import tables
 
 WINDOW = 35
-OUT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
+OUT = "doc_id string, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
 def _around(hit: np.ndarray, n: int, anchor: int, window: int) -> np.ndarray:
@@ -64,6 +65,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     rows = tables.texts(docs)
     groups, buckets, bits = C.layout(rows)
     dealt = C.grouped(docs, groups)
+    # as text, since pandas has no whole numbers beside missing ones
+    dealt = dealt.withColumn("doc_id", F.col("doc_id").cast("string"))
 
     def probe(key: tuple, texts: pd.DataFrame) -> pd.DataFrame:
         found, flags = [], []
@@ -110,9 +113,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
                     gone = n - len(words)
             kept = b" ".join(words)
             last = kept.decode() if with_text else hashlib.sha256(kept).hexdigest()
-            out.append((None if pd.isna(name) else int(name), n, gone, last))
-        made = pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256"])
-        return made.astype({"doc_id": "Int64"})
+            out.append((name, n, gone, last))
+        return pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     probes = dealt.groupBy("grp").applyInPandas(probe, C.SENT)
     near = C.met(probes)
@@ -120,6 +122,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     around = by_group.cogroup(near.groupBy("grp")).applyInPandas(extend, C.SENT)
     twice = C.met(around)
     out = by_group.cogroup(twice.groupBy("grp")).applyInPandas(keep, OUT)
+    out = out.withColumn("doc_id", F.col("doc_id").cast("bigint"))
     return out.withColumnRenamed("kept_sha256", "kept") if with_text else out
 
 

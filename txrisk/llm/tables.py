@@ -2,11 +2,15 @@
 they cut their work into."""
 
 import math
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-TEXT_SCHEMA = "doc_id bigint, text string"
+SLICE_ROWS = 500  # rows that Python holds as objects at a time
 
 
 def read(spark, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +35,57 @@ def parts_for(docs: DataFrame, part_chars: int) -> int:
     return max(math.ceil(chars / part_chars), min(cores, 1 + chars // 100_000))
 
 
+def names_of(schema: str) -> list[str]:
+    return StructType.fromDDL(schema).names
+
+
+def map_slices(rows: DataFrame, start: Callable[[], Callable], schema: str | StructType) -> DataFrame:
+    """``rows`` through a function of whole numbers, strings and lists, with None for missing.
+
+    ``start`` is called once for each partition and returns the function, which takes the
+    columns of some rows as a dictionary of lists and returns, or yields, the same of the
+    result."""
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work, arrow = start(), to_arrow_schema(kind)
+        for batch in batches:
+            for a in range(0, batch.num_rows, SLICE_ROWS):
+                made = work(batch.slice(a, SLICE_ROWS).to_pydict())
+                for out in [made] if isinstance(made, dict) else made:
+                    yield pa.RecordBatch.from_pydict(out, schema=arrow)
+
+    return rows.mapInArrow(run, kind)
+
+
+def filter_rows(rows: DataFrame, start: Callable[[], Callable]) -> DataFrame:
+    """``rows`` whose text a function keeps, all columns as they are. ``start`` returns a
+    function from a list of texts to a list of yes and no."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = start()
+        for batch in batches:
+            for a in range(0, batch.num_rows, SLICE_ROWS):
+                some = batch.slice(a, SLICE_ROWS)
+                yield some.filter(pa.array(keep(some.column("text").to_pylist()), pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def replace_texts(rows: DataFrame, work: Callable[[str], str]) -> DataFrame:
+    """``rows`` with ``work`` applied to each text that is there, other columns as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, kind = batch.schema.get_field_index("text"), batch.schema.field("text")
+            for a in range(0, batch.num_rows, SLICE_ROWS):
+                some = batch.slice(a, SLICE_ROWS)
+                texts = [t if t is None else work(t) for t in some.column(at).to_pylist()]
+                yield some.set_column(at, kind, pa.array(texts, kind.type))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def spread(rows: DataFrame) -> DataFrame:
     """``rows`` as they are when they already lie in enough partitions to use the cluster,
     else dealt out evenly."""

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,21 +143,20 @@ def write_token_files(
         "doc_id", "text"
     )
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, before, held, names, size = TaskContext.get().partitionId(), 0, [], [], 0
-        own = encoder(vocabulary)
+        own, schema = encoder(vocabulary), pa.schema({"part": pa.int32(), "block": pa.binary()})
 
         def block():
             raw = write_block(part, before, names, held)
-            return pd.DataFrame({"part": [part], "block": [raw]})
+            return pa.RecordBatch.from_pydict({"part": [part], "block": [raw]}, schema)
 
         for batch in batches:
-            for a in range(0, len(batch), 500):
-                some = batch.iloc[a : a + 500]
-                doc_ids = [None if pd.isna(d) else int(d) for d in some["doc_id"]]
-                for name, ids in zip(doc_ids, own.encode(some["text"].tolist()), strict=True):
+            for a in range(0, batch.num_rows, tables.SLICE_ROWS):
+                some = batch.slice(a, tables.SLICE_ROWS).to_pydict()
+                for name, ids in zip(some["doc_id"], own.encode(some["text"]), strict=True):
                     names.append(name)
                     held.append(np.append(ids, np.uint32(end_id)))
                     size += len(ids) + 1
@@ -166,7 +166,7 @@ def write_token_files(
         if held:
             yield block()
 
-    made = ordered.mapInPandas(blocks, "part int, block binary")
+    made = ordered.mapInArrow(blocks, "part int, block binary")
     # the text writer puts out a string's bytes as they are
     made.select("part", F.col("block").cast("string").alias("value")).write.partitionBy(
         "part"

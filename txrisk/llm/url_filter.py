@@ -18,7 +18,6 @@ allowed; other columns are not read.
 """
 
 import functools
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -152,18 +151,17 @@ def in_list(rows: DataFrame, made: DataFrame, shards: int, limit: int = BROADCAS
         chosen = made.filter((F.col("shard") >= group[0]) & (F.col("shard") <= group[-1]))
         held = spark.sparkContext.broadcast({r.shard: r.cascade for r in chosen.collect()})
 
-        def ask(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                listed = batch["listed"].to_numpy(bool).copy()
-                pair = [batch[c].to_numpy(np.int64).view(np.uint64) for c in ("h1", "h2")]
-                shard = batch["shard"].to_numpy()
-                for s in np.unique(shard):
-                    if s in held.value:
-                        at = np.flatnonzero(shard == s)
-                        listed[at] = ask_cascade(held.value[s], *(x[at] for x in pair))
-                yield batch.assign(listed=listed)
-
-        out = out.mapInPandas(ask, out.schema)
+        def ask(some: dict, held=held) -> dict:
+            listed = np.array(some["listed"], bool)
+            pair = [np.array(some[c], np.int64).view(np.uint64) for c in ("h1", "h2")]
+            shard = np.array(some["shard"])
+            for s in np.unique(shard):
+                if s in held.value:
+                    at = np.flatnonzero(shard == s)
+                    listed[at] = ask_cascade(held.value[s], *(x[at] for x in pair))
+            return {**some, "listed": listed}
+
+        out = tables.map_slices(out, lambda: ask, out.schema)
         if i + 1 < len(groups):
             out = materialize(out, "asked")
     return out.drop("h1", "h2", "shard")
