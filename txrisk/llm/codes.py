@@ -8,12 +8,12 @@ so a frequent code makes no bucket large, and no pair of occurrences is ever for
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 
 from txrisk.llm import tables
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of two hash families
+BYTE_BASE = 0xA24BAED4963EE407
 MULTIPLE, INDEXED = 1, 2  # flags of a code: twice in the group; from the reference side
 GROUP_CHARS = 8_000_000
 BUCKET_CODES = 2_000_000
@@ -26,12 +26,6 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().split()
 
 
-def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
-    if seed:
-        return np.array([xxhash.xxh3_64_intdigest(w, seed) for w in words], np.uint64)
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A one-to-one scrambling of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -53,6 +47,25 @@ def _power(base: int, n: int) -> np.ndarray:
     return held[:n]
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+
+
+def word_hashes(text: str, lower: bool = False) -> np.ndarray:
+    """A hash of each word of ``words_of``, in order: a polynomial of its bytes modulo 2^64,
+    for all words at once from prefix sums. ``lower``: A-Z count as a-z."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    edge = np.diff((~_SPACE[raw]).astype(np.int8), prepend=0, append=0)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    values = (_LOWER[raw] if lower else raw).astype(np.uint64) + np.uint64(1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(values * _power(BYTE_BASE, len(raw)), dtype=np.uint64, out=sums[1:])
+    inverse = _power(pow(BYTE_BASE, -1, 1 << 64), len(raw))
+    return mix((sums[ends] - sums[starts]) * inverse[starts])
+
+
 def window_hashes(hashes: np.ndarray, length: int, family: int = 0) -> np.ndarray:
     """A hash of every run of ``length`` words: a polynomial modulo 2^64, from prefix sums."""
     n = len(hashes) - length + 1

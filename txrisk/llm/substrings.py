@@ -71,7 +71,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     def probe(key: tuple, texts: pd.DataFrame) -> pd.DataFrame:
         found, flags = [], []
         for text in texts["text"]:
-            hashes = C.word_hashes(C.words_of(text))
+            hashes = C.word_hashes(text)
             if len(hashes) >= window:
                 own = C.window_hashes(hashes, anchor) >> np.uint64(64 - bits)
                 flag = np.zeros(len(own), np.uint64)
@@ -85,7 +85,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     def extend(key: tuple, texts: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         near, found, more = C.Met(replies), [], []
         for text in texts["text"] if len(near.codes) else ():
-            hashes = C.word_hashes(C.words_of(text))
+            hashes = C.word_hashes(text)
             if len(hashes) >= window:
                 _, a, b = _repeats(hashes, near, window, anchor, bits)
                 found.append(a)
@@ -101,7 +101,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
             words = C.words_of(text)
             n, gone = len(words), 0
             if n >= window and len(twice.codes):
-                hashes = C.word_hashes(words)
+                hashes = C.word_hashes(text)
                 a = C.window_hashes(hashes, window) >> np.uint64(4)
                 at = np.flatnonzero(twice.holds(a))
                 if len(at):

@@ -1,6 +1,7 @@
 """What the operators of this subpackage share: which columns they read, how many parts
 they cut their work into."""
 
+import gc
 import math
 from collections.abc import Callable, Iterator
 
@@ -10,9 +11,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from txrisk.sources.stages import materialize
+
 SLICE_ROWS = 500  # rows that Python holds as objects at a time
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written and read again, with the shuffle files it was made from let go: Spark
+    drops those of results that nothing refers to, once the driver has collected garbage."""
+    out = materialize(df, name)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def read(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
