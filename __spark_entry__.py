@@ -131,18 +131,16 @@ def _standardize(df):
     return scaled.withColumns(rounded)
 
 
-def _forest_samples(dealt):
-    def run(spark, sf_dir):
-        rows = materialize(_kept(spark, sf_dir).select("transaction_id"), "keys")
-        return sampling.tree_samples(
-            rows,
-            rows.count(),
-            key="transaction_id",
-            trees=O.DEALT_TREES if dealt else S.N_TREES,
-            dealt=dealt,
-        )
+def _forest_samples(spark, sf_dir):
+    rows = materialize(_kept(spark, sf_dir).select("transaction_id"), "keys")
+    return sampling.tree_samples(rows, rows.count(), key="transaction_id")
 
-    return run
+
+def _sample_copies(spark, sf_dir):
+    """How often each tree draws each city, from rows that only their city tells apart."""
+    rows = materialize(_kept(spark, sf_dir).select("city"), "cities")
+    drawn = sampling.tree_samples(rows, rows.count())
+    return drawn.groupBy("tree").agg(F.count("*").alias("n"))
 
 
 def _forest_nodes(spark, sf_dir):
@@ -335,8 +333,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "features": _on(cleaned, _features),
         "impute_median": _on(raw, features.impute_median),
         "standardize": _on(cleaned, _standardize),
-        "forest_samples": _forest_samples(dealt=False),
-        "forest_samples_dealt": _forest_samples(dealt=True),
+        "forest_samples": _forest_samples,
+        "forest_sample_copies": _sample_copies,
         "forest_nodes": _forest_nodes,
         "score_fixed_forest": _score_fixed,
         "score_forest": _on(_scored, _scores),

@@ -1,3 +1,4 @@
+import dataclasses
 import math
 
 import numpy as np
@@ -60,29 +61,39 @@ def test_path_constant():
     assert [T.depth_cap(n) for n in (1, 2, 3, 64, 256)] == [1, 1, 2, 6, 8]
 
 
-@pytest.mark.parametrize("dealt", [False, True])
-def test_every_tree_has_its_full_sample(rows, dealt):
+@pytest.mark.parametrize("key", ["transaction_id", None])
+def test_every_tree_has_its_full_sample(rows, key):
     trees = 10
-    got = P.tree_samples(
-        rows, 1500, ["transaction_id"], trees=trees, size=SIZE, key="transaction_id", dealt=dealt
-    )
+    got = P.tree_samples(rows, 1500, ["transaction_id"], trees=trees, size=SIZE, key=key)
     groups = got.groupBy("tree").agg(F.count("*"), F.countDistinct("transaction_id")).collect()
     assert sorted(g[0] for g in groups) == list(range(trees))
     assert all(g[1] == g[2] == SIZE for g in groups)
-    if dealt:  # trees share no row
-        assert got.select("transaction_id").distinct().count() == trees * SIZE
 
 
-def test_samples_do_not_depend_on_partitions_or_the_first_bound(rows):
+def test_samples_do_not_depend_on_partitions(rows):
     def pick(df, **options):
         got = P.tree_samples(df, 1500, ["transaction_id"], trees=8, size=SIZE, **options)
         return sorted(got.collect())
 
-    usual = pick(rows, key="transaction_id")
-    assert pick(rows.repartition(16), key="transaction_id") == usual
-    # a bound far too low is raised until every tree is served
-    assert pick(rows, key="transaction_id", oversample=0.3) == usual
-    assert pick(rows, key="transaction_id", oversample=50) == usual
+    for key in ("transaction_id", None):
+        assert pick(rows.repartition(16), key=key) == pick(rows, key=key)
+    # a share far too low is raised until every tree is served
+    assert len(pick(rows, key="transaction_id", oversample=0.3)) == 8 * SIZE
+
+
+def test_trees_draw_on_their_own_at_any_size(spark):
+    """Hits per row are binomial on both sides of what was once a limit."""
+    for n in (204_000, 205_600):
+        rows = spark.range(n).select(F.col("id").cast("string").alias("k"))
+        hits = P.tree_candidates(rows, ["k"], 0.002, trees=200, key="k")
+        per_row = {r[0]: r[1] for r in hits.groupBy("k").count().groupBy("count").count().collect()}
+        total = sum(k * v for k, v in per_row.items())
+        assert abs(total - 0.4 * n) < 5 * math.sqrt(0.4 * n)
+        none = n - sum(per_row.values())
+        assert abs(none - n * 0.998**200) < 5 * math.sqrt(n * 0.25)
+        assert abs(per_row[2] - n * 0.0536) < 5 * math.sqrt(n * 0.0536)
+        trees = [r[1] for r in hits.groupBy("tree").count().collect()]
+        assert len(trees) == 200 and 15 < np.std(trees) < 26
 
 
 def test_sample_of_a_small_table_is_all_of_it(spark, rows):
@@ -91,15 +102,41 @@ def test_sample_of_a_small_table_is_all_of_it(spark, rows):
     assert got.count() == 50
 
 
-@pytest.mark.parametrize("dealt", [False, True])
-def test_copies_count_once(spark, rows, dealt):
-    copies = rows.where("transaction_id = 'T000700'").crossJoin(spark.range(5000)).drop("id")
-    options = {"trees": 4, "size": SIZE, "key": "transaction_id", "dealt": dealt}
-    usual = P.tree_samples(rows, 1500, ["transaction_id"], **options)
-    got = P.tree_samples(rows.unionByName(copies), 6500, ["transaction_id"], **options)
-    assert sorted(got.collect()) == sorted(usual.collect())
-    few = P.tree_samples(copies, 5000, ["transaction_id"], **options)
-    assert few.count() == (1 if dealt else 4)
+def test_copies_count_as_rows(spark, monkeypatch):
+    monkeypatch.setattr(P, "COPIES", 100)
+    rows = spark.range(1000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id")).alias("x"))
+    got = P.tree_samples(rows, 1000, trees=20, size=100).groupBy("tree").agg(
+        F.count("*").alias("n"), F.sum((F.col("x") == 0).cast("int")).alias("same")
+    )
+    counts = [(r["n"], r["same"]) for r in got.collect()]
+    assert all(n == 100 for n, _ in counts)
+    assert 86 < np.mean([same for _, same in counts]) < 94
+    numbered = P.numbered_copies(rows, ["x"])
+    assert numbered.distinct().count() == numbered.count() == 1000
+
+
+def test_a_common_row_is_the_least_unusual(spark):
+    rows = spark.createDataFrame(
+        [tuple([5.0] * 6) for _ in range(900)]
+        + [tuple(map(float, v)) for v in np.random.default_rng(0).uniform(0, 10, (100, 6))],
+        list(S.FEATURES),
+    )
+    scored = T.fit_trees(rows, trees=50).with_raw_score(rows).toPandas()
+    same = (scored[list(S.FEATURES)] == 5.0).all(axis=1)
+    assert scored[same]["raw_score"].min() > scored[~same]["raw_score"].mean() + 0.1
+
+
+def test_constant_table_has_the_middle_score(spark):
+    rows = spark.createDataFrame([tuple([1.0] * 6)] * 1000, list(S.FEATURES))
+    raw = T.fit_trees(rows, trees=10).with_raw_score(rows).select("raw_score").distinct().collect()
+    assert [r[0] for r in raw] == [pytest.approx(-0.5)]
+
+
+def test_an_oversized_saved_model_is_refused(spark, model, tmp_path, monkeypatch):
+    dataclasses.replace(model, threshold=0.0).save(spark, str(tmp_path / "m"))
+    monkeypatch.setattr(T, "MAX_MODEL_CELLS", 100)
+    with pytest.raises(ValueError):
+        T.ForestModel.load(spark, str(tmp_path / "m"))
 
 
 def test_nodes(model):

@@ -205,7 +205,14 @@ class ForestModel:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "ForestModel":
-        nodes = spark.read.parquet(f"{path}/nodes").orderBy("tree", "node").toPandas()
+        stored = spark.read.parquet(f"{path}/nodes")
+        trees, deepest, count = stored.agg(
+            F.count_distinct("tree"), F.max("depth"), F.count("*")
+        ).first()
+        # scoring lays every tree out to the full depth
+        if count > MAX_MODEL_CELLS or trees * 2 ** ((deepest or 0) + 1) > MAX_MODEL_CELLS:
+            raise ValueError(f"{count} nodes of depth {deepest} are too large a model")
+        nodes = stored.orderBy("tree", "node").toPandas()
         rows = spark.read.parquet(f"{path}/settings").orderBy("position").collect()
         return cls(
             nodes,
@@ -255,12 +262,11 @@ def fit_trees(
     standardize: bool = True,
     rows: int | None = None,
     small: int = SMALL_GROUP,
-    dealt: bool | None = None,
 ) -> ForestModel:
     """Grow the forest; the threshold is still open. ``df`` should be a stored table.
 
-    ``key`` names columns that identify a row; by default a row is known by all its
-    columns.
+    ``key`` names columns that tell all rows apart; without it, rows with equal features
+    are counted and drawn as so many rows.
     """
     features = list(features)
     S.check_columns(df, features)
@@ -272,9 +278,7 @@ def fit_trees(
         return ForestModel(pd.DataFrame(columns=NODE_COLUMNS), features, size)
     medians, moments = feature_statistics(df, features, rows=rows, small=small)
     moments = _rounded(moments) if standardize else {}
-    samples = tree_samples(
-        df, rows, features, trees=trees, size=size, seed=seed, key=key, dealt=dealt
-    )
+    samples = tree_samples(df, rows, features, trees=trees, size=size, seed=seed, key=key)
     ready = scale_features(fill_features(samples, medians), moments)
     nodes = grow_forest(ready, features, size, seed).toPandas()  # bounded by parameters
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)

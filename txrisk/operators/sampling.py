@@ -15,11 +15,23 @@ from txrisk.operators.quantiles import SMALL_GROUP, nth_smallest
 from txrisk.sources.stages import materialize
 
 OVERSAMPLE = 1.5  # candidates per wanted row, before the exact cut
+COPIES = 10_000  # copies of one row numbered by a task at a time
 
 
-def is_dealt(rows: int, trees: int, size: int) -> bool:
-    """Whether rows are dealt to trees: when there are four times what all trees take."""
-    return rows >= 4 * trees * size
+def numbered_copies(df: DataFrame, columns) -> DataFrame:
+    """``columns`` and ``_copy``: rows with equal ``columns``, numbered from 0.
+
+    Copies are counted with partial aggregation, then told apart by number alone, since
+    nothing else tells them apart; a row with very many copies is numbered by many tasks.
+    """
+    counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    few, many = counted.where(F.col("_n") <= COPIES), counted.where(F.col("_n") > COPIES)
+    last = F.expr(f"CAST((_n - 1) div {COPIES} AS BIGINT)")
+    spread = many.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    spread = spread.withColumn("_from", F.col("_from") * COPIES).repartition("_from", *columns)
+    both = few.withColumn("_from", F.lit(0).cast("bigint")).unionByName(spread)
+    end = F.least(F.col("_n"), F.col("_from") + COPIES) - 1
+    return both.select(*columns, F.explode(F.sequence("_from", end)).alias("_copy"))
 
 
 def tree_candidates(
@@ -30,26 +42,35 @@ def tree_candidates(
     trees: int = S.N_TREES,
     seed: int = S.SEED,
     key=None,
-    dealt: bool = False,
 ) -> DataFrame:
-    """``tree``, ``rank_hash`` and ``columns`` of the rows with the lowest hashes.
+    """``tree``, ``rank_hash`` and ``columns``: each row is drawn for each tree on its own,
+    with probability ``share``.
 
-    Not dealt: each row is tried for each tree with its own hash, so trees draw
-    independently, and ``share`` of the rows passes for each tree. Dealt: each row
-    belongs to one tree, so trees are disjoint; one hash per row decides, and ``share``
-    of the rows passes in all.
+    The first tree that draws a row has a geometric number, found from one hash word; a row
+    whose number is beyond the last tree, nearly every row of a large table, is done with
+    that. Only the others are tried for each later tree. ``rank_hash`` is uniform below
+    ``share`` of all words and orders a tree's candidates.
     """
-    words = df.withColumn("_digest", H.digest(H.key_of(df, key), seed)).select(
-        *columns, H.word(F.col("_digest"), 0).alias("_a"), H.word(F.col("_digest"), 1).alias("_b")
-    )
-    if dealt:
-        out = words.withColumns({"tree": F.col("_b") % trees, "rank_hash": F.col("_a")})
+    if key is None:
+        df = numbered_copies(df, columns)
+        key = F.concat_ws("|", F.xxhash64(*columns).cast("string"), F.col("_copy").cast("string"))
+    else:
+        key = H.key_of(df, key)
+    share = min(share, 1.0)
+    drawn = df.withColumn("_key", key).withColumn("_u", H.word(H.digest(F.col("_key"), seed), 0))
+    if share < 1.0:
+        first = F.floor(F.log(1 - F.col("_u") / float(H.SPAN)) / F.lit(math.log(1 - share)))
     else:
-        every = F.sequence(F.lit(0).cast("bigint"), F.lit(trees - 1).cast("bigint"))
-        out = words.withColumn("tree", F.explode(every)).withColumn(
-            "rank_hash", (F.col("_a") + F.col("tree") * F.col("_b")) % H.SPAN
-        )
-    return out.where(F.col("rank_hash") < F.lit(H.share_bound(share))).drop("_a", "_b")
+        first = F.lit(0)
+    drawn = drawn.withColumn("_first", first.cast("bigint")).where(F.col("_first") < trees)
+    each = F.explode(F.sequence("_first", F.lit(trees - 1).cast("bigint")))
+    tried = drawn.withColumn("tree", each)
+    pair = F.concat_ws("|", "_key", F.col("tree").cast("string"))
+    tried = tried.withColumn("_h", H.word(H.digest(pair, f"{seed}|trees"), 0))
+    is_first = F.col("tree") == F.col("_first")
+    kept = tried.where(is_first | (F.col("_h") < F.lit(H.share_bound(share))))
+    within = F.floor(F.col("_h").cast("double") * F.lit(float(share))).cast("bigint")
+    return kept.select(*columns, "tree", F.when(is_first, within).otherwise(F.col("_h")).alias("rank_hash"))
 
 
 def tree_samples(
@@ -61,30 +82,25 @@ def tree_samples(
     size: int = S.SAMPLE_SIZE,
     seed: int = S.SEED,
     key=None,
-    dealt: bool | None = None,
     oversample: float = OVERSAMPLE,
 ) -> DataFrame:
-    """``min(size, rows)`` distinct rows per tree: those with the lowest hashes.
+    """``min(size, rows)`` rows per tree, drawn for each tree on its own from all rows.
 
     One scan keeps the candidates, about ``oversample * size`` rows per tree however
-    large the table, in a stage; the exact cut is made there. Should some tree have too
-    few, the bound is raised and the scan repeated, so the outcome never depends on it.
-    Which way rows meet trees depends on the row count only, never on the cluster.
+    large the table, in a stage; the exact cut, at the lowest ``rank_hash``, is made there.
+    Should some tree have too few, the share is raised and the scan repeated. The rule is
+    the same at every table size.
 
-    Rows are told apart by their key, so copies count once, and collapse before they
-    move. A table with fewer distinct rows than ``size`` gives all of them.
+    ``key`` names columns that tell all rows apart. Without it, rows with equal ``columns``
+    are counted and drawn as so many rows.
     """
     columns = df.columns if columns is None else list(columns)
     size = min(size, rows)
-    dealt = is_dealt(rows, trees, size) if dealt is None else dealt
     lowest = Window.partitionBy("tree").orderBy("rank_hash", *columns)
     while True:
-        wanted = oversample * size * (trees if dealt else 1)
-        share = min(wanted / rows, 1.0) if rows else 1.0
-        candidates = tree_candidates(
-            df, columns, share, trees=trees, seed=seed, key=key, dealt=dealt
-        )
-        found = materialize(candidates.distinct(), "candidates")
+        share = min(oversample * size / rows, 1.0) if rows else 1.0
+        candidates = tree_candidates(df, columns, share, trees=trees, seed=seed, key=key)
+        found = materialize(candidates, "candidates")
         short = trees - found.groupBy("tree").count().where(F.col("count") >= size).count()
         if short == 0 or share >= 1.0:
             break

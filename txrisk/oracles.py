@@ -209,25 +209,26 @@ SQL = {
     ),
 }
 
-_WORDS = f"""words AS (SELECT transaction_id, {word("transaction_id", S.SEED, 0)} AS a,
-  {word("transaction_id", S.SEED, 1)} AS b FROM kept)"""
 
 
-def _samples(hashed, rows_per_tree=S.SAMPLE_SIZE):
-    return over(
-        f"{KEPT}, {_WORDS}, hashed AS ({hashed})",
-        "SELECT tree, rank_hash, transaction_id FROM hashed QUALIFY row_number() "
-        f"OVER (PARTITION BY tree ORDER BY rank_hash, transaction_id) <= {rows_per_tree}",
-    )
-
-
-SQL["forest_samples"] = _samples(
-    f"SELECT transaction_id, tree, (a + tree * b) % {2**52} AS rank_hash "
-    f"FROM words, range({S.N_TREES}) AS r(tree)"
-)
-DEALT_TREES = 20
-SQL["forest_samples_dealt"] = _samples(
-    f"SELECT transaction_id, b % {DEALT_TREES} AS tree, a AS rank_hash FROM words"
+def _hashed(key):
+    """Rows of ``keyed`` (a row for each row to draw) as drawn by each tree."""
+    return f"""
+share AS (SELECT least(CAST(1.5 AS DOUBLE) * {S.SAMPLE_SIZE} / count(*), 1) AS p FROM keyed),
+words AS (SELECT *, {word(key, S.SEED, 0)} AS u FROM keyed),
+started AS (SELECT *, CASE WHEN p >= 1 THEN 0 ELSE CAST(floor(
+  ln(1 - u / CAST({2**52} AS DOUBLE)) / ln(1 - p)) AS BIGINT) END AS first FROM words, share),
+tried AS (SELECT *, {word(key + " || '|' || CAST(tree AS VARCHAR)", f"{S.SEED}|trees", 0)} AS h FROM started, range({S.N_TREES}) AS r(tree)
+  WHERE tree >= first),
+hashed AS (SELECT *, CASE WHEN tree = first THEN CAST(floor(CAST(h AS DOUBLE) * p) AS BIGINT) ELSE h END
+  AS rank_hash FROM tried WHERE tree = first OR h < CAST(floor(p * CAST({2**52} AS DOUBLE)) AS BIGINT))"""
+
+
+_DRAWN = f"keyed AS (SELECT transaction_id FROM kept), {_hashed('transaction_id')}"
+SQL["forest_samples"] = over(
+    f"{KEPT}, {_DRAWN}",
+    "SELECT tree, rank_hash, transaction_id FROM hashed QUALIFY row_number() "
+    f"OVER (PARTITION BY tree ORDER BY rank_hash, transaction_id) <= {S.SAMPLE_SIZE}",
 )
 
 # ------------------------------------------------- the whole forest, level by level
@@ -263,11 +264,9 @@ at{depth + 1} AS (SELECT a.tree, a.x, 2 * a.node + CASE WHEN a.x[n.feature + 1]
   FROM at{depth} a JOIN nodes{depth} n ON n.tree = a.tree AND n.node = a.node WHERE n.feature >= 0)"""
 
 
-FOREST = f"""{CLEANED}, {_WORDS},
+FOREST = f"""{CLEANED}, {_DRAWN},
 scaling AS (SELECT {", ".join(_scaled(c) for c in _F)} FROM cleaned),
 prepared AS (SELECT cleaned.*, [{", ".join(f"({c} - m_{c}) / s_{c}" for c in _F)}] AS x FROM cleaned, scaling),
-hashed AS (SELECT transaction_id, tree, (a + tree * b) % {2**52} AS rank_hash
-  FROM words, range({S.N_TREES}) AS r(tree)),
 picked AS (SELECT tree, transaction_id FROM hashed QUALIFY row_number()
   OVER (PARTITION BY tree ORDER BY rank_hash, transaction_id) <= {S.SAMPLE_SIZE}),
 at0 AS MATERIALIZED (SELECT tree, 0 AS node, x FROM picked JOIN prepared USING (transaction_id)),
@@ -628,3 +627,10 @@ shifted AS (SELECT * REPLACE (CASE WHEN outlier THEN {_hundredths(f"{S.SEED}/amo
   CASE WHEN NOT no_city THEN city END AS city, CASE WHEN NOT no_income THEN customer_income END AS customer_income,
   CASE WHEN invalid THEN -abs(transaction_amount) ELSE transaction_amount END AS transaction_amount FROM shifted""",
 )
+
+# Rows that only their city tells apart: copies are numbered, and each is a row to draw.
+SQL["forest_sample_copies"] = over(
+    f"{KEPT}, sized AS (SELECT count(*) AS rows FROM kept)",
+    f"SELECT CAST(t AS BIGINT) AS tree, CAST(least({S.SAMPLE_SIZE}, rows) AS BIGINT) AS n "
+    f"FROM sized, range({S.N_TREES}) AS r(t)",
+)
