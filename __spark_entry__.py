@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from txrisk import oracles as O  # noqa: E402
 from txrisk import schema as S  # noqa: E402
+from txrisk.functions import money  # noqa: E402
 from txrisk.functions import scalars as X  # noqa: E402
 from txrisk.operators import (  # noqa: E402
     aggregates,
@@ -196,6 +197,28 @@ def _save_load_score(spark, sf_dir):
     return _scores(forest.ForestModel.load(spark, path).score(cleaned))
 
 
+def _own_scores(spark, sf_dir):
+    """Rows with the forest's own flags and scores, scored once."""
+    rows = _scored(spark, sf_dir)
+    rounded = F.floor(F.col("anomaly_score") * 1e8 + 0.5) / 1e8
+    return materialize(rows.withColumn("anomaly_score", rounded), "own_scores")
+
+
+def _own_rates(spark, sf_dir):
+    sources.load_table(_own_scores(spark, sf_dir))
+    return reports.run_report(spark, "anomaly_rate_by_category")
+
+
+def _sub_cent_spend(spark, sf_dir):
+    """Spend by category, of amounts with four decimals."""
+    fine = F.floor(F.abs("transaction_amount") * 37) / F.lit(float(O.FINE))
+    rows = _ledger(spark, sf_dir).withColumn("transaction_amount", fine)
+    return rows.groupBy("merchant_category").agg(
+        money.total("transaction_amount").alias("total_spend"),
+        money.mean("transaction_amount").alias("avg_spend"),
+    )
+
+
 def _given_scores(spark, sf_dir):
     rows = _ledger(spark, sf_dir).drop("is_anomaly")
     return materialize(rows.withColumnRenamed("anomaly_score", "raw_score"), "scores")
@@ -345,6 +368,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "planted_recall": _on(_flagged, summary.planted_recall),
         "forest_recall": _on(_scored, summary.planted_recall),
         "save_load_score": _save_load_score,
+        "forest_rate_by_category": _own_rates,
+        "forest_score_histogram": _on(_own_scores, aggregates.score_histogram),
+        "forest_flagged_table": _on(
+            _own_scores, lambda df: _text_dates(aggregates.flagged_table(df))
+        ),
+        "sub_cent_spend": _sub_cent_spend,
         # named reports
         **{name: _report(name) for name in reports.REPORTS},
         # filters

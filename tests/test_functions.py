@@ -73,6 +73,13 @@ def test_money_is_exact_and_half_up(spark):
         assert df.agg(M.mean("v")).first()[0] == expected
 
 
+def test_amounts_finer_than_a_cent(spark):
+    df = spark.createDataFrame([(0.004,)] * 1000, "transaction_amount double")
+    assert tuple(df.agg(M.total("transaction_amount"), M.mean("transaction_amount")).first()) == (4.0, 0.0)
+    df.createOrReplaceTempView("fine")
+    assert tuple(spark.sql(f"SELECT {M.SQL_TOTAL}, {M.SQL_MEAN} FROM fine").first()) == (4.0, 0.0)
+
+
 def test_percentage(spark):
     df = spark.createDataFrame([(1, 3), (0, 0), (2, 2), (1, 800)], "a bigint, b bigint")
     got = [r[0] for r in df.select(M.percentage(F.col("a"), F.col("b"), 2)).collect()]

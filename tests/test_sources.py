@@ -65,6 +65,40 @@ def test_csv_malformed_rows_are_reported(spark, tmp_path):
     assert [r["bad"] for r in rows] == [None, "T2,2026-01-05 10:30:00,C1"]
 
 
+def test_csv_files_with_other_headers_raise(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    swapped = HEADER.replace("customer_id", "x").replace("merchant_id", "customer_id").replace("x", "merchant_id", 1)
+    for name, header in (("a.csv", HEADER), ("b.csv", swapped)):
+        (tmp_path / "in" / name).write_text(f"{header}\n{LINE}\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        read_transactions(spark, str(tmp_path / "in")).collect()
+
+
+@pytest.mark.parametrize("more", [",extra", ',"a, b",c', ","])
+def test_csv_rows_with_too_many_fields_raise(spark, tmp_path, more):
+    path = write_text(tmp_path, HEADER, LINE, LINE + more)
+    with pytest.raises(PySparkException, match="more fields"):
+        read_transactions(spark, path).collect()
+    with pytest.raises(PySparkException, match="more fields"):
+        read_transactions(spark, path).count()
+    assert read_transactions(spark, path, lenient=True).count() == 2
+
+
+def test_csv_rows_with_too_few_fields_end_in_nulls(spark, tmp_path):
+    path = write_text(tmp_path, HEADER, LINE, "T2,2026-01-05 10:30:00,C1")
+    row = read_transactions(spark, path).where("transaction_id = 'T2'").first()
+    assert row["customer_id"] == "C1" and row["merchant_id"] is None and row["city"] is None
+
+
+def test_half_written_dataset_is_not_read(spark, tmp_path):
+    path = tmp_path / "stored"
+    write_transactions(transactions(spark, {}), str(path))
+    assert load_or_build(spark, str(path), lambda: None).count() == 1
+    (path / "_SUCCESS").unlink()
+    with pytest.raises(ValueError, match="finished"):
+        load_or_build(spark, str(path), lambda: None)
+
+
 def test_missing_column_is_named(spark, tmp_path):
     path = write_text(tmp_path, HEADER.replace(",state", ""), LINE.replace(",MA", ""))
     with pytest.raises(ValueError, match="state"):

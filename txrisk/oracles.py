@@ -491,9 +491,9 @@ FROM months LEFT JOIN f ON f.m = months.m GROUP BY months.m""",
 
 SQL["monthly_resample"] = _resample("true")
 # a choice narrow enough to leave months without rows, which must still appear
-SPARSE = {"states": ["NATION_3"], "categories": ["CAT_1", "CAT_2"], "flagged": True}
+SPARSE = {"states": ["NATION_6"], "categories": ["CAT_5"], "flagged": True}
 SQL["monthly_resample_filtered"] = _resample(
-    "state = 'NATION_3' AND merchant_category IN ('CAT_1', 'CAT_2') AND is_anomaly = 1"
+    "state = 'NATION_6' AND merchant_category IN ('CAT_5') AND is_anomaly = 1"
 )
 
 
@@ -634,3 +634,33 @@ SQL["forest_sample_copies"] = over(
     f"SELECT CAST(t AS BIGINT) AS tree, CAST(least({S.SAMPLE_SIZE}, rows) AS BIGINT) AS n "
     f"FROM sized, range({S.N_TREES}) AS r(t)",
 )
+
+# ------------------------------------------- reports over the forest's own flags and scores
+
+_OWN = f"""{SCORED},
+own AS (SELECT * REPLACE ({round_half_up("anomaly_score", 8)} AS anomaly_score) FROM scored),
+marked AS (SELECT *, {_STATUS} FROM own)"""
+SQL["forest_rate_by_category"] = over(
+    _OWN,
+    "SELECT merchant_category, count(*) AS transaction_count, "
+    "CAST(sum(is_anomaly) AS BIGINT) AS flagged_count, "
+    + percentage("sum(is_anomaly)", "count(*)", 2)
+    + " AS flagged_rate_pct FROM own GROUP BY ALL",
+)
+SQL["forest_score_histogram"] = _histogram(_OWN, "marked", "anomaly_score", S.SCORE_BINS, "status")
+SQL["forest_flagged_table"] = over(
+    _OWN,
+    f"""SELECT transaction_id, {ISO} AS transaction_date, customer_id, merchant_id, merchant_category,
+  transaction_amount, transaction_hour, distance_from_home_km, is_international, anomaly_score
+FROM own WHERE is_anomaly = 1""",
+)
+
+# Amounts finer than a cent: a share of each amount, in ten-thousandths.
+FINE = 10_000
+SQL["sub_cent_spend"] = over(
+    f"""{LEDGER}, fine AS (SELECT merchant_category,
+  CAST(floor(abs(transaction_amount) * 37) AS HUGEINT) AS x FROM transactions)""",
+    f"""SELECT merchant_category, CAST((sum(x) * 2 + {FINE // 100}) // {2 * FINE // 100} AS DOUBLE) / 100 AS total_spend,
+  CAST((sum(x) * 2 + count(*) * {FINE // 100}) // (count(*) * {2 * FINE // 100}) AS DOUBLE) / 100 AS avg_spend
+FROM fine GROUP BY ALL""",
+)

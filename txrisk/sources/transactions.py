@@ -2,7 +2,6 @@
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,17 +30,32 @@ def _known_types() -> dict:
     return {**S.COLUMN_TYPES, **S.OPTIONAL_TYPES}
 
 
+def _fits(misfit: Column, first: Column, width: int) -> Column:
+    """True, or an error for a row with more fields than the header has. ``misfit`` is the
+    text of rows with too many or too few; a scan must read another column (``first``) too."""
+    fields = ", ".join(f"c{i} string" for i in range(width))
+    # an end mark put behind a shorter row is among the header's fields
+    marked = F.from_csv(F.concat(misfit, F.lit(",\u0002")), fields, {"quote": '"', "escape": '"'})
+    ended = F.array_contains(F.array(*[F.coalesce(marked[f"c{i}"], F.lit("")) for i in range(width)]), "\u0002")
+    says = F.lit("more fields than the header has, in the row that begins with %s: %s")
+    error = F.raise_error(F.printf(says, first, misfit))
+    return F.when(misfit.isNotNull() & ~ended, error.cast("boolean")).otherwise(F.lit(True))
+
+
 def _read_csv(spark, path, na_values, lenient, corrupt_column, multi_line) -> DataFrame:
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
-    text = reader.csv(path)  # reads the header line only; every column is text
-    names = text.columns
-    if corrupt_column:
-        fields = [T.StructField(c, T.StringType()) for c in [*names, corrupt_column]]
-        text = (
-            reader.schema(T.StructType(fields))
-            .option("columnNameOfCorruptRecord", corrupt_column)
-            .csv(path)
-        )
+    names = reader.csv(path).columns  # reads one header line; every column is text
+    bad = corrupt_column or "_misfit"
+    fields = [T.StructField(c, T.StringType()) for c in [*names, bad]]
+    text = (
+        reader.schema(T.StructType(fields))
+        .option("enforceSchema", False)  # every file's header must be this one
+        .option("columnNameOfCorruptRecord", bad)
+        .option("columnPruning", False)  # else unread fields aren't counted
+        .csv(path)
+    )
+    if not lenient:
+        text = text.where(_fits(F.col(bad), F.col(names[0]), len(names)))
     kinds = _known_types()
     cols = [
         _parse(X.na_to_null(F.col(c), na_values), kinds.get(c, T.StringType()), lenient).alias(c)
@@ -76,8 +90,10 @@ def read_transactions(
 ) -> DataFrame:
     """Scan raw transactions with fixed types and one null rule.
 
-    CSV columns are found by header name. Missing-value words become null in every
-    column. Text that is no number or date raises, or becomes null when ``lenient``.
+    CSV columns are found by header name; files of a folder must share one header, else the
+    scan raises. Missing-value words become null in every column. Text that is no number
+    or date raises, or becomes null when ``lenient``. A row with more fields than the header
+    raises, or loses them when ``lenient``; in a row with fewer, the last columns are null.
     ``corrupt_column`` adds a column with the text of rows that do not fit the header.
     """
     if fmt == "csv":
@@ -121,17 +137,31 @@ def load_table(df: DataFrame, name: str = TABLE, path: str | None = None) -> Dat
     return df
 
 
+def _finished(spark: SparkSession, path: str) -> bool:
+    """Whether a finished dataset stands at ``path``; raises at an unfinished one."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return False
+    if files.getFileStatus(folder).isFile() or files.exists(
+        jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+    ):
+        return True
+    raise ValueError(f"{path} holds no finished dataset")
+
+
 def load_or_build(
     spark: SparkSession,
     path: str,
     builder: Callable[[], DataFrame],
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Read the dataset stored at ``path``; when there is none, build and store it."""
-    try:
-        return read_transactions(spark, path, fmt)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-    write_transactions(builder(), path, fmt)
+    """Read the dataset stored at ``path``; when there is none, build and store it.
+
+    A folder counts as stored once its writer has finished, which leaves ``_SUCCESS``; one
+    that a writer left behind, or is still filling, raises and is not touched.
+    """
+    if not _finished(spark, path):
+        write_transactions(builder(), path, fmt)
     return read_transactions(spark, path, fmt)
