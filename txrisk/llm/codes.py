@@ -105,7 +105,7 @@ def unpack_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(out.view("<u8").reshape(-1), dtype=np.uint64)
 
 
-def code_bits(chars: int, spare: int = 13) -> int:
+def code_bits(chars: int, spare: int = 9) -> int:
     """Bits a code needs so that chance meetings stay rare among so many characters."""
     return min(60, max(24, int(chars).bit_length() + spare - 2))
 
