@@ -304,12 +304,17 @@ def _sample_exact(spark, sf_dir):
 
 def _plant_exact(spark, sf_dir):
     rows = materialize(_kept(spark, sf_dir), "kept")
-    planted = planting.plant_defects(planting.plant_outliers(rows, exact=True), exact=True)
+    planted = planting.plant_defects(planting.plant_outliers(rows))
     return planted.select(
         "transaction_id", S.LABEL, "city", "customer_income", "transaction_amount"
     )
 
 
+def _duplicates_exact(spark, sf_dir):
+    rows = materialize(_kept(spark, sf_dir), "kept")
+    return planting.plant_duplicates(rows).select("transaction_id", "transaction_amount")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Raw transactions, cleaned, scored and flagged: flagged share by category."""
     run = run_risk(raw_transactions(spark, SMOKE_DIR))
@@ -410,15 +415,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             ),
         ),
         "derive_keys": _derive_keys,
-        "plant_outliers": _on(raw, lambda df: _text_dates(planting.plant_outliers(df))),
+        "plant_outliers": _on(
+            raw, lambda df: _text_dates(planting.plant_outliers(df, exact=False))
+        ),
         "plant_defects": _on(
             raw,
-            lambda df: planting.plant_defects(df).select(
+            lambda df: planting.plant_defects(df, exact=False).select(
                 "transaction_id", "city", "customer_income", "transaction_amount"
             ),
         ),
         "plant_exact": _plant_exact,
-        "union_duplicates": _on(raw, lambda df: _text_dates(planting.plant_duplicates(df))),
+        "union_duplicates": _on(
+            raw, lambda df: _text_dates(planting.plant_duplicates(df, exact=False))
+        ),
+        "union_duplicates_exact": _duplicates_exact,
         "sample_exact_n": _sample_exact,
         **_training_data(),
     }

@@ -54,7 +54,7 @@ def _hundredths(key: Column, seed: str, low: int, high: int) -> Column:
 
 
 def plant_outliers(
-    df: DataFrame, share=OUTLIER_SHARE, *, key=KEY, seed=S.SEED, exact: bool = False
+    df: DataFrame, share=OUTLIER_SHARE, *, key=KEY, seed=S.SEED, exact: bool = True
 ) -> DataFrame:
     """Make some rows stand out (amount, hour, distance, abroad) and label them.
 
@@ -84,7 +84,7 @@ def plant_defects(
     *,
     key=KEY,
     seed=S.SEED,
-    exact: bool = False,
+    exact: bool = True,
 ) -> DataFrame:
     """Remove some cities and incomes and make some amounts negative, independently."""
     pick = _picker(df, key, seed, exact)
@@ -106,13 +106,13 @@ def append_rows(df: DataFrame, extra: DataFrame) -> DataFrame:
 
 
 def plant_duplicates(
-    df: DataFrame, share=DUPLICATE_SHARE, *, key=KEY, seed=S.SEED, exact: bool = False
+    df: DataFrame, share=DUPLICATE_SHARE, *, key=KEY, seed=S.SEED, exact: bool = True
 ) -> DataFrame:
     """Append a copy of some rows."""
     return append_rows(df, df.where(_picker(df, key, seed, exact)("duplicate", share)))
 
 
-def plant_all(df: DataFrame, *, key=KEY, seed=S.SEED, exact: bool = False) -> DataFrame:
+def plant_all(df: DataFrame, *, key=KEY, seed=S.SEED, exact: bool = True) -> DataFrame:
     """Outliers, then defects, then copies."""
     options = {"key": key, "seed": seed, "exact": exact}
     return plant_duplicates(plant_defects(plant_outliers(df, **options), **options), **options)

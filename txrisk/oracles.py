@@ -628,6 +628,12 @@ shifted AS (SELECT * REPLACE (CASE WHEN outlier THEN {_hundredths(f"{S.SEED}/amo
   CASE WHEN invalid THEN -abs(transaction_amount) ELSE transaction_amount END AS transaction_amount FROM shifted""",
 )
 
+SQL["union_duplicates_exact"] = over(
+    f"{KEPT}, picked AS (SELECT *, {_lowest('duplicate', 0.005)} AS again FROM kept)",
+    """SELECT transaction_id, transaction_amount FROM picked
+UNION ALL SELECT transaction_id, transaction_amount FROM picked WHERE again""",
+)
+
 # Rows that only their city tells apart: copies are numbered, and each is a row to draw.
 SQL["forest_sample_copies"] = over(
     f"{KEPT}, sized AS (SELECT count(*) AS rows FROM kept)",
