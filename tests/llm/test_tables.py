@@ -95,6 +95,25 @@ def test_linked_sets_share_a_signature():
                 assert len(np.intersect1d(*both)), (size, len(b), often is None)
 
 
+def test_texts_of_repeated_words(spark):
+    texts = [" ".join(["na"] * n) for n in (4, 5, 6, 40)] + ["- " * 5, "-\n" * 9, "na " * 39 + "no"]
+    texts += ["tick tock " * 3, "tick tock " * 20, "a b c " * 3, "a b c " * 9]
+    rows = list(enumerate(texts))
+    out = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()}
+    assert got == plain_components(rows)
+    assert [got[d][1] for d in range(1, 6)] == [1, 1, 1, 4, 4]
+
+
+def test_equal_sets_share_a_signature():
+    pick = np.random.default_rng(6)
+    for size in range(1, 40):
+        a = np.unique(pick.integers(0, 2**63, size, dtype=np.uint64))
+        for often in (None, a):
+            both = [signatures.signatures(a.copy(), often) for _ in range(2)]
+            assert len(np.intersect1d(*both)), (size, often is None)
+
+
 def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_duplicates, "BLOCK", 4)
     pick = random.Random(9)
