@@ -54,6 +54,29 @@ def test_ids_are_the_library_s(library, spark, sf_dir):
     assert [x.tolist() for x in encoder(vocabulary_path()).encode(texts)] == expected
 
 
+ADDED_TEXTS = [
+    "hello <|endoftext|> world",
+    "<|endoftext|>",
+    "a.<|endoftext|><|endoftext|>b,  c\n",
+    "almost <|endoftext| > and <|ENDOFTEXT|>",
+    "½ <|endoftext|>",
+]
+
+
+def test_added_tokens_get_the_library_s_ids(spark, tmp_path):
+    plain = Tokenizer.from_file(vocabulary_path())
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in ADDED_TEXTS]
+    assert expected[0] == [31373, 220, 50256, 995]
+    assert [x.tolist() for x in encoder(vocabulary_path()).encode(ADDED_TEXTS)] == expected
+    docs = spark.createDataFrame(list(enumerate(ADDED_TEXTS)), "doc_id bigint, text string")
+    token_files.write_token_files(docs, str(tmp_path / "files"))
+    got = token_files.read_token_files(spark, str(tmp_path / "files"), with_ids=True).collect()
+    assert [r.ids[:-1] for r in sorted(got, key=lambda r: r.start)] == expected
+    packed = sorted(packing.pack_binary(docs, with_ids=True).collect(), key=lambda r: (r.doc_id, r.start))
+    pieces = [[i for r in packed if r.doc_id == d for i in r.ids][:-1] for d in range(len(expected))]
+    assert pieces == expected
+
+
 def test_variable_length_coding_round_trip():
     values = np.array([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1, 7], np.uint32)
     for n in range(len(values) + 1):

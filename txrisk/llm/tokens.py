@@ -3,8 +3,10 @@
 Byte-level BPE first splits a text into pieces and merges within each piece, so a piece
 always gets the same ids. ``Encoder`` asks the library for the ids of pieces it has not
 met and keeps them in a bounded table, one per Python worker. Words between single blanks
-are looked up whole, without the comma or full stop after them. Texts with characters outside the plain set below go through
-the library whole, so every text gets the library's own ids.
+are looked up whole, without the comma or full stop after them. Texts with characters
+outside the plain set below, or that hold an added token of the vocabulary by name, such as
+<|endoftext|>, go through the library whole, so every text gets the library's own ids: those
+of ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``.
 """
 
 import os
@@ -50,7 +52,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their names in a text are plain text
+        added = self.library.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added]
         self.model, self.letters, self.memo = self.library.model, _byte_letters(), memo
         self._forget()
 
@@ -117,7 +120,7 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 out[i] = np.zeros(0, np.uint32)
-            elif not _PLAIN.fullmatch(text):
+            elif any(name in text for name in self.added) or not _PLAIN.fullmatch(text):
                 out[i] = np.array(self._whole(text), np.uint32)
             elif text[0].isspace() or text[-1].isspace() or any(s in text for s in _SPACED):
                 out[i] = np.array(self._split(text), np.uint32)
