@@ -210,6 +210,26 @@ def test_guess_cost():
     assert secrets.redact("ab cd", [("x", 0, 2), ("x", 1, 3)]) == "[SECRET]cd"
 
 
+@pytest.mark.parametrize("text, value", [
+    ("pwd: kQzXvBnTrWpLs", "kQzXvBnTrWpLs"),
+    ("passphrase = qhzkvwtrplxmndjs, then", "qhzkvwtrplxmndjs"),
+    ("login is qhzkvwtrplxmndjs.", "qhzkvwtrplxmndjs"),
+    ("private_key=>'kQzXvBnTrWpLs'", "kQzXvBnTrWpLs"),
+    ("password: kQzXvBnT", "kQzXvBnT"),
+    ("Authorization: Bearer x7Kp9mQzT4wB", "x7Kp9mQzT4wB"),
+    ("token: Bearer qhzkvwtrplxmndjs", "qhzkvwtrplxmndjs"),
+    ("bearer bearer x7Kp9mQzT4wB", "x7Kp9mQzT4wB"),
+    ("bearer token: x7#Kp9!mQz", "x7#Kp9!mQz"),
+    ("password is incorrect. Login: Successful", None),
+    ("the token is authenticated, a bearer certificate", None),
+    ("passcode is qwertyuiop", None),
+])
+def test_values_are_judged_by_their_cost_alone(text, value):
+    at = text.find(value or "")
+    spans = [(a, b) for _, a, b in secrets.all_spans(text)]
+    assert spans == ([(at, at + len(value))] if value else [])
+
+
 def test_weak_supervision_learns_reliabilities():
     pick, rows = random.Random(1), Counter()
     for _ in range(20_000):

@@ -1,26 +1,31 @@
 """Secret scan: fixed patterns, and values in a credential context that are hard to guess.
 
-A value that follows a credential word and an assignment sign is cut into segments a
-guesser would try: common words, dates, repeats, keyboard walks and runs of digits or
+A value that follows a credential word and an assignment sign (or ``is``; after ``bearer``,
+blanks suffice) is cut into segments a guesser would try: common words, dates, repeats, keyboard walks and runs of digits or
 letters, and spans tried by brute force. Dynamic programming over the positions finds the
 segmentation with the fewest guesses in all (guesses multiply, so their logarithms add, and
 every further segment costs a factor of two). The value is a secret from
 10^``GUESSES`` guesses on. Time is linear in the length of the value, since segments other
-than brute force are bounded in length or maximal runs.
+than brute force are bounded in length or maximal runs. A value that is one word of the public
+vocabulary in whole costs no more than that word's rank.
 
 Cases: a missing text counts as empty and has no span; a missing doc_id stays missing;
 repeated rows are scanned each; spans found by guess cost that touch a fixed pattern's span
 are left out; an empty table gives no rows; other columns are not read.
 """
 
+import json
 import math
 import re
 from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from txrisk.llm import tables
 from txrisk.llm.spans import Span, digest, free_of, listing
+from txrisk.llm.tokens import vocabulary_path
 
 KINDS = ("assign", "access", "hex", "guess")
 GUESSES = 10.0  # decimal logarithm
@@ -39,6 +44,7 @@ _CONTEXT = re.compile(
     r"""["']?[ \t]*(?:=>|:=|[:=]|\bis\b)[ \t]*["']?([^\s"'<>,;]{6,})""",
     re.IGNORECASE | re.ASCII,
 )
+_BEARER = re.compile(r"""bearer[ \t]+["']?(?=([^\s"'<>,;]{6,}))""", re.IGNORECASE | re.ASCII)
 _ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _CONTEXT_HINTS = (*_ASSIGN_HINTS, "passphrase", "passcode", "pwd", "key", "credential", "login", "bearer")
 
@@ -55,6 +61,7 @@ COMMON_WORDS = (
 ).split()
 RANKS = {w: i for i, w in reversed(list(enumerate(COMMON_WORDS, 1)))}
 LONGEST = max(map(len, RANKS))
+VOCABULARY_WORD = re.compile("Ġ[A-Za-z]{6,}")
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 LEET = str.maketrans("4301$5@7", "aeoissat")
 _DATE = re.compile(
@@ -64,6 +71,15 @@ _DATE = re.compile(
 _REPEAT = re.compile(r"(.{1,8}?)\1+", re.DOTALL)
 
 
+@cache
+def word_ranks() -> dict[str, int]:
+    """Ranks of words that are a value as a whole: the common ones, then those of the public
+    vocabulary, commonest first."""
+    ids = json.loads(Path(vocabulary_path()).read_text(encoding="utf-8"))["model"]["vocab"]
+    words = (t[1:].lower() for t in sorted(ids, key=ids.get) if VOCABULARY_WORD.fullmatch(t))
+    return {w: i for i, w in enumerate(dict.fromkeys([*COMMON_WORDS, *words]), 1)}
+
+
 def _neighbours() -> dict[str, set[str]]:
     near: dict[str, set[str]] = {}
     for r, row in enumerate(KEY_ROWS):
@@ -140,6 +156,8 @@ def guess_cost(value: str) -> float:
     for b in range(1, n + 1):
         brute = min(best[b - 1] + more * (b > 1), brute) + char
         best[b] = min([brute, *(best[a] + more * (a > 0) + cost for a, cost in ends[b])])
+    if value.isalpha() and (rank := word_ranks().get(low)):
+        return min(best[n], math.log10(rank + 1) + (value != low))
     return best[n]
 
 
@@ -159,11 +177,11 @@ def guessed_spans(text: str, base: list[Span], least: float = GUESSES) -> list[S
     if not any(h in low for h in _CONTEXT_HINTS):
         return []
     found = []
-    for m in _CONTEXT.finditer(text):
-        value = m.group(1).rstrip(".!?)]}")
-        mixed = bool(re.search("[0-9]", value)) or not value.isalpha()
-        if len(value) >= 6 and mixed and guess_cost(value) >= least:
-            found.append(("guess", m.start(1), m.start(1) + len(value)))
+    for context in (_CONTEXT, _BEARER):
+        for m in context.finditer(text):
+            value = m.group(1).rstrip(".!?)]}")
+            if len(value) >= 6 and guess_cost(value) >= least:
+                found.append(("guess", m.start(1), m.start(1) + len(value)))
     return free_of(found, base)
 
 
