@@ -3,9 +3,11 @@
 import random
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from txrisk.llm import near_duplicates, quality_gam, rotated_codes, signatures, url_filter
@@ -124,6 +126,33 @@ def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == plain_components(rows)
 
 
+def test_buckets_of_blocks_stay_bounded(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 4)
+    monkeypatch.setattr(near_duplicates, "BUCKET_ROWS", 200)
+
+    def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"a": [0], "b": [sum(map(len, batches))]})
+
+    monkeypatch.setattr(near_duplicates, "_weigh_groups", rows_of)
+    groups = spark.range(400).selectExpr("7L AS sig", "id AS doc_id")
+    labels = spark.createDataFrame([], "node bigint, label bigint")
+    held = groups.selectExpr("doc_id", "40L AS n", "cast('' AS binary) AS sketch")
+    out = near_duplicates._second_round(groups, labels, held).collect()
+    assert 0 < max(r.b for r in out) < 1000  # of 40,000 rows
+
+
+def test_pairs_come_in_pieces(monkeypatch):
+    monkeypatch.setattr(near_duplicates, "PAIRS_AT_ONCE", 50)
+    monkeypatch.setattr(near_duplicates, "AT_ONCE", 20)
+    n = 30
+    x = pd.DataFrame({"sig": 7, "low": 0, "high": 0, "own": 0, "doc_id": range(n), "label": range(n)})
+    x["n"], x["sketch"] = 40, [bytes(near_duplicates.CELLS)] * n
+    found = list(near_duplicates._weigh_groups(iter([x[:10], x[10:]])))
+    assert max(map(len, found)) <= 70
+    pairs = [tuple(r) for some in found for r in some.to_numpy().tolist()]
+    assert sorted(pairs) == [(a, b) for a in range(n) for b in range(a + 1, n)]
+
+
 def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101)]
     out = near_duplicates.components(spark.createDataFrame(links, "a bigint, b bigint"))
