@@ -97,6 +97,26 @@ def test_linked_sets_share_a_signature():
                 assert len(np.intersect1d(*both)), (size, len(b), often is None)
 
 
+@pytest.mark.parametrize("groups", [1, 7, 64])
+def test_documents_with_several_texts(spark, monkeypatch, groups):
+    layout = near_duplicates.C.layout
+    monkeypatch.setattr(near_duplicates.C, "layout", lambda docs: (groups, *layout(docs)[1:]))
+    pick = random.Random(11)
+    one, two, three, four = (pick.choices(VOCABULARY, k=n) for n in (60, 80, 100, 120))
+    near = lambda words: " ".join([*words, "end"])
+    rows = [
+        (5, " ".join(one)), (5, " ".join(two)), (8, near(one)), (9, near(two)),  # links by either text
+        (20, " ".join(three)), (21, " ".join(four)), (22, " ".join(three)), (22, " ".join(four)),
+        (23, near(four)), (30, "alone in a class of its own"), (30, ""), (31, " "),
+        (40, "same class"), (40, "SAME  class"), (40, "same class"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = near_duplicates.near_duplicates(docs).collect()
+    top = {5: 5, 8: 5, 9: 5, 20: 20, 21: 20, 22: 20, 23: 20, 30: 30, 31: 31, 40: 40}
+    expected = Counter((d, len(shingle_set(t)), top[d]) for d, t in rows)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == expected
+
+
 def test_texts_of_repeated_words(spark):
     texts = [" ".join(["na"] * n) for n in (4, 5, 6, 40)] + ["- " * 5, "-\n" * 9, "na " * 39 + "no"]
     texts += ["tick tock " * 3, "tick tock " * 20, "a b c " * 3, "a b c " * 9]
