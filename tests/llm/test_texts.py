@@ -43,7 +43,6 @@ def by_id(rows, *columns):
 @pytest.fixture(scope="module")
 def library():
     made = Tokenizer.from_file(vocabulary_path())
-    made.encode_special_tokens = True
     return made
 
 
