@@ -1,7 +1,10 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
 from txrisk.llm import (
+    conversations,
     decontamination,
+    dual_tree,
+    mixing,
     near_duplicates,
     packing,
     pii,
@@ -24,6 +27,13 @@ QUERIES = {
     "op8_near_duplicates": near_duplicates.jaccard_join,
     "op9_secrets": secrets.secrets,
     "op10_token_files": token_files.token_files,
+    "op11_conversation_repair": conversations.repaired_conversations,
+    "op12_source_mixing": mixing.mixing,
+    "op13_vector_codes": dual_tree.vector_codes,
 }
 
-SQL = {"op5_url_filter": url_filter.SQL}
+SQL = {
+    "op5_url_filter": url_filter.SQL,
+    "op12_source_mixing": mixing.SQL,
+    "op13_vector_codes": dual_tree.SQL,
+}
