@@ -31,7 +31,7 @@ from txrisk.operators import (  # noqa: E402
     sampling,
     summary,
 )
-from txrisk.plans import reports  # noqa: E402
+from txrisk.plans import reports, streaming  # noqa: E402
 from txrisk.plans.risk import run_risk  # noqa: E402
 from txrisk.sources import transactions as sources  # noqa: E402
 from txrisk.sources.orders_fixture import raw_transactions  # noqa: E402
@@ -111,6 +111,13 @@ def _income(spark, sf_dir):
     return cleaning.impute_income(rows).select("transaction_id", "customer_age", "customer_income")
 
 
+def _income_large(spark, sf_dir):
+    """Brackets beyond what one task may hold, which a few hundred rows are here."""
+    rows = materialize(_kept(spark, sf_dir), "kept")
+    filled = cleaning.impute_income(rows, small=O.FEW)
+    return filled.select("transaction_id", "customer_age", "customer_income")
+
+
 def _income_fallback(spark, sf_dir):
     age = F.col("customer_age")
     emptied = F.when((age < 30) | (age >= 40), F.col("customer_income"))
@@ -219,6 +226,23 @@ def _sub_cent_spend(spark, sf_dir):
     )
 
 
+def _stream_scored(spark, sf_dir):
+    """Rows that arrive in files, one a batch, scored by a forest fitted before."""
+    cleaned = materialize(_cleaned(spark, sf_dir), "cleaned")
+    model = forest.fit_forest(cleaned, key="transaction_id")
+    arriving, table = new_path(spark, "arriving"), new_path(spark, "stream")
+    cleaned.repartition(4).write.parquet(arriving)
+    rows = streaming.read_stream(spark, arriving, cleaned.schema, files=1)
+    query = streaming.score_stream(model, rows, table, checkpoint=new_path(spark, "log"))
+    query.awaitTermination()
+    return _scores(spark.read.parquet(table))
+
+
+def _risk(part):
+    """A part of the whole run, as a user without a key of their own calls it."""
+    return lambda spark, sf_dir: part(spark, run_risk(raw_transactions(spark, sf_dir)))
+
+
 def _given_scores(spark, sf_dir):
     rows = _ledger(spark, sf_dir).drop("is_anomaly")
     return materialize(rows.withColumnRenamed("anomaly_score", "raw_score"), "scores")
@@ -230,6 +254,12 @@ def _threshold(spark, sf_dir):
     return cut.select((F.floor(F.col("threshold") * 1e6 + 0.5) / 1e6).alias("threshold"))
 
 
+def _threshold_large(spark, sf_dir):
+    cut = forest.score_threshold(_given_scores(spark, sf_dir), small=O.FEW)
+    frame = spark.createDataFrame([(cut,)], "threshold double")
+    return frame.select((F.floor(F.col("threshold") * 1e6 + 0.5) / 1e6).alias("threshold"))
+
+
 def _flagged(spark, sf_dir):
     scores = _given_scores(spark, sf_dir)
     return forest.flag_scores(scores, forest.score_threshold(scores))
@@ -275,6 +305,16 @@ _LISTS = {
 }
 
 
+def _has_rows(spark, sf_dir):
+    """Whether rows are left, for a choice that leaves some and one that leaves none."""
+    df = _ledger(spark, sf_dir)
+    chosen = {"some": _LISTS, "none": {"states": ["NOWHERE"]}}
+    rows = [
+        (name, filters.has_rows(filters.filter_transactions(df, **c))) for name, c in chosen.items()
+    ]
+    return spark.createDataFrame(rows, "choice string, has_rows boolean")
+
+
 def _date_domain(df):
     dates = filters.date_domain(df)
     return dates.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) for c in dates.columns])
@@ -310,6 +350,18 @@ def _plant_exact(spark, sf_dir):
     )
 
 
+def _sample_shared(spark, sf_dir):
+    """Rows picked by a key of which each value is shared by many of them."""
+    rows = materialize(_kept(spark, sf_dir).select("transaction_id", "state"), "keys")
+    return sampling.sample_exact(rows, 0.1, key="state", small=O.FEW)
+
+
+def _plant_shared(spark, sf_dir):
+    rows = materialize(_kept(spark, sf_dir), "kept")
+    planted = planting.plant_defects(rows, key="state")
+    return planted.select("transaction_id", "city", "customer_income", "transaction_amount")
+
+
 def _duplicates_exact(spark, sf_dir):
     rows = materialize(_kept(spark, sf_dir), "kept")
     return planting.plant_duplicates(rows).select("transaction_id", "transaction_amount")
@@ -352,6 +404,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             raw, lambda df: cleaning.fill_city(df).select("transaction_id", "city")
         ),
         "clean_income": _income,
+        "clean_income_large": _income_large,
         "clean_income_fallback": _income_fallback,
         "clean_clip_age": _on(
             raw, lambda df: cleaning.clip_age(df).select("transaction_id", "customer_age")
@@ -360,6 +413,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # anomaly scoring
         "features": _on(cleaned, _features),
         "impute_median": _on(raw, features.impute_median),
+        "impute_median_large": _on(raw, lambda df: features.impute_median(df, small=O.FEW)),
         "standardize": _on(cleaned, _standardize),
         "forest_samples": _forest_samples,
         "forest_sample_copies": _sample_copies,
@@ -367,12 +421,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_fixed_forest": _score_fixed,
         "score_forest": _on(_scored, _scores),
         "contamination_threshold": _threshold,
+        "contamination_threshold_large": _threshold_large,
         "contamination_flag": _contamination_flag,
         "anomaly_summary": _on(ledger, summary.anomaly_summary),
         "forest_summary": _on(_scored, summary.anomaly_summary),
         "planted_recall": _on(_flagged, summary.planted_recall),
         "forest_recall": _on(_scored, summary.planted_recall),
         "save_load_score": _save_load_score,
+        "score_stream": _stream_scored,
+        "risk_nodes": _risk(lambda spark, run: run.model.node_table(spark)),
+        "risk_rate_by_category": _risk(lambda _, run: run.reports["anomaly_rate_by_category"]),
         "forest_rate_by_category": _own_rates,
         "forest_score_histogram": _on(_own_scores, aggregates.score_histogram),
         "forest_flagged_table": _on(
@@ -387,6 +445,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "filter_dates": _filter(**_DATES),
         "filter_in": _filter(**_LISTS),
         "filter_flags": _filter(international=True, flagged=False),
+        "filter_has_rows": _has_rows,
         "filter_all": _filter(**_DATES, **_LISTS, international=False, flagged=False),
         # dashboard aggregates
         "kpi_cards": _on(ledger, summary.kpi_cards),
@@ -430,6 +489,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "union_duplicates_exact": _duplicates_exact,
         "sample_exact_n": _sample_exact,
+        "sample_exact_shared_key": _sample_shared,
+        "plant_exact_shared_key": _plant_shared,
         **_training_data(),
     }
 

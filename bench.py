@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from txrisk.operators import aggregates, filters, forest, quality, summary  # noqa: E402
 from txrisk.plans import reports  # noqa: E402
+from txrisk.plans.risk import ROW_KEY  # noqa: E402
 from txrisk.sources.orders_fixture import raw_transactions  # noqa: E402
 from txrisk.sources.stages import materialize  # noqa: E402
 from txrisk.sources.transactions import load_table  # noqa: E402
@@ -50,7 +51,8 @@ def stages(spark, sf_dir, timed):
     timed("dq_profile", lambda: collected(quality.profile(raw)))
     _, cleaned = timed("profile_and_clean", lambda: _profile_and_clean(raw))
     rows = cleaned.count()
-    model = timed("forest_fit", lambda: forest.fit_trees(cleaned, rows=rows))
+    model = timed("forest_fit", lambda: forest.fit_trees(cleaned, rows=rows, key=ROW_KEY))
+    cleaned = cleaned.drop(ROW_KEY)
     scored = timed("forest_score", lambda: materialize(model.with_raw_score(cleaned), "scored"))
 
     def flag():
@@ -62,7 +64,7 @@ def stages(spark, sf_dir, timed):
 
 
 def _profile_and_clean(raw):
-    report, cleaned = quality.profile_and_clean(raw)
+    report, cleaned = quality.profile_and_clean(raw, row_key=ROW_KEY)
     return report.collect(), materialize(cleaned, "cleaned")
 
 

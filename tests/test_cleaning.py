@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from txrisk import schema as S
 from txrisk.operators import cleaning as C
 from txrisk.operators import quality as Q
+from txrisk.operators import quantiles
 
 
 def test_duplicates_missing_equals_missing(spark):
@@ -81,7 +82,7 @@ def test_income_small_and_large_paths_agree(spark, few, monkeypatch):
     ]
     df = numbered(spark, *rows)
     expected = column(C.impute_income(df), "customer_income")
-    monkeypatch.setattr(C, "MAX_BROADCAST_BRACKETS", few)
+    monkeypatch.setattr(quantiles, "BROADCAST_RANGES", few)
     assert column(C.impute_income(df, small=5), "customer_income") == expected
 
 

@@ -10,22 +10,35 @@ from pyspark.sql import functions as F
 
 from txrisk.schema import REQUIRED
 
+MISSING = "\x00missing"
 BITS = 52
 SPAN = 1 << BITS  # the words below are uniform over [0, SPAN)
 _HEX = BITS // 4
 
 
+def row_key(names) -> Column:
+    """MD5 of the named columns as texts, each with its length and missing ones marked, so
+    that different rows have different texts."""
+    parts = []
+    for c in names:
+        text = F.col(c).cast("string")
+        told = F.concat(F.length(text).cast("string"), F.lit(":"), text)
+        parts.append(F.coalesce(told, F.lit("-")))
+    return F.md5(F.concat(*parts))
+
+
 def key_of(df, key=None) -> Column:
-    """Row key as text: the named columns, or a hash over all data columns.
+    """Row key as text: the one named column (missing: a mark), or a hash over several.
 
-    The data columns are the required ones that are present, which tell de-duplicated
-    rows apart; a table with none of them is keyed by all its columns.
+    Without names, all data columns: the required ones that are present, which tell
+    de-duplicated rows apart; a table with none of them is keyed by all its columns.
     """
     if key is None:
-        names = [c for c in REQUIRED if c in df.columns] or df.columns
-        return F.xxhash64(*[F.col(c) for c in names]).cast("string")
+        return row_key([c for c in REQUIRED if c in df.columns] or df.columns)
     names = [key] if isinstance(key, str) else list(key)
-    return F.concat_ws("|", *[F.col(c).cast("string") for c in names])
+    if len(names) == 1:
+        return F.coalesce(F.col(names[0]).cast("string"), F.lit(MISSING))
+    return row_key(names)
 
 
 def digest(key: Column, seed) -> Column:

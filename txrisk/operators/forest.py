@@ -285,24 +285,31 @@ def fit_trees(
     return ForestModel(nodes, features, size, medians, moments)
 
 
-def fit_and_score(
-    df: DataFrame, contamination: float = S.CONTAMINATION, **options
-) -> tuple[ForestModel, DataFrame]:
-    """Fit on a stored table, score it once, and flag the given share of its rows.
+def score_and_flag(
+    model: ForestModel, df: DataFrame, contamination: float, rows: int, small: int = SMALL_GROUP
+) -> DataFrame:
+    """Score a table once with a grown forest, set its threshold, and flag the given share.
 
     Raw scores are written to a stage, since scoring is the dear step; the threshold is
     an exact quantile over that one column, and the flags are a projection.
     """
-    rows = options.pop("rows", None)
-    rows = df.count() if rows is None else rows
-    model = fit_trees(df, rows=rows, **options)
     if rows == 0:
         empty = df.withColumn("raw_score", F.lit(None).cast("double"))
-        return model, flag_scores(empty, 0.0).drop("raw_score")
+        return flag_scores(empty, 0.0).drop("raw_score")
     scored = materialize(model.with_raw_score(df), "scored")
-    small = options.get("small", SMALL_GROUP)
     model.threshold = score_threshold(scored, contamination, rows=rows, small=small)
-    return model, flag_scores(scored, model.threshold).drop("raw_score")
+    return flag_scores(scored, model.threshold).drop("raw_score")
+
+
+def fit_and_score(
+    df: DataFrame, contamination: float = S.CONTAMINATION, **options
+) -> tuple[ForestModel, DataFrame]:
+    """Fit on a stored table, score it, and flag the given share of its rows."""
+    rows = options.pop("rows", None)
+    rows = df.count() if rows is None else rows
+    model = fit_trees(df, rows=rows, **options)
+    small = options.get("small", SMALL_GROUP)
+    return model, score_and_flag(model, df, contamination, rows, small)
 
 
 def fit_forest(

@@ -3,19 +3,17 @@
 For checking a cleaning or scoring run on one's own data: the planted rows are known by
 the row key and a seed, so they can be found again. Each row is picked on its own, so
 about the given share is planted, row by row and without a shuffle. With ``exact`` the
-rows with the lowest hashes are picked, exactly ``floor(rows * share)`` of them when keys
-are unique; that reads the keys a few times to find the cut.
+rows with the lowest hashes are picked, exactly ``floor(rows * share)`` of them; that reads
+the keys a few times to find the cut. Of rows that share the key on the cut, as many as are
+wanted are taken in the order of their columns.
 """
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk import schema as S
 from txrisk.functions import hashing as H
-from txrisk.operators.quantiles import nth_smallest
-from txrisk.sources.stages import materialize
+from txrisk.operators.sampling import mark_exact
 
 KEY = "transaction_id"
 
@@ -29,22 +27,17 @@ INVALID_SHARE = 0.003
 DUPLICATE_SHARE = 0.005
 
 
-def _picker(df: DataFrame, key, seed, exact: bool) -> Callable[[str, float], Column]:
-    """Function from a purpose and a share to a condition that picks rows."""
+def _picked(df: DataFrame, shares: dict, key, seed, exact: bool) -> DataFrame:
+    """``df`` with a true or false column ``_<purpose>`` for each purpose and its share."""
     k = H.key_of(df, key)
     if not exact:
-        return lambda purpose, share: H.chosen(k, f"{seed}/{purpose}", share)
-    rows = df.count()
-
-    def pick(purpose, share):
-        n = int(rows * share)
-        if n == 0:
-            return F.lit(False)
-        hashed = H.word(H.digest(k, f"{seed}/{purpose}"), 0)
-        hashes = materialize(df.select(hashed.alias("_hash")), "hashes")
-        return hashed <= F.lit(nth_smallest(hashes, "_hash", n - 1, rows))
-
-    return pick
+        marks = {f"_{p}": H.chosen(k, f"{seed}/{p}", share) for p, share in shares.items()}
+        return df.withColumns(marks)
+    rows, out = df.count(), df
+    for p, share in shares.items():
+        hashed = H.word(H.digest(k, f"{seed}/{p}"), 0)
+        out = mark_exact(out, f"_{p}", hashed, int(rows * share), rows)
+    return out
 
 
 def _hundredths(key: Column, seed: str, low: int, high: int) -> Column:
@@ -61,7 +54,6 @@ def plant_outliers(
     The previous amount is left alone.
     """
     k = H.key_of(df, key)
-    hit = _picker(df, key, seed, exact)("outlier", share)
     hours = OUTLIER_HOURS[1] - OUTLIER_HOURS[0] + 1
     hour = H.word(H.digest(k, f"{seed}/hour"), 0) % hours + OUTLIER_HOURS[0]
     values = {
@@ -70,11 +62,10 @@ def plant_outliers(
         "distance_from_home_km": _hundredths(k, f"{seed}/distance", *OUTLIER_DISTANCE),
         "is_international": F.lit(1).cast("bigint"),
     }
-    marked = df.withColumn("_hit", hit)
-    marked = marked.withColumns(
-        {c: F.when(F.col("_hit"), v).otherwise(F.col(c)) for c, v in values.items()}
-    )
-    return marked.withColumn(S.LABEL, F.col("_hit").cast("bigint")).drop("_hit")
+    marked = _picked(df, {"outlier": share}, key, seed, exact)
+    hit = F.col("_outlier")
+    marked = marked.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in values.items()})
+    return marked.withColumn(S.LABEL, hit.cast("bigint")).drop("_outlier")
 
 
 def plant_defects(
@@ -87,17 +78,15 @@ def plant_defects(
     exact: bool = True,
 ) -> DataFrame:
     """Remove some cities and incomes and make some amounts negative, independently."""
-    pick = _picker(df, key, seed, exact)
+    shares = {"city": missing, "income": missing, "invalid": invalid}
+    marked = _picked(df, shares, key, seed, exact)
     amount = F.col("transaction_amount")
-    return df.withColumns(
-        {
-            "city": F.when(~pick("city", missing), F.col("city")),
-            "customer_income": F.when(~pick("income", missing), F.col("customer_income")),
-            "transaction_amount": F.when(pick("invalid", invalid), -F.abs(amount)).otherwise(
-                amount
-            ),
-        }
-    )
+    changed = {
+        "city": F.when(~F.col("_city"), F.col("city")),
+        "customer_income": F.when(~F.col("_income"), F.col("customer_income")),
+        "transaction_amount": F.when(F.col("_invalid"), -F.abs(amount)).otherwise(amount),
+    }
+    return marked.withColumns(changed).drop(*[f"_{p}" for p in shares])
 
 
 def append_rows(df: DataFrame, extra: DataFrame) -> DataFrame:
@@ -109,7 +98,8 @@ def plant_duplicates(
     df: DataFrame, share=DUPLICATE_SHARE, *, key=KEY, seed=S.SEED, exact: bool = True
 ) -> DataFrame:
     """Append a copy of some rows."""
-    return append_rows(df, df.where(_picker(df, key, seed, exact)("duplicate", share)))
+    again = _picked(df, {"duplicate": share}, key, seed, exact).where("_duplicate")
+    return append_rows(df, again.select(*df.columns))
 
 
 def plant_all(df: DataFrame, *, key=KEY, seed=S.SEED, exact: bool = True) -> DataFrame:

@@ -9,47 +9,36 @@ from pyspark.sql import functions as F
 from txrisk import schema as S
 from txrisk.functions.money import percentage
 from txrisk.operators.cleaning import (
-    COPIES,
+    CLEANED,
     clean_distinct,
     data_columns,
+    distinct_summary,
     distinct_transactions,
-    missing_mark,
+    record_counts,
 )
 from txrisk.operators.quantiles import SMALL_GROUP
 from txrisk.sources.stages import materialize
 
+SUMS = [
+    "total_records",
+    "total_missing_cells",
+    "duplicate_rows",
+    "invalid_amount_count",
+    "invalid_age_count",
+]
 
-def _weighted(condition):
-    return F.coalesce(F.sum(F.when(condition, F.col(COPIES))), F.lit(0)).cast("bigint")
-
-
-def _missing_counts(distinct: DataFrame) -> dict:
-    """Missing cells of each column of the raw table, copies counted."""
-    out = {}
-    for c in data_columns(distinct):
-        mark = missing_mark(c)
-        if mark in distinct.columns:
-            out[c] = F.coalesce(F.sum(mark), F.lit(0)).cast("bigint")
-        else:
-            out[c] = _weighted(F.col(c).isNull())
-    return out
-
-
-def profile_distinct(distinct: DataFrame) -> DataFrame:
-    """Quality profile from a table of distinct transactions, in one aggregation."""
-    n_columns = len(data_columns(distinct))
-    amount, age = F.col("transaction_amount"), F.col("customer_age")
-    counted = distinct.agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).cast("bigint").alias("total_records"),
-        F.lit(n_columns).cast("bigint").alias("total_columns"),
-        reduce(add, _missing_counts(distinct).values()).alias("total_missing_cells"),
-        F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
-        _weighted(amount <= 0).alias("invalid_amount_count"),
-        _weighted((age < S.AGE_MIN) | (age > S.AGE_MAX)).alias("invalid_age_count"),
-    )
+def _profile(counted: DataFrame, n_columns: int) -> DataFrame:
+    """One row of sums as a quality profile."""
     cells = F.col("total_records") * F.col("total_columns")
     faults = ["duplicate_rows", "invalid_amount_count", "invalid_age_count", "total_missing_cells"]
-    return counted.withColumns(
+    return counted.select(
+        "total_records",
+        F.lit(n_columns).cast("bigint").alias("total_columns"),
+        "total_missing_cells",
+        "duplicate_rows",
+        "invalid_amount_count",
+        "invalid_age_count",
+    ).withColumns(
         {
             "missing_pct": percentage(F.col("total_missing_cells"), cells, 3),
             "is_valid_overall": reduce(add, [F.col(c) for c in faults]) == 0,
@@ -57,6 +46,19 @@ def profile_distinct(distinct: DataFrame) -> DataFrame:
     )
 
 
+def profile_distinct(distinct: DataFrame) -> DataFrame:
+    """Quality profile from a table of distinct transactions, in one aggregation."""
+    counted = distinct.agg(*[c.alias(n) for n, c in record_counts(distinct).items()])
+    return _profile(counted, len(data_columns(distinct)))
+
+
+def profile_summary(summary: DataFrame, n_columns: int) -> DataFrame:
+    """The same from the sums by age bracket that cleaning reads too."""
+    names = [c for c in SUMS if c in summary.columns]
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in names]
+    return _profile(summary.agg(*sums), n_columns)
+
+
 def profile(df: DataFrame) -> DataFrame:
     """Quality profile of raw transactions: one row, from one scan and one shuffle."""
     S.check_columns(df, ["transaction_amount", "customer_age"])
@@ -80,15 +82,26 @@ def with_removed(report: DataFrame, records_after: int) -> DataFrame:
 
 
 def profile_and_clean(
-    df: DataFrame, *, lenient: bool = False, small: int = SMALL_GROUP
+    df: DataFrame,
+    *,
+    lenient: bool = False,
+    row_key: str | None = None,
+    small: int = SMALL_GROUP,
 ) -> tuple[DataFrame, DataFrame]:
     """Quality report and cleaned table from one shuffle of the raw rows.
 
-    Both read the stage of distinct transactions, whose copy counts give the profile.
+    The distinct transactions are staged with copy counts; one aggregate over that stage, by
+    age bracket, gives the profile, the checks and what the filling steps need. ``row_key``
+    names a column to add that tells the cleaned rows apart.
     """
+    S.check_columns(df, CLEANED)
     distinct = materialize(distinct_transactions(df), "distinct")
-    cleaned, rows = clean_distinct(distinct, lenient=lenient, small=small)
-    return with_removed(profile_distinct(distinct), rows), cleaned
+    summary = distinct_summary(distinct, small)
+    cleaned, rows = clean_distinct(
+        distinct, summary=summary, row_key=row_key, lenient=lenient, small=small
+    )
+    report = profile_summary(summary, len(data_columns(distinct)))
+    return with_removed(report, rows), cleaned
 
 
 def cleaning_actions(report: DataFrame) -> DataFrame:

@@ -1,16 +1,22 @@
 """Exact order statistics and interpolated quantiles, at any size.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one task. That is
-used only for groups proven small. A larger group is narrowed first: each round takes
-two cut points around the wanted rank from a bounded rank sketch, then counts exactly
-how many rows lie below, on and between them. The rank either falls on a cut point,
-which is then the answer, or strictly between the two, which hold a fraction of a
-percent of the rows whatever the distribution and however often one value repeats.
-When few rows are left between the cuts they are ranked directly. The sketch only
-chooses where to cut; it never decides a result.
+used only for groups proven small. A larger group is narrowed first: each round takes two
+cut points around the wanted ranks from a quantile sketch of all its rows, then counts
+exactly how many rows lie below, on and between them. A rank either falls on a cut point,
+which is then the answer, or strictly between the two, which hold about a percent of the
+rows whatever the distribution and however often one value repeats. What is left of a
+group once it is small is ranked directly, by running counts over ranges of values.
+
+The sketch (KLL) is mergeable: every task sketches its own rows, the sketches of some tasks
+are merged by a salt of the partition, and those by group, so no task sees the rows of a
+group, or one sketch of each task. It is randomised and only chooses where to cut; it
+never decides a result.
 
 Columns of a whole table are scanned with the cuts as literals, all columns in one
-aggregation. Groups meet their cuts in a broadcast join on the group.
+aggregation; the driver holds two cuts a column. For groups the cuts are a table: a row for
+each range still open, joined to the rows of its group. That join is broadcast when the
+ranges are few, and else left to the planner, where adaptive execution splits a hot group.
 """
 
 import math
@@ -18,28 +24,25 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SMALL_GROUP = 1_000_000  # rows of a group whose distinct values one task may hold
-RANK_FACTOR = 5  # as many times more rows may be sorted at the end, which can spill
-MAX_LARGE_GROUPS = 200_000  # groups whose cut points the driver holds at once
-GRID = 1000  # rank sketch: cut points offered per round
-ACCURACY = 20 * GRID
-SKETCH_ROWS = 4_000_000  # rows per group the sketch looks at, if there are more
-SKETCH_TASKS = 16  # tasks that share the sketch of a group
+from txrisk.operators.ranges import running_sum
+from txrisk.sources.stages import materialize
+
+SMALL_GROUP = 250_000  # rows of a group whose distinct values one task may hold
+BROADCAST_RANGES = 100_000  # open ranges, of a few numbers each, sent to every task
+SKETCH_K = 4096  # rank error of a merged sketch: about an eighth of a percent
+GRID = 400  # cut points a sketch offers; cuts lie one or two of them from the wanted ranks
+SALTS = 64  # merges of a group's sketches that run side by side
 
 
 @dataclass
 class _Rank:
-    """One wanted order statistic: the value at 0-based ``rank`` of a group.
-
-    ``group`` is the group's key, or the column's name when columns are the groups.
-    """
+    """One wanted order statistic of a column: the value at 0-based ``rank``."""
 
     id: int
-    group: object
+    group: str  # the column
     rank: int
     rows: int  # rows strictly between the cuts
     below: int = 0  # rows at or below the lower cut
@@ -48,16 +51,6 @@ class _Rank:
     value: float | None = None
     done: bool = False
 
-    @property
-    def share(self) -> float:
-        """Share of the rows between the cuts that the sketch looks at."""
-        return min(SKETCH_ROWS / self.rows, 1.0)
-
-    def steps(self) -> tuple[int, int]:
-        """Grid points on both sides of the rank, one step apart from it."""
-        at = (self.rank - self.below) / self.rows
-        return int(math.floor(at * GRID)) - 1, int(math.ceil(at * GRID)) + 1
-
     def move(self, lo, hi, under, on_lo, inside, on_hi) -> None:
         """Place the rank among: under lo, on lo, inside, on hi, over hi."""
         at = self.rank - self.below
@@ -78,6 +71,9 @@ class _Rank:
             self.lower, self.below, self.rows = hi, self.below + passed, self.rows - passed
 
 
+TALLIES = ("under", "on_lo", "inside", "on_hi")
+
+
 def _between(value: Column, lower: Column, upper: Column) -> Column:
     return (lower.isNull() | (value > lower)) & (upper.isNull() | (value < upper))
 
@@ -93,130 +89,58 @@ def _tallies(v: Column, lo: Column, hi: Column, within: Column | None = None) ->
     return {k: F.count_if(t if within is None else t & within) for k, t in tests.items()}
 
 
-def _sketched(hits: DataFrame) -> dict:
-    """Cut points for each ``_id``, at grid points ``_a`` and ``_b`` of its rows.
+def _partition_salt() -> Column:
+    return F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("_salt")
 
-    The rows are spread evenly before they are sketched. They are few, while the tasks
-    that found them may be many, and one sketch per task would all meet in one.
-    """
-    grid = [i / GRID for i in range(GRID + 1)]
-    lo, hi = F.col("_a"), F.col("_b")
-    points = (
-        hits.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SKETCH_TASKS)))
-        .repartition("_id", "_salt")
-        .groupBy("_id", "_a", "_b")
-        .agg(F.percentile_approx("_v", grid, ACCURACY).alias("_points"))
-    )
-    cuts = points.select(
-        "_id",
-        F.when(lo > 0, F.get("_points", lo.cast("int"))).alias("lo"),
-        F.when(hi < GRID, F.get("_points", hi.cast("int"))).alias("hi"),
+
+def _cuts(sketch: Column, low: Column, high: Column) -> tuple[Column, Column]:
+    """Sketched values a step beyond the shares ``low`` and ``high`` of the rows; null where
+    there are no rows beyond."""
+    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    some = F.kll_sketch_get_n_double(sketch) > 0
+    points = F.when(some, F.kll_sketch_get_quantile_double(sketch, grid))
+    left, right = F.floor(low * GRID) - 1, F.ceil(high * GRID) + 1
+    return (
+        F.when(left > 0, F.get(points, left.cast("int"))),
+        F.when(right < GRID, F.get(points, right.cast("int"))),
     )
-    return {row["_id"]: (row["lo"], row["hi"]) for row in cuts.collect()}
 
 
-def _ranked(hits: DataFrame) -> dict:
-    """The values at positions ``_a`` and ``_b`` among the few rows of each ``_id``."""
-    counted = hits.groupBy("_id", "_a", "_b", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.partitionBy("_id").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.col("_upto")
-
-    def at(position):
-        here = (end > F.col(position)) & (end - F.col("_n") <= F.col(position))
-        return F.max(F.when(here, F.col("_v"))).alias(f"at{position}")
-
-    found = counted.withColumn("_upto", F.sum("_n").over(upto)).groupBy("_id")
-    return {row["_id"]: tuple(row)[1:] for row in found.agg(at("_a"), at("_b")).collect()}
-
-
-class _Columns:
-    """Scans for ranks of columns over the whole table."""
-
-    def __init__(self, df: DataFrame):
-        self.df = df
-
-    def _kind(self, r: _Rank):
-        return self.df.schema[r.group].dataType
-
-    def _range(self, r: _Rank) -> Column:
-        v, test = F.col(r.group), F.col(r.group).isNotNull()
-        if r.lower is not None:
-            test = test & (v > F.lit(r.lower))
-        return test if r.upper is None else test & (v < F.lit(r.upper))
-
-    def hits(self, ranks, numbers, sampled: bool = False) -> DataFrame:
-        """Rows between the cuts of each rank: ``_id``, its two numbers, ``_v``."""
-        df = self.df.withColumn("_draw", F.rand(0)) if sampled else self.df
-        mixed = len({self._kind(r).simpleString() for r in ranks}) > 1
-        tests, found = [], []
-        for r in ranks:
-            test = self._range(r)
-            if sampled and r.share < 1:
-                test = test & (F.col("_draw") < r.share)
-            value = F.col(r.group).cast("double" if mixed else self._kind(r))
-            a, b = (F.lit(x).cast("bigint") for x in numbers(r))
-            row = F.struct(
-                F.lit(r.id).alias("_id"), a.alias("_a"), b.alias("_b"), value.alias("_v")
-            )
-            tests.append(test)
-            found.append(F.when(test, row))
-        kept = df.where(reduce(or_, tests)).select(F.explode(F.array(*found)).alias("_hit"))
-        return kept.where(F.col("_hit").isNotNull()).select("_hit.*")
-
-    def counts(self, active, cuts) -> dict:
-        aggs = []
-        for r in active:
-            v = F.col(r.group)
-            lo, hi = (F.lit(c).cast(self._kind(r)) for c in cuts[r.id])
-            tallies = _tallies(v, lo, hi, self._range(r))
-            aggs += [c.alias(f"{name}_{r.id}") for name, c in tallies.items()]
-        row = self.df.agg(*aggs).first()
-        names = ("under", "on_lo", "inside", "on_hi")
-        return {r.id: tuple(row[f"{name}_{r.id}"] for name in names) for r in active}
-
-
-class _Groups:
-    """Scans for ranks of the column ``_v`` within groups of the columns ``by``."""
-
-    def __init__(self, values: DataFrame, by: list[str]):
-        self.values, self.by = values, by
-
-    def _match(self, ranks, extra_fields, extra) -> DataFrame:
-        """Rows strictly between their group's cuts. The cuts are broadcast: at most two
-        rows per large group."""
-        kind = self.values.schema["_v"].dataType
-        keys = [f"_k{i}" for i in range(len(self.by))]
-        fields = [
-            *[
-                T.StructField(k, self.values.schema[c].dataType)
-                for k, c in zip(keys, self.by, strict=True)
-            ],
-            T.StructField("_id", T.IntegerType()),
-            T.StructField("_lower", kind),
-            T.StructField("_upper", kind),
-            *[T.StructField(name, t) for name, t in extra_fields.items()],
-        ]
-        rows = [(*r.group, r.id, r.lower, r.upper, *extra(r)) for r in ranks]
-        bounds = self.values.sparkSession.createDataFrame(rows, T.StructType(fields))
-        same = [self.values[c].eqNullSafe(bounds[k]) for k, c in zip(keys, self.by, strict=True)]
-        joined = self.values.join(F.broadcast(bounds), same)
-        return joined.where(_between(F.col("_v"), F.col("_lower"), F.col("_upper")))
-
-    def hits(self, ranks, numbers, sampled: bool = False) -> DataFrame:
-        """Rows between the cuts of each rank: ``_id``, its two numbers, ``_v``."""
-        extra = {"_a": T.LongType(), "_b": T.LongType(), "_share": T.DoubleType()}
-        found = self._match(ranks, extra, lambda r: (*numbers(r), r.share))
-        if sampled:
-            found = found.where(F.rand(0) < F.col("_share"))
-        return found.select("_id", "_a", "_b", "_v")
-
-    def counts(self, active, cuts) -> dict:
-        kind = self.values.schema["_v"].dataType
-        extra = {"_cut_lo": kind, "_cut_hi": kind}
-        matched = self._match(active, extra, lambda r: cuts[r.id])
-        tallies = _tallies(F.col("_v"), F.col("_cut_lo"), F.col("_cut_hi"))
-        counted = matched.groupBy("_id").agg(*[c.alias(name) for name, c in tallies.items()])
-        return {row["_id"]: tuple(row)[1:] for row in counted.collect()}
+# ------------------------------------------------------------------ columns of a table
+
+
+def _range(r: _Rank) -> Column:
+    v, test = F.col(r.group), F.col(r.group).isNotNull()
+    if r.lower is not None:
+        test = test & (v > F.lit(r.lower))
+    return test if r.upper is None else test & (v < F.lit(r.upper))
+
+
+def _column_cuts(df: DataFrame, wide: list[list[_Rank]]) -> dict:
+    """Two cut points for each range, by the id of its first rank: one scan of the columns."""
+    names = {t[0].id: f"_s{t[0].id}" for t in wide}
+    inside = [F.when(_range(t[0]), F.col(t[0].group)).alias(names[t[0].id]) for t in wide]
+    salted = df.select(_partition_salt(), *inside).groupBy("_salt")
+    parts = salted.agg(*[F.kll_sketch_agg_double(c, SKETCH_K).alias(c) for c in names.values()])
+    merged = parts.agg(*[F.kll_merge_agg_double(c).alias(c) for c in names.values()])
+    shares = []
+    for t in wide:
+        head, sketch = t[0], F.col(names[t[0].id])
+        low, high = ((x - head.below) / head.rows for x in (head.rank, t[-1].rank + 1))
+        lo, hi = _cuts(sketch, F.lit(low), F.lit(high))
+        shares += [lo.alias(f"lo_{head.id}"), hi.alias(f"hi_{head.id}")]
+    row = merged.select(*shares).first()
+    return {i: (row[f"lo_{i}"], row[f"hi_{i}"]) for i in names}
+
+
+def _column_counts(df: DataFrame, heads: list[_Rank], cuts: dict) -> dict:
+    aggs = []
+    for r in heads:
+        lo, hi = (F.lit(c).cast("double") for c in cuts[r.id])
+        tallies = _tallies(F.col(r.group), lo, hi, _range(r))
+        aggs += [c.alias(f"{name}_{r.id}") for name, c in tallies.items()]
+    row = df.agg(*aggs).first()
+    return {r.id: tuple(row[f"{name}_{r.id}"] for name in TALLIES) for r in heads}
 
 
 def _ranges(ranks) -> list[list[_Rank]]:
@@ -228,38 +152,190 @@ def _ranges(ranks) -> list[list[_Rank]]:
     return list(found.values())
 
 
-def _resolve(scans, ranks: list[_Rank], small: int) -> None:
-    """Find the value of every rank.
+def _rank_columns(df: DataFrame, ranges: list[list[_Rank]]) -> None:
+    """Values of ranks in ranges that are small, from one scan."""
+    tests, found = [], []
+    for t in ranges:
+        low, high = (F.lit(r.rank - t[0].below).cast("bigint") for r in (t[0], t[-1]))
+        row = F.struct(
+            F.lit(t[0].id).alias("_id"), low.alias("_a"), high.alias("_b"), F.col(t[0].group).alias("_v")
+        )
+        tests.append(_range(t[0]))
+        found.append(F.when(tests[-1], row))
+    hits = df.where(reduce(or_, tests)).select(F.explode(F.array(*found)).alias("_hit"))
+    hits = hits.where(F.col("_hit").isNotNull()).select("_hit.*")
+    counted = hits.groupBy("_id", "_a", "_b", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    rows = sum(t[0].rows for t in ranges)
+    placed = running_sum(counted, ["_id"], ["_v"], rows, weight="_n")
+    on = [_holds(F.col(c)) for c in ("_a", "_b")]
+    values = {}
+    for r in placed.where(on[0] | on[1]).collect():  # at most two rows a range
+        for place in {r["_a"], r["_b"]}:
+            if r["_upto"] - r["_n"] <= place < r["_upto"]:
+                values[r["_id"], place] = r["_v"]
+    for t in ranges:
+        for r in t:
+            r.value = values[t[0].id, r.rank - r.below]
+
+
+def _holds(place: Column) -> Column:
+    """Whether a value that makes up the ranks before ``_upto`` is at this place."""
+    return (F.col("_upto") > place) & (F.col("_upto") - F.col("_n") <= place)
+
+
+def _resolve(df: DataFrame, ranks: list[_Rank], small: int) -> None:
+    """Find the value of every rank: narrow its range until that is small, then rank it."""
+    columns = sorted({r.group for r in ranks})
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    while wide := [t for t in _ranges(ranks) if t[0].rows > small]:
+        cuts = _column_cuts(df, wide)
+        counts = _column_counts(df, [t[0] for t in wide], cuts)
+        for t in wide:
+            head = t[0].id
+            for r in t:
+                r.move(*cuts[head], *counts[head])
+    ranges = _ranges(ranks)
+    if ranges:
+        _rank_columns(df, ranges)
+
+
+# ------------------------------------------------------------------------------ groups
+
+STATE = ["_ranks", "_below", "_rows", "_lower", "_upper"]  # of an open range, beside its keys
+
+
+def _matched(values: DataFrame, by: list[str], table: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows beside the ranges of their group, whose keys are ``_k0``, ``_k1``, ..."""
+    few = table.count() <= BROADCAST_RANGES
+    same = [values[c].eqNullSafe(table[f"_k{i}"]) for i, c in enumerate(by)]
+    return values.join(F.broadcast(table) if few else table, same, how)
+
+
+def _inside(values: DataFrame, by: list[str], table: DataFrame) -> DataFrame:
+    joined = _matched(values, by, table)
+    return joined.where(_between(F.col("_v"), F.col("_lower"), F.col("_upper")))
+
+
+def _narrowed(values: DataFrame, by: list[str], wide: DataFrame) -> DataFrame:
+    """Where each rank of the open ranges lies after one round of cuts: its value, or the
+    range it is in."""
+    keys = [f"_k{i}" for i in range(len(by))]
+    state = [*keys, *STATE]
+    salted = _inside(values, by, wide).select(*state, "_v", _partition_salt())
+    parts = salted.groupBy(*state, "_salt").agg(F.kll_sketch_agg_double("_v", SKETCH_K).alias("_s"))
+    sketches = parts.groupBy(*state).agg(F.kll_merge_agg_double("_s").alias("_s"))
+    rows = F.col("_rows").cast("double")
+    low = (F.array_min("_ranks") - F.col("_below")) / rows
+    high = (F.array_max("_ranks") - F.col("_below") + 1) / rows
+    lo, hi = _cuts(F.col("_s"), low, high)
+    cuts = materialize(sketches.select(*state, lo.alias("_lo"), hi.alias("_hi")), "cuts")
+    tallies = _tallies(F.col("_v"), F.col("_lo"), F.col("_hi"))
+    counted = _inside(values, by, cuts).groupBy(*state, "_lo", "_hi")
+    counted = counted.agg(*[c.alias(name) for name, c in tallies.items()])
+    each = counted.withColumn("_rank", F.explode("_ranks"))
+    at = F.col("_rank") - F.col("_below")
+    under, on_lo, inside, on_hi = (F.col(c) for c in TALLIES)
+    lo, hi = F.col("_lo"), F.col("_hi")
+    part = (
+        F.when(lo.isNotNull() & (at < under), 0)
+        .when(lo.isNotNull() & (at < under + on_lo), 1)
+        .when(at < under + on_lo + inside, 2)
+        .when(at < under + on_lo + inside + on_hi, 3)
+        .otherwise(4)
+    )
+    each = each.withColumn("_part", part)
+    which, passed = F.col("_part"), under + on_lo + inside + on_hi
+    first = F.when(lo.isNotNull(), under + on_lo).otherwise(F.lit(0))
+    skipped = F.when(which == 2, first).when(which == 4, passed).otherwise(F.lit(0))
+    size = F.when(which == 0, under).when(which == 2, inside).otherwise(F.col("_rows") - passed)
+    lower = F.when(which == 2, F.coalesce(lo, "_lower")).when(which == 4, hi).otherwise(F.col("_lower"))
+    upper = F.when(which == 0, lo).when(which == 2, F.coalesce(hi, "_upper")).otherwise(F.col("_upper"))
+    return materialize(
+        each.select(
+            *keys,
+            "_rank",
+            F.when(which == 1, lo).when(which == 3, hi).alias("_value"),
+            which.isin(1, 3).alias("_done"),
+            (F.col("_below") + skipped).alias("_below"),
+            size.alias("_rows"),
+            lower.alias("_lower"),
+            upper.alias("_upper"),
+        ),
+        "narrowed",
+    )
+
 
-    Ranges are narrowed until all that is left between cuts can be ranked at once: few
-    rows in all, or few in each range.
-    """
+def _rank_groups(values: DataFrame, by: list[str], ready: DataFrame) -> DataFrame:
+    """Keys, ``_rank`` and ``_value`` of the ranks in ranges that are small."""
+    keys = [f"_k{i}" for i in range(len(by))]
+    state = [*keys, "_lower", "_below", "_ranks"]
+    hits = _inside(values, by, ready)
+    counted = hits.groupBy(*state, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    rows = ready.agg(F.sum("_rows")).first()[0] or 0
+    placed = running_sum(counted, [*keys, "_lower"], ["_v"], rows, weight="_n")
+    each = placed.withColumn("_rank", F.explode("_ranks"))
+    found = each.where(_holds(F.col("_rank") - F.col("_below")))
+    return found.select(*keys, "_rank", F.col("_v").alias("_value"))
+
+
+def _large_groups(
+    values: DataFrame, by: list[str], large: DataFrame, q: float, name: str, small: int
+) -> DataFrame:
+    """The quantile of each group of the table ``large`` (keys and ``_n``), as a frame."""
+    keys = [f"_k{i}" for i in range(len(by))]
+    position = F.lit(float(q)) * (F.col("_n") - 1)
+    first = F.least(F.floor(position).cast("bigint"), F.col("_n") - 1)
+    wanted = large.select(
+        *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)],
+        "_n",
+        first.alias("_first"),
+        F.least(first + 1, F.col("_n") - 1).alias("_second"),
+        (position - first).alias("_part"),
+    )
+    wanted = materialize(wanted, "wanted")
+    none = F.lit(None).cast("double")
+    open_ = wanted.select(
+        *keys,
+        F.array_distinct(F.array("_first", "_second")).alias("_ranks"),
+        F.lit(0).cast("bigint").alias("_below"),
+        F.col("_n").alias("_rows"),
+        none.alias("_lower"),
+        none.alias("_upper"),
+    )
+    found, ready = [], []
     while True:
-        ranges = _ranges(ranks)
-        if sum(together[0].rows for together in ranges) <= RANK_FACTOR * small:
-            break
-        wide = [together for together in ranges if together[0].rows > min(GRID, small)]
-        if not wide:
+        ready.append(open_.where(F.col("_rows") <= small))
+        wide = open_.where(F.col("_rows") > small)
+        if wide.isEmpty():
             break
-        heads, steps = [together[0] for together in wide], {}
-        for together in wide:
-            both = [r.steps() for r in together]
-            steps[together[0].id] = min(lo for lo, _ in both), max(hi for _, hi in both)
-        cuts = _sketched(scans.hits(heads, lambda r, at=steps: at[r.id], sampled=True))
-        if len(cuts) < len(heads):  # a group the sample missed
-            cuts = _sketched(scans.hits(heads, lambda r, at=steps: at[r.id]))
-        counts = scans.counts(heads, cuts)
-        for together in wide:
-            head = together[0].id
-            for r in together:
-                r.move(*cuts[head], *counts[head])
-    if not ranges:
-        return
-    places = {t[0].id: (t[0].rank - t[0].below, t[-1].rank - t[-1].below) for t in ranges}
-    found = _ranked(scans.hits([t[0] for t in ranges], lambda r: places[r.id]))
-    for together in ranges:
-        first, last = found[together[0].id]
-        together[0].value, together[-1].value = first, last
+        moved = _narrowed(values, by, wide)
+        found.append(moved.where("_done").select(*keys, "_rank", "_value"))
+        rest = moved.where(~F.col("_done")).groupBy(*keys, *STATE[1:])
+        ranks = F.sort_array(F.collect_list("_rank")).alias("_ranks")  # one or two
+        open_ = materialize(rest.agg(ranks).select(*keys, *STATE), "open")
+    small_ranges = materialize(reduce(DataFrame.unionByName, ready), "ready")
+    if not small_ranges.isEmpty():
+        found.append(_rank_groups(values, by, small_ranges))
+    values_found = materialize(reduce(DataFrame.unionByName, found), "found")
+    named = values_found.toDF(*[f"_f{k}" for k in keys], "_rank", "_value")
+    same = [wanted[k].eqNullSafe(named[f"_f{k}"]) for k in keys]
+    rank = F.col("_rank")
+    ends = (
+        wanted.join(named, same)
+        .groupBy(*keys, "_part")
+        .agg(
+            F.max(F.when(rank == F.col("_first"), F.col("_value"))).alias("_low"),
+            F.max(F.when(rank == F.col("_second"), F.col("_value"))).alias("_high"),
+        )
+    )
+    low, high, part = F.col("_low"), F.col("_high"), F.col("_part")
+    value = F.when(low == high, low).otherwise((1 - part) * low + part * high)
+    return ends.select(
+        *[F.col(k).alias(c) for c, k in zip(by, keys, strict=True)], value.alias(name)
+    )
+
+
+# ------------------------------------------------------------------------------ results
 
 
 def _pairs(sizes: dict, q: float) -> tuple[list[_Rank], dict]:
@@ -282,9 +358,10 @@ def _interpolate(low: _Rank, high: _Rank, part: float) -> float:
 
 
 def nth_smallest(df: DataFrame, value: str, rank: int, rows: int, small=SMALL_GROUP):
-    """The value at 0-based ``rank`` among the ``rows`` non-null values of a column."""
+    """The value at 0-based ``rank`` among the ``rows`` non-null values of a column, as a
+    double: whole numbers are exact up to 2^53."""
     wanted = _Rank(0, value, rank, rows)
-    _resolve(_Columns(df.select(value)), [wanted], small)
+    _resolve(df, [wanted], small)
     return wanted.value
 
 
@@ -309,7 +386,7 @@ def column_statistics(
         return by_column, extras
     ranks, pairs = _pairs({c: n for c, n in by_column.items() if n}, q)
     if ranks:
-        _resolve(_Columns(values), ranks, small)
+        _resolve(values, ranks, small)
     return {c: _interpolate(*pairs[c]) if c in pairs else None for c in columns}, extras
 
 
@@ -332,9 +409,10 @@ def exact_quantile(
     """Interpolated quantile of a double column per group; nulls are skipped.
 
     ``rows`` is an upper bound of the row count, and ``sizes`` the groups with their number
-    ``_n`` of values, when the caller knows them. Otherwise they are counted. If no group can exceed ``small`` rows the result is a lazy
-    aggregate; otherwise the large groups are resolved first, in a few narrow scans.
-    ``df`` should be a stored table then, since it is read several times.
+    ``_n`` of values, when the caller knows them. Otherwise they are counted. If no group can
+    exceed ``small`` rows the result is a lazy aggregate; otherwise the large groups are
+    resolved first, in a few narrow scans. ``df`` should be a stored table then, since it is
+    read several times.
     """
     by = list(by)
     values = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
@@ -349,20 +427,12 @@ def exact_quantile(
     if rows <= small:
         return values.groupBy(*by).agg(out)
 
-    small = max(small, rows // MAX_LARGE_GROUPS)
     if sizes is None:
         sizes = values.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.where(F.col("_n") > small).collect()
-    large = {tuple(row[c] for c in by): row["_n"] for row in large}
-    ranks, pairs = _pairs(large, q)  # at most MAX_LARGE_GROUPS groups
-    _resolve(_Groups(values, by), ranks, small)
-
-    fields = [T.StructField(c, values.schema[c].dataType) for c in by]
-    found = df.sparkSession.createDataFrame(
-        [(*group, _interpolate(*pair)) for group, pair in pairs.items()],
-        T.StructType([*fields, T.StructField(name, T.DoubleType())]),
-    )
-    marks = found.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)])
-    same = [values[c].eqNullSafe(marks[f"_k{i}"]) for i, c in enumerate(by)]
-    others = values.join(F.broadcast(marks), same, "left_anti").groupBy(*by).agg(out)
+    large = materialize(sizes.select(*by, "_n").where(F.col("_n") > small), "large")
+    if large.isEmpty():
+        return values.groupBy(*by).agg(out)
+    found = _large_groups(values, by, large, q, name, small)
+    marks = large.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)])
+    others = _matched(values, by, marks, "left_anti").groupBy(*by).agg(out)
     return others.unionByName(found)

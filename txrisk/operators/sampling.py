@@ -5,13 +5,15 @@ gives the same rows under any partitioning.
 """
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk import schema as S
 from txrisk.functions import hashing as H
 from txrisk.operators.quantiles import SMALL_GROUP, nth_smallest
+from txrisk.operators.ranges import with_first
 from txrisk.sources.stages import materialize
 
 OVERSAMPLE = 1.5  # candidates per wanted row, before the exact cut
@@ -53,7 +55,7 @@ def tree_candidates(
     """
     if key is None:
         df = numbered_copies(df, columns)
-        key = F.concat_ws("|", F.xxhash64(*columns).cast("string"), F.col("_copy").cast("string"))
+        key = F.concat_ws("|", H.row_key(columns), F.col("_copy").cast("string"))
     else:
         key = H.key_of(df, key)
     share = min(share, 1.0)
@@ -91,8 +93,8 @@ def tree_samples(
     Should some tree have too few, the share is raised and the scan repeated. The rule is
     the same at every table size.
 
-    ``key`` names columns that tell all rows apart. Without it, rows with equal ``columns``
-    are counted and drawn as so many rows.
+    ``key`` names columns that tell all rows apart: then no row is moved before it is drawn.
+    Without it, rows with equal ``columns`` are counted first and drawn as so many rows.
     """
     columns = df.columns if columns is None else list(columns)
     size = min(size, rows)
@@ -109,6 +111,48 @@ def tree_samples(
     return ranked.where(F.col("_rank") <= size).drop("_rank")
 
 
+@dataclass
+class ExactPick:
+    """Where the ``n`` rows with the lowest hashes end: rows below the cut are all picked,
+    ``short`` of the ``on_cut`` rows on it."""
+
+    cut: int
+    short: int
+    on_cut: int
+
+
+def exact_pick(hashed: DataFrame, column: str, n: int, rows: int, small=SMALL_GROUP) -> ExactPick:
+    """The cut is the n-th smallest hash, found exactly by the quantile scans."""
+    hashes = materialize(hashed.select(column), "hashes")  # read several times, 8 bytes a row
+    cut = int(nth_smallest(hashes, column, n - 1, rows, small))
+    h = F.col(column)
+    below, on = hashes.agg(F.count_if(h < cut), F.count_if(h == cut)).first()
+    return ExactPick(cut, n - below, on)
+
+
+def mark_exact(
+    df: DataFrame, name: str, hashed: Column, n: int, rows: int, small: int = SMALL_GROUP
+) -> DataFrame:
+    """``df`` with a column ``name`` that is true on exactly ``n`` of its ``rows`` rows.
+
+    They are those with the lowest hashes: a filter on the scan, no row is sorted or moved.
+    Only where part of the rows that share the hash on the cut is wanted, those rows are
+    taken apart, counted in the order of their columns over as many tasks as they need, and
+    put back.
+    """
+    if n <= 0 or n >= rows:
+        return df.withColumn(name, F.lit(n > 0))
+    keyed = df.withColumn("_hash", hashed)
+    pick = exact_pick(keyed, "_hash", n, rows, small)
+    h = F.col("_hash")
+    if pick.short == pick.on_cut:
+        return keyed.withColumn(name, h <= pick.cut).drop("_hash")
+    rest = keyed.where(h != pick.cut).withColumn(name, h < pick.cut)
+    on_cut = keyed.where(h == pick.cut).drop("_hash")
+    counted = with_first(on_cut, pick.short, pick.on_cut, name)
+    return rest.drop("_hash").unionByName(counted)
+
+
 def sample_exact(
     df: DataFrame,
     fraction: float,
@@ -118,24 +162,17 @@ def sample_exact(
     rows: int | None = None,
     small: int = SMALL_GROUP,
 ) -> DataFrame:
-    """Exactly ``floor(rows * fraction)`` rows without replacement.
+    """Exactly ``floor(rows * fraction)`` rows without replacement, by the hash of ``key``.
 
-    The cut is the n-th smallest key hash, found exactly by the quantile scans, so the
-    pick is a filter on the scan and no row is sorted or moved. ``key`` should be unique;
-    rows on the cut, which share one hash, are taken in the order of their columns.
+    Rows that share the key on the cut, however many, are taken in the order of their columns.
     """
     if rows is None:
         rows = df.count()
     n = min(int(math.floor(rows * fraction)), rows)
     if n == 0:
         return df.limit(0)
-    hashed = df.withColumn("_hash", H.word(H.digest(H.key_of(df, key), seed), 0))
-    hashes = materialize(hashed.select("_hash"), "hashes")  # read several times, 8 bytes a row
-    cut = nth_smallest(hashes, "_hash", n - 1, rows, small)
-    short = n - hashes.where(F.col("_hash") < cut).count()
-    below = hashed.where(F.col("_hash") < cut)
-    on_cut = hashed.where(F.col("_hash") == cut).orderBy(*df.columns)
-    return below.unionByName(on_cut.limit(short)).drop("_hash")
+    hashed = H.word(H.digest(H.key_of(df, key), seed), 0)
+    return mark_exact(df, "_picked", hashed, n, rows, small).where("_picked").drop("_picked")
 
 
 def sample_share(df: DataFrame, share: float, *, key="transaction_id", seed: int = S.SEED):

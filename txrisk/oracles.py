@@ -264,7 +264,7 @@ at{depth + 1} AS (SELECT a.tree, a.x, 2 * a.node + CASE WHEN a.x[n.feature + 1]
   FROM at{depth} a JOIN nodes{depth} n ON n.tree = a.tree AND n.node = a.node WHERE n.feature >= 0)"""
 
 
-FOREST = f"""{CLEANED}, {_DRAWN},
+_TREES = f"""
 scaling AS (SELECT {", ".join(_scaled(c) for c in _F)} FROM cleaned),
 prepared AS (SELECT cleaned.*, [{", ".join(f"({c} - m_{c}) / s_{c}" for c in _F)}] AS x FROM cleaned, scaling),
 picked AS (SELECT tree, transaction_id FROM hashed QUALIFY row_number()
@@ -272,14 +272,25 @@ picked AS (SELECT tree, transaction_id FROM hashed QUALIFY row_number()
 at0 AS MATERIALIZED (SELECT tree, 0 AS node, x FROM picked JOIN prepared USING (transaction_id)),
 {",".join(_level(d) for d in range(DEPTH + 1))},
 nodes AS MATERIALIZED ({" UNION ALL ".join(f"SELECT * FROM nodes{d}" for d in range(DEPTH + 1))})"""
+FOREST = f"{CLEANED}, {_DRAWN},{_TREES}"
 
-SQL["forest_nodes"] = over(
-    FOREST,
-    """SELECT CAST(tree AS BIGINT) AS tree, CAST(node AS BIGINT) AS node, CAST(feature AS BIGINT) AS feature,
+
+def _key_part(column):
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(CAST(length({text}) AS VARCHAR) || ':' || {text}, '-')"
+
+
+# Rows drawn by a hash of all the columns they are distinct in, before any is changed.
+_KEYED = f"""keyed AS (SELECT transaction_id, md5({" || ".join(_key_part(c) for c in S.REQUIRED)}) AS row_key
+  FROM uniq WHERE transaction_amount > 0)"""
+KEYED_FOREST = f"{CLEANED}, {_KEYED}, {_hashed('row_key')},{_TREES}"
+
+_NODES = """SELECT CAST(tree AS BIGINT) AS tree, CAST(node AS BIGINT) AS node, CAST(feature AS BIGINT) AS feature,
   CAST(split AS DOUBLE) AS split, CAST(CASE WHEN feature < 0 THEN -1 ELSE 2 * node + 1 END AS BIGINT) AS "left",
   CAST(CASE WHEN feature < 0 THEN -1 ELSE 2 * node + 2 END AS BIGINT) AS "right",
-  CAST(size AS BIGINT) AS size, CAST(depth AS BIGINT) AS depth FROM nodes""",
-)
+  CAST(size AS BIGINT) AS size, CAST(depth AS BIGINT) AS depth FROM nodes"""
+SQL["forest_nodes"] = over(FOREST, _NODES)
+SQL["risk_nodes"] = over(KEYED_FOREST, _NODES)
 
 
 def _path_constant(n):
@@ -296,7 +307,7 @@ step{depth + 1} AS (SELECT s.transaction_id, s.tree, s.x,
   ELSE 2 * s.node + 2 END AS node FROM step{depth} s JOIN nodes n ON n.tree = s.tree AND n.node = s.node)"""
 
 
-SCORED = f"""{FOREST},
+_WALK = f"""
 step0 AS (SELECT transaction_id, CAST(tree AS BIGINT) AS tree, x, 0 AS node
   FROM prepared, range({S.N_TREES}) AS r(tree)),
 {",".join(_step(d) for d in range(DEPTH))},
@@ -306,6 +317,7 @@ raw_scores AS MATERIALIZED (SELECT transaction_id, -pow(CAST(2 AS DOUBLE), -(sum
 cut AS (SELECT quantile_cont(raw, {S.CONTAMINATION}) AS t FROM raw_scores),
 scored AS (SELECT cleaned.*, raw - t AS anomaly_score, CAST(CASE WHEN raw - t < 0 THEN 1 ELSE 0 END AS BIGINT)
   AS is_anomaly FROM cleaned JOIN raw_scores USING (transaction_id), cut)"""
+SCORED = f"{FOREST},{_WALK}"
 
 _SCORES = over(
     SCORED,
@@ -313,6 +325,7 @@ _SCORES = over(
 )
 SQL["score_forest"] = _SCORES
 SQL["save_load_score"] = _SCORES
+SQL["score_stream"] = _SCORES
 
 # A fixed forest of three trees of depth two, as (feature, split) tests and leaf paths.
 _C = {n: f"CAST({v!r} AS DOUBLE)" for n, v in {2: 1.0, 3: 1.207392357589623}.items()}
@@ -646,13 +659,14 @@ SQL["forest_sample_copies"] = over(
 _OWN = f"""{SCORED},
 own AS (SELECT * REPLACE ({round_half_up("anomaly_score", 8)} AS anomaly_score) FROM scored),
 marked AS (SELECT *, {_STATUS} FROM own)"""
-SQL["forest_rate_by_category"] = over(
-    _OWN,
+_RATES = (
     "SELECT merchant_category, count(*) AS transaction_count, "
     "CAST(sum(is_anomaly) AS BIGINT) AS flagged_count, "
     + percentage("sum(is_anomaly)", "count(*)", 2)
-    + " AS flagged_rate_pct FROM own GROUP BY ALL",
+    + " AS flagged_rate_pct FROM scored GROUP BY ALL"
 )
+SQL["forest_rate_by_category"] = over(SCORED, _RATES)
+SQL["risk_rate_by_category"] = over(f"{KEYED_FOREST},{_WALK}", _RATES)
 SQL["forest_score_histogram"] = _histogram(_OWN, "marked", "anomaly_score", S.SCORE_BINS, "status")
 SQL["forest_flagged_table"] = over(
     _OWN,
@@ -661,6 +675,38 @@ SQL["forest_flagged_table"] = over(
 FROM own WHERE is_anomaly = 1""",
 )
 
+# What one task may hold, in the queries that take the way of larger tables.
+FEW = 40
+SQL["clean_income_large"] = SQL["clean_income"]
+SQL["impute_median_large"] = SQL["impute_median"]
+SQL["contamination_threshold_large"] = SQL["contamination_threshold"]
+
+
+def _first_by_state(purpose, share):
+    """Whether a row is among the first ``share`` by the hash of its state, then by id."""
+    order = word("state", purpose, 0)
+    return (
+        f"row_number() OVER (ORDER BY {order}, transaction_id) <= "
+        f"CAST(floor((SELECT count(*) FROM kept) * {share}) AS BIGINT)"
+    )
+
+
+SQL["sample_exact_shared_key"] = over(
+    KEPT, f"SELECT transaction_id, state FROM kept QUALIFY {_first_by_state(S.SEED, 0.1)}"
+)
+SQL["plant_exact_shared_key"] = over(
+    f"""{KEPT}, picked AS (SELECT *, {_first_by_state(f"{S.SEED}/city", 0.01)} AS no_city,
+  {_first_by_state(f"{S.SEED}/income", 0.01)} AS no_income, {_first_by_state(f"{S.SEED}/invalid", 0.003)} AS invalid FROM kept)""",
+    """SELECT transaction_id, CASE WHEN NOT no_city THEN city END AS city,
+  CASE WHEN NOT no_income THEN customer_income END AS customer_income,
+  CASE WHEN invalid THEN -abs(transaction_amount) ELSE transaction_amount END AS transaction_amount FROM picked""",
+)
+SQL["filter_has_rows"] = over(
+    LEDGER,
+    f"SELECT 'some' AS choice, count(*) > 0 AS has_rows FROM transactions WHERE {_LISTS} "
+    "UNION ALL SELECT 'none', count(*) > 0 FROM transactions WHERE state = 'NOWHERE'",
+)
+
 # Amounts finer than a cent: a share of each amount, in ten-thousandths.
 FINE = 10_000
 SQL["sub_cent_spend"] = over(

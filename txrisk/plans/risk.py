@@ -5,11 +5,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from txrisk import schema as S
-from txrisk.operators.forest import ForestModel, fit_and_score
+from txrisk.operators.forest import ForestModel, fit_trees, score_and_flag
 from txrisk.operators.quality import profile_and_clean
+from txrisk.operators.quantiles import SMALL_GROUP
 from txrisk.plans.reports import run_all_reports
+from txrisk.sources.stages import owned_stages
 from txrisk.sources.transactions import load_table, read_transactions
 
+ROW_KEY = "_row_key"
+
 
 @dataclass
 class RiskRun:
@@ -35,9 +39,20 @@ def run_risk(
     """Profile, clean, score, load the table and prepare every report.
 
     Whole rows are shuffled once (de-duplication) and written twice (distinct rows,
-    scored rows), or three times with ``path``, which keeps the table by month.
+    scored rows), or three times with ``path``, which keeps the table by month. Trees draw
+    rows by a key made of the columns the rows are distinct in, so no row moves for that.
+    Stages that the results do not read are deleted at the end.
     """
-    quality, cleaned = profile_and_clean(raw)
-    model, scored = fit_and_score(cleaned, contamination, **forest_options)
-    scored = load_table(scored, path=path)
-    return RiskRun(quality, cleaned, model, scored, run_all_reports(raw.sparkSession))
+    spark = raw.sparkSession
+    with owned_stages(spark) as stages:
+        report, keyed = profile_and_clean(raw, row_key=ROW_KEY)
+        cleaned = keyed.drop(ROW_KEY)
+        rows = cleaned.count()
+        options = {"key": ROW_KEY, **forest_options}
+        small = options.get("small", SMALL_GROUP)
+        model = fit_trees(keyed, rows=rows, **options)
+        scored = score_and_flag(model, cleaned, contamination, rows, small)
+        scored = load_table(scored, path=path)
+        quality = spark.createDataFrame(report.collect(), report.schema)  # one row
+        stages.keep(cleaned, scored)
+    return RiskRun(quality, cleaned, model, scored, run_all_reports(spark))

@@ -1,5 +1,6 @@
 """Transaction scans and sinks (CSV, Parquet, table)."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -8,6 +9,7 @@ from pyspark.sql import types as T
 
 from txrisk import schema as S
 from txrisk.functions import scalars as X
+from txrisk.sources.stages import files_at
 
 TABLE = "transactions"
 # Quotes are doubled inside quoted fields, in files read and files written.
@@ -104,8 +106,43 @@ def read_transactions(
     return df
 
 
+def _restore(spark: SparkSession, path: str) -> None:
+    """Put back a table that a writer, lost in the middle of a swap, had moved aside."""
+    files, folder = files_at(spark, path)
+    if not files.exists(folder):
+        aside = files.globStatus(files_at(spark, f"{path}.old-*")[1])
+        if aside:
+            files.rename(max((s.getPath() for s in aside), key=str), folder)
+
+
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Put what ``write`` writes in place of the folder ``path``, whole or not at all.
+
+    It is written beside the folder and takes its place by a rename once it is complete, so a
+    write that fails leaves the old content, and rows read from the folder itself can be
+    written to it. One writer at a time; a swap that was cut short is undone by the next one.
+    """
+    path = path.rstrip("/")
+    _restore(spark, path)
+    mark = uuid.uuid4().hex[:12]
+    files, folder = files_at(spark, path)
+    _, new = files_at(spark, f"{path}.new-{mark}")
+    _, old = files_at(spark, f"{path}.old-{mark}")
+    try:
+        write(new.toString())
+        if files.exists(folder):
+            files.rename(folder, old)
+        if files.exists(folder) or not files.rename(new, folder):
+            raise OSError(f"cannot put the new table in place of {path}")
+    except BaseException:
+        _restore(spark, path)
+        files.delete(new, True)
+        raise
+    files.delete(old, True)
+
+
 def write_transactions(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write a table, replacing what is there. Dates become ISO text in CSV files."""
+    """Write a table, replacing what is there in one step. Dates become ISO text in CSV files."""
     if fmt == "csv":
         text = {
             f.name: X.iso_text(F.col(f.name))
@@ -113,23 +150,24 @@ def write_transactions(df: DataFrame, path: str, fmt: str = "parquet") -> None:
             if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))
         }
         df = df.withColumns(text) if text else df
-        df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
-    else:
-        df.write.mode("overwrite").format(fmt).save(path)
+    options = CSV_OPTIONS if fmt == "csv" else {}
+    replace_folder(
+        df.sparkSession, path, lambda aside: df.write.options(**options).format(fmt).save(aside)
+    )
 
 
 def load_table(df: DataFrame, name: str = TABLE, path: str | None = None) -> DataFrame:
     """Replace table ``name``: a view over ``df``, or over Parquet written by month.
 
     Rows are rebalanced by month before the write: adaptive execution splits a large
-    month over several tasks and joins small ones, so files are even and few.
+    month over several tasks and joins small ones, so files are even and few. The old files
+    stay until the new ones are complete.
     """
     if path is not None:
         spark = df.sparkSession
         by_month = df.withColumn("month", X.month_text(F.col("transaction_date")))
-        by_month.hint("rebalance", "month").write.mode("overwrite").partitionBy(
-            "month"
-        ).parquet(path)
+        writer = by_month.hint("rebalance", "month").write.partitionBy("month")
+        replace_folder(spark, path, writer.parquet)
         fields = [f for f in df.schema.fields if f.name != "month"]
         kept = T.StructType([*fields, T.StructField("month", T.StringType())])
         df = spark.read.schema(kept).parquet(path)
@@ -139,14 +177,11 @@ def load_table(df: DataFrame, name: str = TABLE, path: str | None = None) -> Dat
 
 def _finished(spark: SparkSession, path: str) -> bool:
     """Whether a finished dataset stands at ``path``; raises at an unfinished one."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    _restore(spark, path.rstrip("/"))
+    files, folder = files_at(spark, path)
     if not files.exists(folder):
         return False
-    if files.getFileStatus(folder).isFile() or files.exists(
-        jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-    ):
+    if files.getFileStatus(folder).isFile() or files.exists(files_at(spark, f"{path}/_SUCCESS")[1]):
         return True
     raise ValueError(f"{path} holds no finished dataset")
 
