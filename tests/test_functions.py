@@ -104,3 +104,12 @@ def test_hash_words_are_uniform_and_repeatable(spark):
 @pytest.mark.parametrize("share,bound", [(0, 0), (1, H.SPAN), (2, H.SPAN), (0.5, H.SPAN // 2)])
 def test_share_bound(share, bound):
     assert H.share_bound(share) == bound
+
+
+def test_row_keys_tell_missing_values_apart(spark):
+    rows = [("a", None), (None, "a"), ("", "a"), ("a", ""), (None, None), ("1:a", None), ("a-", "")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    keys = df.select(H.row_key(["x", "y"]), H.key_of(df, ["x", "y"]), H.key_of(df)).collect()
+    assert all(len({r[i] for r in keys}) == len(rows) for i in range(3))
+    single = df.select(H.key_of(df, "x")).distinct()
+    assert single.count() == 5 and single.where(F.col(single.columns[0]).isNull()).isEmpty()

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from txrisk import schema as S
 from txrisk.operators import planting as P
+from txrisk.operators import ranges as R
 from txrisk.operators.forest import detect_anomalies
 from txrisk.operators.quality import profile_and_clean
 from txrisk.operators.sampling import sample_exact, sample_share
@@ -77,6 +78,31 @@ def test_exact_sample_of_rows_that_share_a_key(rows):
     assert sorted(got.collect()) == sorted(sample_exact(shared.repartition(5), 0.01).collect())
 
 
+@pytest.mark.parametrize("part_rows", [1_000_000, 200])
+def test_a_third_of_the_rows_on_one_key(spark, monkeypatch, part_rows):
+    monkeypatch.setattr(R, "PART_ROWS", part_rows)
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 6 == 0, 0).otherwise(F.col("id")).alias("x"),  # half of them equal
+    )
+    for share in (0.05, 0.3, 0.62, 0.9):
+        got = sorted(sample_exact(rows, share, key="k", small=50).collect())
+        assert len(got) == int(3000 * share)
+        again = sample_exact(rows.repartition(7, "x"), share, key="k").collect()
+        assert got == sorted(again)
+
+
+def test_planting_is_exact_when_keys_repeat(rows):
+    shared = rows.withColumn("state", (F.length("transaction_id") % 3).cast("string"))
+    assert P.plant_outliers(shared, key="state").where(f"{S.LABEL} = 1").count() == 80
+    defects = P.plant_defects(shared, key="state")
+    assert defects.where("city is null").count() == 40
+    assert defects.where("customer_income is null").count() == 40
+    assert defects.where("transaction_amount < 0").count() == 12
+    assert defects.columns == shared.columns and defects.count() == N
+    assert P.plant_duplicates(shared, key="state").count() == N + 20
+
+
 def test_share_sample(rows):
     assert near(sample_share(rows, 0.1).count(), 0.1)
 

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from txrisk.operators import quantiles as Q
+from txrisk.operators import ranges as R
 
 SHAPES = {
     "even": lambda r, n: r.random(n),
@@ -28,8 +29,12 @@ def test_large_path_equals_numpy(spark, shape, q, monkeypatch):
     assert Q.exact_quantile(df, "v", q).first()[0] == got
 
 
-def test_groups_of_all_sizes(spark, monkeypatch):
+@pytest.mark.parametrize("ranges, part_rows", [(100_000, 1_000_000), (2, 60)])
+def test_groups_of_all_sizes(spark, monkeypatch, ranges, part_rows):
+    """Also with more large groups than are broadcast, and more rows left than a task sorts."""
     monkeypatch.setattr(Q, "SKETCH_K", 64)
+    monkeypatch.setattr(Q, "BROADCAST_RANGES", ranges)
+    monkeypatch.setattr(R, "PART_ROWS", part_rows)
     df = spark.range(4000).select(
         F.when(F.col("id") % 3 == 0, 1)  # one group holds a third of the rows
         .when(F.col("id") % 50 == 1, None)
@@ -69,6 +74,49 @@ def test_nth_smallest(spark):
         assert Q.nth_smallest(df, "v", rank, 1000, small=10) == rank
 
 
+def test_no_task_sorts_more_than_its_share(spark):
+    """A third of the rows in one group: its rows lie in several parts, and count on."""
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 40).cast("string")).alias("g"),
+        (F.col("id") * 7919 % 6007).alias("v"),
+        (F.col("id") % 5).alias("w"),
+    )
+    got = R.running_sum(df, ["g"], ["v"], 6000, weight="w", part_rows=300)
+    largest = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < 1500
+    expected = {}
+    for r in sorted(df.collect(), key=lambda r: r.v):
+        upto = expected.get((r.g, None), 0) + r.w
+        expected[r.g, None] = expected[r.g, r.v] = upto
+    found = {(r.g, r.v): r["_upto"] for r in got.collect()}
+    assert found == {k: n for k, n in expected.items() if k[1] is not None}
+    parts = df.repartitionByRange(20, "g", "v").groupBy(F.spark_partition_id()).count()
+    assert parts.agg(F.max("count")).first()[0] < 1000
+
+
+def test_equal_rows_are_split_too(spark):
+    rows = spark.range(5000).select(F.lit("same").alias("a"), F.lit(None).cast("int").alias("b"))
+    got = R.with_first(rows, 1234, 5000, "picked", part_rows=400)
+    assert got.where("picked").count() == 1234 and got.count() == 5000
+    assert R.with_first(rows, 0, 5000, "p").where("p").isEmpty()
+    assert R.with_first(rows, 5000, 5000, "p").where("p").count() == 5000
+
+
+def test_many_large_groups_narrow_in_a_table(spark, monkeypatch):
+    monkeypatch.setattr(Q, "BROADCAST_RANGES", 0)
+    monkeypatch.setattr(Q, "SKETCH_K", 32)
+    df = spark.range(12_000).select(
+        (F.col("id") % 150).alias("a"),
+        F.when(F.col("id") % 2 == 0, "x").alias("b"),
+        (F.xxhash64("id") % 997 / 16).alias("v"),
+    )
+    for q in (0.0, 0.37, 1.0):
+        got = Q.exact_quantile(df, "v", q, ["a", "b"], small=20).collect()
+        expected = Q.exact_quantile(df, "v", q, ["a", "b"]).collect()
+        rounded = [sorted((r.a, r.b or "", round(r["quantile"], 9)) for r in x) for x in (got, expected)]
+        assert rounded[0] == rounded[1] and len(got) == 150
+
+
 def test_no_rows(spark):
     df = spark.createDataFrame([], "g int, v double")
     assert Q.exact_quantile(df, "v", 0.5).first()[0] is None

@@ -4,6 +4,7 @@ import pytest
 from check import connect, difference
 
 import __spark_entry__ as entry
+from txrisk import oracles as O
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
@@ -31,6 +32,15 @@ def test_equal(spark, sf_dir, con, name):
     assert difference(QUERIES[name](spark, sf_dir), con, SQL[name]) is None
 
 
+@pytest.mark.parametrize("name", list(O.ORDER))
+def test_order(spark, sf_dir, con, name):
+    """The rows as they come, beside the SQL sorted by what the report is sorted by."""
+    df = QUERIES[name](spark, sf_dir)
+    columns = ", ".join(df.columns)
+    result = con.execute(f"SELECT {columns} FROM ({SQL[name]}) ORDER BY {O.ORDER[name]}")
+    assert [tuple(r) for r in df.collect()] == result.fetchall()
+
+
 def test_entry(spark):
     got = entry.entry(spark).collect()
     assert sum(r["transaction_count"] for r in got) == 1468

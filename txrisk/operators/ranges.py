@@ -34,7 +34,7 @@ def running_sum(
     dealt = df.repartitionByRange(parts, *by, *order).withColumn("_part", F.spark_partition_id())
     dealt = materialize(dealt, "dealt")
     # one row a part and group: a group of any size has no more of them than there are parts
-    names = [f"_k{i}" for i in range(len(by))]
+    names = [f"_by{i}" for i in range(len(by))]
     sums = dealt.groupBy("_part", *by).agg(F.sum(amount).alias("_sum"))
     sums = sums.toDF("_p", *names, "_sum")
     before = Window.partitionBy(*names).orderBy("_p").rowsBetween(upto, -1)

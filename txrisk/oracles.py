@@ -716,3 +716,26 @@ SQL["sub_cent_spend"] = over(
   CAST((sum(x) * 2 + count(*) * {FINE // 100}) // (count(*) * {2 * FINE // 100}) AS DOUBLE) / 100 AS avg_spend
 FROM fine GROUP BY ALL""",
 )
+
+# How sorted results must come, beside what they hold.
+ORDER = {
+    "monthly_transaction_value": "month",
+    "transaction_count_by_category": "transaction_count DESC, merchant_category",
+    "spend_by_category": "total_spend DESC, merchant_category",
+    "top_customers_by_value": "total_spend DESC, customer_id",
+    "top_merchants_by_value": "total_value DESC, merchant_id, merchant_category",
+    "high_value_transactions": "transaction_amount DESC, transaction_id",
+    "value_by_state": "total_value DESC, state",
+    "anomaly_rate_by_category": "flagged_rate_pct DESC, merchant_category",
+    "risk_rate_by_category": "flagged_rate_pct DESC, merchant_category",
+    "filter_domains": "field, value",
+    "monthly_resample": "month_start",
+    "category_spend": "transaction_amount DESC, merchant_category",
+    "category_count": "transaction_count DESC, merchant_category",
+    "state_count": "transaction_count DESC, state",
+    "state_value": "transaction_amount DESC, state",
+    "intl_summary": "txn_type",
+    "amount_histogram": "bin",
+    "score_histogram": "status, bin",
+    "flagged_table": "anomaly_score, transaction_id",
+}

@@ -16,6 +16,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}  # application id -> scratch folder, local master only
 _owners: list["Owner"] = []  # runs that are under way, the innermost last
 
 
@@ -30,9 +31,10 @@ def stage_root(spark: SparkSession) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {SETTING} to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="txrisk-")
-        warnings.warn(f"{SETTING} is not set: stages go to {root}", stacklevel=2)
-        spark.conf.set(SETTING, root)
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="txrisk-")
+            warnings.warn(f"{SETTING} is not set: stages go to {_local_roots[app]}", stacklevel=2)
+        root = _local_roots[app]
     return f"{root.rstrip('/')}/txrisk-{app}"
 
 
