@@ -3,14 +3,13 @@
 import random
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
 
 import duckdb
 import numpy as np
 import pandas as pd
 import pytest
 
-from txrisk.llm import near_duplicates, quality_gam, rotated_codes, signatures, url_filter
+from txrisk.llm import near_duplicates, quality_gam, rotated_codes, signatures, substrings, url_filter
 
 BIG = 2**60 + 1
 
@@ -150,27 +149,98 @@ def test_buckets_of_blocks_stay_bounded(spark, monkeypatch):
     monkeypatch.setattr(near_duplicates, "BLOCK", 4)
     monkeypatch.setattr(near_duplicates, "BUCKET_ROWS", 200)
 
-    def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame({"a": [0], "b": [sum(map(len, batches))]})
+    def rows_of(members, sets):
+        return pd.DataFrame({"a": [len(sets)], "b": [len(members)]})
 
-    monkeypatch.setattr(near_duplicates, "_weigh_groups", rows_of)
+    monkeypatch.setattr(near_duplicates, "_link_cells", rows_of)
     groups = spark.range(400).selectExpr("7L AS sig", "id AS doc_id")
     labels = spark.createDataFrame([], "node bigint, label bigint")
-    held = groups.selectExpr("doc_id", "40L AS n", "cast('' AS binary) AS sketch")
+    held = groups.selectExpr("doc_id", "40L AS n", "cast('' AS binary) AS items")
     out = near_duplicates._second_round(groups, labels, held).collect()
     assert 0 < max(r.b for r in out) < 1000  # of 40,000 rows
+    assert max(r.a for r in out) < 1000
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_a_cell_joins_what_is_linked(monkeypatch, two):
+    monkeypatch.setattr(near_duplicates, "AT_ONCE", 7)
+    pick = np.random.default_rng(8)
+    for _ in range(60):
+        base = np.unique(pick.integers(0, 2**63, int(pick.choice([12, 90, 400])), dtype=np.uint64))
+        sets = [np.sort(pick.choice(base, max(1, int(len(base) * pick.uniform(0.6, 1))), replace=False)) for _ in range(24)]
+        label = np.minimum(pick.integers(100, 124, 24), np.arange(100, 124))
+        own = pick.integers(0, 2, 24) if two else np.zeros(24, int)
+        groups = [(g, int(d)) for g in range(9) for d in pick.choice(24, int(pick.integers(1, 9)), replace=False)]
+        frame = pd.DataFrame({"doc_id": range(24), "label": label, "own": own, "n": list(map(len, sets))})
+        frame["items"] = [near_duplicates.C.pack_sorted(s) for s in sets]
+        sig, doc = (np.array(c) for c in zip(*groups))
+        got = near_duplicates._link_cell(sig, doc, frame.sample(frac=1, random_state=1), two)
+        pairs = {(a, b) for g, a in groups for h, b in groups if g == h and a < b and (own[a] != own[b] or not two)}
+        links = [(int(label[a]), int(label[b])) for a, b in pairs if signatures.linked(sets[a], sets[b])]
+        assert joined(got, label) == joined(links, label)
+        assert len(got) == len(set(label)) - len(set(joined(got, label).values()))  # none for nothing
+
+
+def joined(links, nodes=()):
+    """The least node that each node is connected with."""
+    top = {int(x): int(x) for pair in links for x in pair} | {int(x): int(x) for x in nodes}
+    for _ in top:
+        for a, b in links:
+            top[a] = top[b] = min(top[a], top[b])
+    return top
+
+
+@pytest.mark.parametrize("size", [400, 1500])
+def test_long_texts_that_are_alike_but_not_linked(spark, monkeypatch, size):
+    monkeypatch.setattr(near_duplicates, "CELL_ROWS", 500)
+    pick = random.Random(size)
+    base = [f"w{i}" for i in range(size + 4)]
+    rows = []
+    for i in range(40):  # similarity to each other about 0.55 to 0.8
+        words = list(base)
+        for at in pick.sample(range(size), int(size * pick.uniform(0.015, 0.035))):
+            words[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(words)))
+    out = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    expected = plain_components(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == expected
+    assert 1 < len({c for _, c in expected.values()}) < 40
+
+
+def exchanged(n=10):
+    """The Thue-Morse word of 2^n letters, and the same with letters exchanged."""
+    swap = str.maketrans("ab", "ba")
+    word = "a"
+    for _ in range(n):
+        word += word.translate(swap)
+    return word, word.translate(swap)
 
 
-def test_pairs_come_in_pieces(monkeypatch):
-    monkeypatch.setattr(near_duplicates, "PAIRS_AT_ONCE", 50)
-    monkeypatch.setattr(near_duplicates, "AT_ONCE", 20)
-    n = 30
-    x = pd.DataFrame({"sig": 7, "low": 0, "high": 0, "own": 0, "doc_id": range(n), "label": range(n)})
-    x["n"], x["sketch"] = 40, [bytes(near_duplicates.CELLS)] * n
-    found = list(near_duplicates._weigh_groups(iter([x[:10], x[10:]])))
-    assert max(map(len, found)) <= 70
-    pairs = [tuple(r) for some in found for r in some.to_numpy().tolist()]
-    assert sorted(pairs) == [(a, b) for a in range(n) for b in range(a + 1, n)]
+def test_words_that_exchange_letters_are_different(spark):
+    one, two = exchanged()
+    hashes = [near_duplicates.C.word_hashes(f"{one} {two}", family=f).tolist() for f in (0, 1)]
+    assert len({h for pair in hashes for h in pair}) == 4
+    rows = [(1, f"p q {one} r s"), (2, f"p q {two} r s"), (3, f"P Q {one} R S")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+    around = [f"u{i}" for i in range(34)]
+    rows = [(i, " ".join([*around[:17], w, *around[17:]])) for i, w in ((1, one), (2, two))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r.n_removed for r in substrings.remove_repeats(docs).collect()] == [0, 0]
+
+
+def test_one_row_of_each_component_stays(spark):
+    same = "a b c d e f g h"
+    rows = [(7, same, "x"), (7, same, "x"), (7, same, None), (8, same, "y"), (9, "other words", "z"),
+            (10, "first text of it", "k"), (10, "a second text", "j"), (11, "", "e"), (11, "", "e"),
+            (12, None, "n"), (12, None, "n"), (None, same, "no id"), (None, same, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, _often string")
+    out = near_duplicates.drop_near_copies(docs)
+    assert out.schema == docs.schema
+    expected = [(7, same, None), (9, "other words", "z"), (10, "a second text", "j"), (11, "", "e"),
+                (12, None, "n"), (None, same, "no id"), (None, same, "no id")]
+    assert Counter(map(tuple, out.collect())) == Counter(expected)
 
 
 def test_components_of_a_chain(spark):
@@ -317,3 +387,12 @@ def test_quality_of_odd_tables(spark):
     assert quality_gam.score_quality(docs.limit(0), labels).count() == 0
     kept = quality_gam.keep_accepted(docs, labels.limit(0))
     assert kept.schema == docs.schema and kept.count() == 6
+
+
+def test_labels_of_absent_documents_take_no_place(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id bigint, text string")
+    labels = spark.range(20_000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality")
+    there = quality_gam.label_sample(labels, docs, fit_rows=500).count()
+    usable = quality_gam.usable_labels(labels).where("doc_id < 200").count()
+    assert there == usable > 100
+    assert quality_gam.label_sample(labels, docs, fit_rows=50).count() == 50

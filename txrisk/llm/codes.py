@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from txrisk.llm import tables
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of two hash families
-BYTE_BASE = 0xA24BAED4963EE407
+BYTE_BASE = 0x8EBC6AF09C88C6E3
 MULTIPLE, INDEXED = 1, 2  # flags of a code: twice in the group; from the reference side
 GROUP_CHARS = 8_000_000
 BUCKET_CODES = 2_000_000
@@ -49,25 +49,46 @@ def _power(base: int, n: int) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def word_hashes(text: str, lower: bool = False) -> np.ndarray:
-    """A hash of each word of ``words_of``, in order: a polynomial of its bytes modulo 2^64,
-    for all words at once from prefix sums. ``lower``: A-Z count as a-z."""
-    raw = np.frombuffer(text.encode(), np.uint8)
-    edge = np.diff((~_SPACE[raw]).astype(np.int8), prepend=0, append=0)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    values = (_LOWER[raw] if lower else raw).astype(np.uint64) + np.uint64(1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(values * _power(BYTE_BASE, len(raw)), dtype=np.uint64, out=sums[1:])
-    inverse = _power(pow(BYTE_BASE, -1, 1 << 64), len(raw))
-    return mix((sums[ends] - sums[starts]) * inverse[starts])
+SEEDS = (0xA24BAED4963EE407, 0x9FB21C651E98DF25)  # of the words in two hash families
+
+
+def word_hashes(text: str, lower: bool = False, family: int = 0) -> np.ndarray:
+    """A hash of each word of ``words_of``, in order, by family. Every eight bytes are
+    scrambled with their place in the word, and the sum with the word's length, so words
+    that exchange parts get other hashes. ``lower``: A-Z count as a-z."""
+    data = text.encode() + bytes(8)
+    if lower:
+        data = data.lower()  # of bytes: A-Z only
+    blank = _SPACE[np.frombuffer(data, np.uint8)]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        edge = np.r_[0, edge]
+    starts, ends = edge[::2], edge[1::2]
+    if len(starts) > len(ends):  # the bytes put behind the text are no part of it
+        ends = np.r_[ends, len(data)]
+    ends = np.minimum(ends, len(data) - 8)
+    if len(starts) and starts[-1] >= len(data) - 8:
+        starts, ends = starts[:-1], ends[:-1]
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    sizes = ends - starts
+    pieces = (sizes + 7) >> 3
+    first = np.cumsum(pieces) - pieces
+    place = np.arange(first[-1] + pieces[-1]) - np.repeat(first, pieces)
+    at = np.repeat(starts, pieces) + 8 * place
+    cut = 64 - 8 * np.minimum(np.repeat(ends, pieces) - at, 8)
+    # eight bytes from any place on, without those behind the word
+    eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))[at] << cut.astype(np.uint64)
+    place = place.astype(np.uint64) * np.uint64(BYTE_BASE) + np.uint64(SEEDS[family])
+    sums = np.add.reduceat(mix(eight + place), first, dtype=np.uint64)
+    return mix(sums + sizes.astype(np.uint64) * np.uint64(BASES[family]))
 
 
 def window_hashes(hashes: np.ndarray, length: int, family: int = 0) -> np.ndarray:
-    """A hash of every run of ``length`` words: a polynomial modulo 2^64, from prefix sums."""
+    """A hash of every run of ``length`` words: a polynomial modulo 2^64 of their hashes (of
+    the same family), from prefix sums."""
     n = len(hashes) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)

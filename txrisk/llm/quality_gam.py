@@ -229,18 +229,25 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-score))
 
 
-def label_sample(labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """doc_id and label (y) of ``fit_rows`` labelled documents at most, none held out."""
+def usable_labels(labels: DataFrame) -> DataFrame:
+    """doc_id and label (y) of the labelled documents that are not held out."""
     label = F.avg(F.col("quality").cast("double")).alias("y")
     usable = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
     usable = usable.filter(~held_out(F.col("doc_id").cast("bigint")))
-    each = usable.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(label)
+    return usable.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(label)
+
+
+def label_sample(labels: DataFrame, docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """doc_id of ``fit_rows`` documents of ``docs`` at most that have a usable label. Labels of
+    documents that are not there take no place."""
+    there = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    each = usable_labels(labels).join(there, "doc_id", "left_semi").select("doc_id")
     return each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
 
 
 def train(features: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
-    """A model from the labelled rows of ``label_sample``, ``fit_rows`` of them at most."""
-    rows = features.join(F.broadcast(label_sample(labels, fit_rows)), "doc_id")
+    """A model from labelled rows, the ``fit_rows`` of least hash at most."""
+    rows = features.join(usable_labels(labels), "doc_id")
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(fit_rows)
     held = rows.select("features", "y").toPandas()
     x = np.array(held["features"].tolist(), float).reshape(-1, len(FEATURES))
@@ -269,7 +276,7 @@ def keep_accepted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     """``docs`` without the rows whose text the classifier rejects, all columns as they
     are. Texts are read once for training, by labelled documents only, and once for
     dropping, so no row needs a key."""
-    chosen = F.broadcast(label_sample(labels, fit_rows).select("doc_id"))
+    chosen = F.broadcast(label_sample(labels, docs, fit_rows))
     labelled = tables.texts(docs).join(chosen, "doc_id", "left_semi")
     model = docs.sparkSession.sparkContext.broadcast(
         train(featurize(labelled), labels, fit_rows)

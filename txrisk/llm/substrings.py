@@ -39,15 +39,20 @@ def _around(hit: np.ndarray, n: int, anchor: int, window: int) -> np.ndarray:
     return before[last : last + n] > before[:n]
 
 
-def _repeats(hashes, near: C.Met, window: int, anchor: int, bits: int):
+def _second(text: str, at: np.ndarray, window: int) -> np.ndarray:
+    """32 bits of a hash of the runs from ``at``, of the other family, words and all."""
+    hashes = C.window_hashes(C.word_hashes(text, family=1), window, family=1)
+    return (hashes[at] >> np.uint64(32)).astype(np.uint32)
+
+
+def _repeats(text, hashes, near: C.Met, window: int, anchor: int, bits: int):
     """Starts of the runs around hits, with the two hashes of each."""
     short = C.window_hashes(hashes, anchor) >> np.uint64(64 - bits)
     at = np.flatnonzero(_around(near.holds(short), len(hashes) - window + 1, anchor, window))
     if not len(at):
         return at, np.zeros(0, np.uint64), np.zeros(0, np.uint32)
     long = C.window_hashes(hashes, window)[at] >> np.uint64(4)
-    more = C.window_hashes(hashes, window, family=1)[at] >> np.uint64(32)
-    return at, long, more.astype(np.uint32)
+    return at, long, _second(text, at, window)
 
 
 def covered(n: int, starts: np.ndarray, window: int) -> np.ndarray:
@@ -87,7 +92,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
         for text in texts["text"] if len(near.codes) else ():
             hashes = C.word_hashes(text)
             if len(hashes) >= window:
-                _, a, b = _repeats(hashes, near, window, anchor, bits)
+                _, a, b = _repeats(text, hashes, near, window, anchor, bits)
                 found.append(a)
                 more.append(b)
         if not found:
@@ -105,9 +110,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
                 a = C.window_hashes(hashes, window) >> np.uint64(4)
                 at = np.flatnonzero(twice.holds(a))
                 if len(at):
-                    b = (C.window_hashes(hashes, window, family=1)[at] >> np.uint64(32)).astype(
-                        np.uint32
-                    )
+                    b = _second(text, at, window)
                     cut = covered(n, at[twice.holds(a[at], b)], window)
                     words = [w for w, c in zip(words, cut.tolist(), strict=True) if not c]
                     gone = n - len(words)
