@@ -159,6 +159,10 @@ def test_buckets_of_blocks_stay_bounded(spark, monkeypatch):
     out = near_duplicates._second_round(groups, labels, held).collect()
     assert 0 < max(r.b for r in out) < 1000  # of 40,000 rows
     assert max(r.a for r in out) < 1000
+    # groups that hang together share a cell, where a set is sent once
+    groups = spark.range(400).selectExpr("id div 4 AS sig", "id % 40 AS doc_id").distinct()
+    out = near_duplicates._second_round(groups, labels, held).collect()
+    assert sum(r.a for r in out) == 40 and sum(r.b for r in out) == 400
 
 
 @pytest.mark.parametrize("two", [False, True])
