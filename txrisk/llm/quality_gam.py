@@ -238,16 +238,16 @@ def usable_labels(labels: DataFrame) -> DataFrame:
 
 
 def label_sample(labels: DataFrame, docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """doc_id of ``fit_rows`` documents of ``docs`` at most that have a usable label. Labels of
-    documents that are not there take no place."""
+    """doc_id and label (y) of ``fit_rows`` documents of ``docs`` at most. Labels of documents
+    that are not there take no place."""
     there = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    each = usable_labels(labels).join(there, "doc_id", "left_semi").select("doc_id")
+    each = usable_labels(labels).join(there, "doc_id", "left_semi")
     return each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
 
 
-def train(features: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
-    """A model from labelled rows, the ``fit_rows`` of least hash at most."""
-    rows = features.join(usable_labels(labels), "doc_id")
+def train(features: DataFrame, sample: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
+    """A model from the rows of the documents of ``label_sample``, ``fit_rows`` at most."""
+    rows = features.join(F.broadcast(sample), "doc_id")
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(fit_rows)
     held = rows.select("features", "y").toPandas()
     x = np.array(held["features"].tolist(), float).reshape(-1, len(FEATURES))
@@ -257,7 +257,9 @@ def train(features: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> d
 def score_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
     features = materialize(featurize(docs), "features")
-    model = docs.sparkSession.sparkContext.broadcast(train(features, labels, fit_rows))
+    model = docs.sparkSession.sparkContext.broadcast(
+        train(features, label_sample(labels, docs, fit_rows), fit_rows)
+    )
 
     def score(some: dict) -> dict:
         x = np.array(some["features"], float).reshape(-1, len(FEATURES))
@@ -276,10 +278,10 @@ def keep_accepted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     """``docs`` without the rows whose text the classifier rejects, all columns as they
     are. Texts are read once for training, by labelled documents only, and once for
     dropping, so no row needs a key."""
-    chosen = F.broadcast(label_sample(labels, docs, fit_rows))
-    labelled = tables.texts(docs).join(chosen, "doc_id", "left_semi")
+    sample = materialize(label_sample(labels, docs, fit_rows), "labelled")
+    labelled = tables.texts(docs).join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")
     model = docs.sparkSession.sparkContext.broadcast(
-        train(featurize(labelled), labels, fit_rows)
+        train(featurize(labelled), sample, fit_rows)
     )
 
     def keep(texts: list) -> list:
