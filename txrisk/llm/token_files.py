@@ -1,7 +1,7 @@
 """Token ids as binary files: frequency-ranked ids, byte-aligned variable-length coding.
 
-Documents are dealt by ranges of ``doc_id`` to parts, and sorted; each part becomes one
-folder of binary files, each file a row of blocks. A block holds whole documents, about
+Texts are encoded where they lie, and only their packed ids are dealt by ranges of ``doc_id``
+to parts, and sorted; each part becomes one folder of binary files, each file a row of blocks. A block holds whole documents, about
 ``block_ids`` ids (one longer document makes one longer block). Within a block, ids are
 replaced by their rank by falling frequency, so the 256 most frequent ids take one byte,
 the next 65,280 two, others three or four. Data bytes and control bytes lie apart: two
@@ -17,9 +17,11 @@ Reading looks up each control byte in a 256-row table of four lengths, and gathe
 bytes of all ids of a block at once with numpy.
 
 Cases: a missing text counts as empty and has the end id only; a missing doc_id sorts
-first and stays missing; rows with the same doc_id follow each other by text; repeated
-rows are kept; an empty table gives no file rows and an empty result; other columns are
-not read.
+first and stays missing; rows with the same doc_id follow each other by a hash of their ids,
+so equal texts stand together, within a part and across the border of two; repeated rows are
+kept, and a row that a third of the table repeats is spread over as many parts; a very long
+text makes a block of its own length; an empty table gives no file rows and an empty result;
+other columns are not read.
 """
 
 import zlib
@@ -28,17 +30,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txrisk.llm import tables
 from txrisk.llm.tokens import encoder, vocabulary_path
-from txrisk.sources.stages import new_path
+from txrisk.sources.stages import materialize, new_path
 
 MAGIC = 0x31534C4944495654
 HEADER = 8
 BLOCK_IDS = 1_000_000
 PART_CHARS = 32_000_000
+ORDER = ("doc_id", "tie", "place")  # of rows in the files
+PARTS_AT_ONCE = 4096  # parts whose sizes one task sums
 
 # Data bytes of the four ids of each control byte, from the least significant bits up.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
@@ -114,15 +119,34 @@ def read_blocks(content: bytes) -> Iterator[tuple[int, int, list, np.ndarray, np
         yield part, before, names, counts, table[ranked]
 
 
-def block_sizes(content: bytes) -> list[tuple[int, int]]:
-    """Part and number of ids of each block of a file, from its headers."""
-    at, found = 0, []
-    while at < len(content):
-        head = np.frombuffer(content, "<i8", HEADER, at).tolist()
-        _, part, _, docs, count, ranks, n_control, n_data = head
-        found.append((part, count))
-        at += 8 * HEADER + 13 * docs + 4 * ranks + n_control + n_data + 1
-    return found
+def encode_texts(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
+    """Of each row its doc_id, ids with the end id (16 or 32 bits each), how many ids and
+    characters, and what orders rows of one doc_id: a hash of the ids and, for equal rows,
+    which nothing else tells apart, where they lay."""
+
+    def start():
+        from pyspark import TaskContext
+
+        own, at = encoder(vocabulary), TaskContext.get().partitionId() << 33
+
+        def work(some: dict) -> dict:
+            nonlocal at
+            ids = [np.append(x, np.uint32(end_id)) for x in own.encode(some["text"])]
+            raw = [x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in ids]
+            at += len(ids)
+            return {
+                "doc_id": some["doc_id"],
+                "tie": [xxhash.xxh3_64_intdigest(r) - (1 << 63) for r in raw],
+                "place": list(range(at - len(ids), at)),
+                "chars": list(map(len, some["text"])),
+                "n": list(map(len, ids)),
+                "ids": raw,
+            }
+
+        return work
+
+    schema = "doc_id bigint, tie bigint, place bigint, chars bigint, n bigint, ids binary"
+    return tables.map_slices(tables.spread(tables.texts(docs)), start, schema)
 
 
 def write_token_files(
@@ -136,18 +160,19 @@ def write_token_files(
     """Write the ids of every text, each followed by ``end_id``, in order of ``doc_id``,
     to ``part=N`` folders below ``path``. Spark's own writer commits the files, so a lost
     task leaves nothing behind and any file system Spark can write to will do."""
-    rows = tables.texts(docs)
-    vocabulary = vocabulary or vocabulary_path()
-    parts = tables.parts_for(rows, part_chars)
-    ordered = rows.repartitionByRange(parts, "doc_id", F.xxhash64("text")).sortWithinPartitions(
-        "doc_id", "text"
-    )
+    session = docs.sparkSession
+    rows = materialize(encode_texts(docs, vocabulary or vocabulary_path(), end_id), "ids")
+    chars = rows.agg(F.sum("chars")).first()[0] or 0
+    cores = session.sparkContext.defaultParallelism
+    parts = max(-(-chars // part_chars), min(cores, 1 + chars // 100_000))
+    held = rows.select(*ORDER, "n", "ids")
+    ordered = held.repartitionByRange(parts, *ORDER).sortWithinPartitions(*ORDER)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, before, held, names, size = TaskContext.get().partitionId(), 0, [], [], 0
-        own, schema = encoder(vocabulary), pa.schema({"part": pa.int32(), "block": pa.binary()})
+        schema = pa.schema({"part": pa.int32(), "block": pa.binary()})
 
         def block():
             raw = write_block(part, before, names, held)
@@ -156,10 +181,10 @@ def write_token_files(
         for batch in batches:
             for a in range(0, batch.num_rows, tables.SLICE_ROWS):
                 some = batch.slice(a, tables.SLICE_ROWS).to_pydict()
-                for name, ids in zip(some["doc_id"], own.encode(some["text"]), strict=True):
+                for name, n, raw in zip(some["doc_id"], some["n"], some["ids"], strict=True):
                     names.append(name)
-                    held.append(np.append(ids, np.uint32(end_id)))
-                    size += len(ids) + 1
+                    held.append(np.frombuffer(raw, f"<u{len(raw) // n}"))
+                    size += n
                     if size >= block_ids:
                         yield block()
                         before, held, names, size = before + size, [], [], 0
@@ -182,11 +207,6 @@ def read_token_files(
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     content = files.option("pathGlobFilter", "*.txt").load(path).select("content")
 
-    def heads(batches):
-        for batch in batches:
-            for raw in batch["content"]:
-                yield pd.DataFrame(block_sizes(raw), columns=["part", "n"])
-
     def documents(batches):
         for batch in batches:
             for raw in batch["content"]:
@@ -206,20 +226,31 @@ def read_token_files(
                         out["ids"] = [plain[a:b] for a, b in zip(starts, ends, strict=True)]
                     yield pd.DataFrame(out)
 
-    # one number for each part, of which there are as many as tasks wrote files
-    sizes = content.mapInPandas(heads, "part int, n bigint").groupBy("part").agg(F.sum("n"))
-    base, bases = 0, []
-    for part, n in sorted(sizes.collect()):
-        bases.append((part, base))
-        base += n
     schema = "part int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    rows = content.mapInPandas(documents, schema + (", ids array<bigint>" if with_ids else ""))
-    before = spark.createDataFrame(bases, "part int, base bigint")
-    joined = rows.join(F.broadcast(before), "part")
+    schema += ", ids array<bigint>" if with_ids else ""
+    rows = materialize(content.mapInPandas(documents, schema), "read")
+    joined = rows.join(part_starts(rows), "part")
     columns = ["doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32"]
     return joined.select(*columns, *(["ids"] if with_ids else []))
 
 
+def part_starts(rows: DataFrame) -> DataFrame:
+    """part and base, the ids of all parts before it: running sums over groups of parts, then
+    within each group, so that no task sums more than ``PARTS_AT_ONCE`` parts."""
+    sizes = rows.groupBy("part").agg(F.max(F.col("start") + F.col("n_tokens")).alias("n"))
+    sizes = sizes.withColumn("many", F.floor(F.col("part") / PARTS_AT_ONCE))
+
+    def run(window):
+        before = window.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(before), F.lit(0))
+
+    groups = sizes.groupBy("many").agg(F.sum("n").alias("n"))
+    groups = groups.select("many", run(Window.orderBy("many")).alias("first"))
+    own = run(Window.partitionBy("many").orderBy("part")).alias("own")
+    inner = sizes.select("part", "many", own)
+    return inner.join(groups, "many").select("part", (F.col("first") + F.col("own")).alias("base"))
+
+
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     write_token_files(tables.read(spark, sf_dir, "documents"), path, end_id=0)

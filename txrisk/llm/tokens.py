@@ -55,6 +55,7 @@ class Encoder:
         added = self.library.get_added_tokens_decoder().values()
         self.added = [token.content for token in added]
         self.model, self.letters, self.memo = self.library.model, _byte_letters(), memo
+        self.blank = chr(self.letters[ord(" ")])
         self._forget()
 
     def _forget(self):
@@ -66,7 +67,10 @@ class Encoder:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def _piece(self, piece):
-        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        if piece.isascii() and piece.isprintable():  # all but the blank stand for themselves
+            spelled = piece.replace(" ", self.blank)
+        else:
+            spelled = piece.encode().decode("latin-1").translate(self.letters)
         return [t.id for t in self.model.tokenize(spelled)]
 
     def _word(self, word):
