@@ -1,6 +1,7 @@
 """Operators on texts, against plain versions and on odd tables."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -8,6 +9,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from txrisk.llm import decontamination, packing, pii, secrets, substrings, token_files
@@ -98,6 +101,24 @@ def test_token_files(spark, library, tmp_path, part_chars, block_ids):
         start += len(ids)
 
 
+def test_rows_of_one_doc_id_across_parts(spark, library, tmp_path):
+    """A third of the rows are one row, others share its id: all are there, each id's texts
+    together, and starts leave no gap, wherever the parts' borders fall."""
+    texts = ["the same text, " * 5] * 60 + [f"other {i % 7}" for i in range(60)]
+    rows = [(7, t) for t in texts] + [(i, f"text {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    path = str(tmp_path / "files")
+    token_files.write_token_files(docs, path, part_chars=300, block_ids=50)
+    got = sorted(token_files.read_token_files(spark, path, with_ids=True).collect(), key=lambda r: r.start)
+    assert [r.start for r in got] == [0, *itertools.accumulate(r.n_tokens for r in got)][:-1]
+    assert [r.doc_id for r in got] == sorted(d for d, _ in rows)
+    expected = Counter((d, *library.encode(t, add_special_tokens=False).ids, 0) for d, t in rows)
+    assert Counter((r.doc_id, *r.ids) for r in got) == expected
+    runs = [k for k, _ in itertools.groupby((r.doc_id, tuple(r.ids)) for r in got)]
+    assert len(runs) == len(set(runs))
+    assert spark.read.text(path).select("part").distinct().count() > 10
+
+
 def test_empty_tables(spark, tmp_path):
     docs = frame(spark, []).limit(0)
     token_files.write_token_files(docs, str(tmp_path / "none"))
@@ -209,6 +230,40 @@ def test_guess_cost():
     assert secrets.redact("ab cd", [("x", 0, 2), ("x", 1, 3)]) == "[SECRET]cd"
 
 
+def plain_guess_cost(value):
+    """The least cost over every way to cut the value."""
+    char, least = secrets.alphabet_cost(value), np.inf
+    for cuts in itertools.product([False, True], repeat=len(value) - 1):
+        at = [0, *(i for i, cut in enumerate(cuts, 1) if cut), len(value)]
+        costs = [secrets.segment_cost(value, a, b, char) for a, b in itertools.pairwise(at)]
+        least = min(least, sum(costs) + np.log10(2) * (len(costs) - 1))
+    return least
+
+
+GUESS_PARTS = (
+    "pass word P4ss 12 123 321 qwe asdf aaa abab 2024 2024-01 1999 - . x K zz the Sun ny 0115 abc "
+    "cba thethe 31 é"
+).split()
+
+
+@given(st.lists(st.sampled_from(GUESS_PARTS), min_size=1, max_size=5))
+@settings(max_examples=150, deadline=None)
+def test_the_programme_finds_the_cheapest_segmentation(parts):
+    value = "".join(parts)[:10]
+    assert secrets.guess_cost(value) == pytest.approx(plain_guess_cost(value), abs=1e-9)
+
+
+def test_long_values_take_time_in_their_length():
+    for value in ("a" * 3000, "qwerty" * 500, "passwordsunny" * 230, "x7#Kp9!mQz2" * 270):
+        assert secrets.guess_cost(value) > 0
+
+
+def test_words_and_references_are_no_secrets():
+    values = ("${DB_PASSWORD}", "process.env.TOKEN", "mountainriver", "P@ssw0rd-2024", "%DB_PASS%")
+    for value in values:
+        assert secrets.all_spans(f"login: {value}") == []
+
+
 @pytest.mark.parametrize("text, value", [
     ("pwd: kQzXvBnTrWpLs", "kQzXvBnTrWpLs"),
     ("passphrase = qhzkvwtrplxmndjs, then", "qhzkvwtrplxmndjs"),

@@ -1,17 +1,21 @@
 """Secret scan: fixed patterns, and values in a credential context that are hard to guess.
 
 A value that follows a credential word and an assignment sign (or ``is``; after ``bearer``,
-blanks suffice) is cut into segments a guesser would try: common words, dates, repeats, keyboard walks and runs of digits or
-letters, and spans tried by brute force. Dynamic programming over the positions finds the
-segmentation with the fewest guesses in all (guesses multiply, so their logarithms add, and
-every further segment costs a factor of two). The value is a secret from
-10^``GUESSES`` guesses on. Time is linear in the length of the value, since segments other
-than brute force are bounded in length or maximal runs. A value that is one word of the public
-vocabulary in whole costs no more than that word's rank.
+blanks suffice) is cut into segments a guesser would try: words of a ranked vocabulary, dates,
+repeats, keyboard walks, runs of digits or letters, separators, and spans tried by brute force
+(``segment_cost``). Dynamic programming over the positions finds the segmentation with the
+fewest guesses in all: guesses multiply, so their logarithms add, and every further segment
+costs a factor of two. Every pair of start and end is tried for each sort of segment, up to
+``SEGMENT_MOST`` characters; beyond that length, a walk, run or repeat counts to its end only,
+so that time is linear in the length of the value. The value is a secret from 10^``GUESSES``
+guesses on. A value that is a reference in whole, such as ``${DB_PASSWORD}`` or
+``process.env.TOKEN``, names a secret and holds none.
 
 Cases: a missing text counts as empty and has no span; a missing doc_id stays missing;
 repeated rows are scanned each; spans found by guess cost that touch a fixed pattern's span
-are left out; an empty table gives no rows; other columns are not read.
+are left out; a very long value is cut like any other; between segmentations of one cost there
+is nothing to choose, since only the cost counts; an empty table gives no rows; other columns
+are not read.
 """
 
 import json
@@ -59,24 +63,33 @@ COMMON_WORDS = (
     "have are was but all can her his they what when who will more about time love life home work "
     "summer winter spring autumn monday friday january december"
 ).split()
-RANKS = {w: i for i, w in reversed(list(enumerate(COMMON_WORDS, 1)))}
-LONGEST = max(map(len, RANKS))
-VOCABULARY_WORD = re.compile("Ġ[A-Za-z]{6,}")
+LONGEST = 24  # letters of a word
+SEGMENT_MOST = 32
+UNIT_MOST = 8  # characters that a repeat repeats
+VOCABULARY_WORD = re.compile("Ġ[A-Za-z]{3,}")
+# Signs between words, commonest first, and how variables are written.
+SEPARATORS = "._-/:@!#$&+*=~|(){}[]"
+_REFERENCE = re.compile(
+    r"\$?\{\{?\x20?[A-Za-z_][A-Za-z0-9_.]*\x20?\}?\}?|\$\(?[A-Za-z_][A-Za-z0-9_.]*\)?"
+    r"|%[A-Za-z_][A-Za-z0-9_]*%|(?:process\.env|os\.environ|import\.meta\.env)"
+    r"(?:\.[A-Za-z_][A-Za-z0-9_]*|(?:\.get)?[\[(].*)",
+    re.ASCII | re.DOTALL,
+)
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 LEET = str.maketrans("4301$5@7", "aeoissat")
 _DATE = re.compile(
     r"(?:19|20)[0-9]{2}[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:[0-2][0-9]|3[01])"
     r"|(?:[0-2]?[0-9]|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}"
 )
-_REPEAT = re.compile(r"(.{1,8}?)\1+", re.DOTALL)
+_MORE = math.log10(2)  # each further segment, and each swap of a letter
 
 
 @cache
 def word_ranks() -> dict[str, int]:
-    """Ranks of words that are a value as a whole: the common ones, then those of the public
-    vocabulary, commonest first."""
+    """Ranks of words: the common ones, then those of the public vocabulary, commonest first."""
     ids = json.loads(Path(vocabulary_path()).read_text(encoding="utf-8"))["model"]["vocab"]
     words = (t[1:].lower() for t in sorted(ids, key=ids.get) if VOCABULARY_WORD.fullmatch(t))
+    words = (w for w in words if len(w) <= LONGEST)
     return {w: i for i, w in enumerate(dict.fromkeys([*COMMON_WORDS, *words]), 1)}
 
 
@@ -96,32 +109,8 @@ def _neighbours() -> dict[str, set[str]]:
 NEAR = _neighbours()
 
 
-def _runs(value: str) -> Iterator[tuple[int, int, float]]:
-    """Maximal keyboard walks, and runs up or down the alphabet or the digits."""
-    n, a = len(value), 0
-    while a < n - 2:
-        b = a + 1
-        while b < n and value[b] in NEAR.get(value[b - 1], ()):
-            b += 1
-        if b - a >= 3:
-            turns = 1 + sum(
-                ord(value[i]) - ord(value[i - 1]) != ord(value[i - 1]) - ord(value[i - 2])
-                for i in range(a + 2, b)
-            )
-            yield a, b, math.log10(47 * (b - a)) + min(turns, b - a) * math.log10(2)
-        a = max(b - 1, a + 1)
-    a = 0
-    while a < n - 2:
-        step, b = ord(value[a + 1]) - ord(value[a]), a + 1
-        while b < n and ord(value[b]) - ord(value[b - 1]) == step and abs(step) == 1:
-            b += 1
-        if b - a >= 3:
-            yield a, b, math.log10(26 * 2 * (b - a))
-        a = max(b - 1, a + 1)
-
-
-def _char_cost(value: str) -> float:
-    """Brute force: logarithm of the alphabet the value draws on."""
+def alphabet_cost(value: str) -> float:
+    """Brute force, a character: logarithm of the alphabet the value draws on."""
     size = sum(
         n * bool(re.search(p, value))
         for p, n in (("[a-z]", 26), ("[A-Z]", 26), ("[0-9]", 10), ("[^a-zA-Z0-9]", 33))
@@ -129,36 +118,135 @@ def _char_cost(value: str) -> float:
     return math.log10(size)
 
 
+def _lower(value: str) -> str:
+    low = value.lower()
+    return low if len(low) == len(value) else value  # a letter whose lower case is longer
+
+
+def _case_cost(word: str) -> float:
+    """Small letters, or one or all large, are tried first; else the ways to choose them."""
+    up = sum(map(str.isupper, word))
+    if not up:
+        return 0.0
+    if word[0].isupper() and up in (1, len(word)):
+        return _MORE
+    down = len(word) - up
+    return math.log10(2 + sum(math.comb(up + down, i) for i in range(1, min(up, down) + 1)))
+
+
+def word_cost(word: str) -> float:
+    """A word of the vocabulary, in any case, with digits or signs for some letters."""
+    low = _lower(word)
+    for plain in (low, low.translate(LEET)):
+        if rank := word_ranks().get(plain):
+            swaps = sum(x != y for x, y in zip(low, plain, strict=True))
+            return math.log10(rank + 1) + _case_cost(word) + swaps * _MORE
+    return math.inf
+
+
+def _walk_cost(length: int, turns: int) -> float:
+    return math.log10(47 * length) + turns * _MORE
+
+
+def _unit_cost(unit: str, char: float) -> float:
+    """What a repeat repeats; the number of copies comes on top."""
+    return min(len(unit) * char, word_cost(unit) + _MORE)
+
+
+def _step(low: str, i: int) -> int:
+    """Between the neighbours i and i + 1, if they follow each other in an order; else 0."""
+    step = ord(low[i + 1]) - ord(low[i])
+    return step if abs(step) == 1 else 0
+
+
+def segment_cost(value: str, a: int, b: int, char: float) -> float:
+    """Decimal logarithm of the guesses for ``value[a:b]`` as one segment."""
+    part, n = value[a:b], b - a
+    low, costs = _lower(value)[a:b], [n * char, word_cost(part) if n >= 2 else math.inf]
+    if n == 1 and part in SEPARATORS:
+        costs.append(math.log10(SEPARATORS.index(part) + 2))
+    if _DATE.fullmatch(part):
+        costs.append(math.log10(365 * 119))
+    if n >= 3 and all(low[i + 1] in NEAR.get(low[i], ()) for i in range(n - 1)):
+        jumps = [ord(low[i + 1]) - ord(low[i]) for i in range(n - 1)]
+        costs.append(_walk_cost(n, 1 + sum(x != y for x, y in zip(jumps, jumps[1:]))))
+    steps = {_step(low, i) for i in range(n - 1)}
+    if n >= 3 and len(steps) == 1 and steps != {0}:
+        costs.append(math.log10(52 * n))
+    for size in range(1, min(UNIT_MOST, n // 2) + 1):
+        if n % size == 0 and low == low[:size] * (n // size):
+            costs.append(_unit_cost(part[:size], char) + math.log10(n // size))
+    return min(costs)
+
+
+def _reach(n: int, holds) -> list[int]:
+    """For each position, how far the pairs go on that ``holds`` of it and the next."""
+    out = list(range(1, n + 1))
+    for i in range(n - 2, -1, -1):
+        if holds(i):
+            out[i] = out[i + 1]
+    return out
+
+
+def _ends(a: int, least: int, end: int, step: int = 1) -> Iterator[int]:
+    """Ends from ``least`` characters after ``a`` on, near ones all, and the last."""
+    last = a + (end - a) // step * step
+    yield from range(a + least, min(last, a + SEGMENT_MOST) + 1, step)
+    if last > a + SEGMENT_MOST:
+        yield last
+
+
 def guess_cost(value: str) -> float:
     """Decimal logarithm of the guesses the cheapest segmentation needs."""
     if not value:
         return 0.0
-    n, low = len(value), value.lower()
-    if len(low) != n:  # a letter whose lower case is longer
-        low = value
-    plain, char, more = low.translate(LEET), _char_cost(value), math.log10(2)
-    ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-    for a, b, cost in _runs(low):
-        ends[b].append((a, cost))
-    for m in _DATE.finditer(value):
-        ends[m.end()].append((m.start(), math.log10(365 * 119)))
-    for m in _REPEAT.finditer(low):
-        unit = m.group(1)
-        own = min(len(unit) * char, math.log10(RANKS.get(unit, 10**9)) + 0.5)
-        ends[m.end()].append((m.start(), own + math.log10((m.end() - m.start()) / len(unit))))
-    for b in range(3, n + 1):
-        for a in range(max(0, b - LONGEST), b - 2):
-            rank = RANKS.get(low[a:b]) or RANKS.get(plain[a:b])
-            if rank:
-                odd = value[a:b] != low[a:b] or low[a:b] not in RANKS
-                ends[b].append((a, math.log10(rank + 1) + odd * math.log10(10)))
+    n, low, char, ranks = len(value), _lower(value), alphabet_cost(value), word_ranks()
+    plain = low.translate(LEET)
+    walk = _reach(n, lambda i: low[i + 1] in NEAR.get(low[i], ()))
+    up = _reach(n, lambda i: ord(low[i + 1]) - ord(low[i]) == 1)
+    down = _reach(n, lambda i: ord(low[i + 1]) - ord(low[i]) == -1)
+    same = [[]]  # by unit: up to where each character equals the one a unit before
+    for size in range(1, min(UNIT_MOST, n // 2) + 1):
+        far = [n] * (n - size + 1)
+        for i in range(n - size - 1, -1, -1):
+            far[i] = far[i + 1] if low[i] == low[i + size] else i + size
+        same.append(far)
     best, brute = [0.0] + [math.inf] * n, math.inf
-    for b in range(1, n + 1):
-        brute = min(best[b - 1] + more * (b > 1), brute) + char
-        best[b] = min([brute, *(best[a] + more * (a > 0) + cost for a, cost in ends[b])])
-    if value.isalpha() and (rank := word_ranks().get(low)):
-        return min(best[n], math.log10(rank + 1) + (value != low))
-    return best[n]
+    for a in range(n):
+        # brute force from any start before here ends here; its first character costs a segment
+        brute = min(best[a - 1] + _MORE * (a > 1), brute) + char if a else brute
+        best[a] = min(best[a], brute) if a else 0.0
+        own = best[a] + _MORE * (a > 0)
+
+        def offer(b, cost):
+            if own + cost < best[b]:
+                best[b] = own + cost
+
+        if value[a] in SEPARATORS:
+            offer(a + 1, math.log10(SEPARATORS.index(value[a]) + 2))
+        for b in range(a + 2, min(n, a + LONGEST) + 1):
+            if low[a:b] in ranks or plain[a:b] in ranks:
+                offer(b, word_cost(value[a:b]))
+        if "0" <= value[a] <= "9":
+            for b in range(a + 4, min(n, a + 10) + 1):
+                if _DATE.fullmatch(value, a, b):
+                    offer(b, math.log10(365 * 119))
+        if walk[a] - a >= 3:
+            turns, counted = 1, a + 2
+            for b in _ends(a, 3, walk[a]):
+                for i in range(counted, b):
+                    turns += ord(low[i]) - ord(low[i - 1]) != ord(low[i - 1]) - ord(low[i - 2])
+                counted = b
+                offer(b, _walk_cost(b - a, turns))
+        for b in _ends(a, 3, max(up[a], down[a])):
+            offer(b, math.log10(52 * (b - a)))
+        for size in range(1, len(same)):
+            if a < len(same[size]) and same[size][a] - a >= 2 * size:
+                unit = _unit_cost(value[a : a + size], char)
+                for b in _ends(a, 2 * size, same[size][a], size):
+                    offer(b, unit + math.log10((b - a) // size))
+    brute = min(best[n - 1] + _MORE * (n > 1), brute) + char
+    return min(best[n], brute)
 
 
 def base_spans(text: str) -> list[Span]:
@@ -180,7 +268,9 @@ def guessed_spans(text: str, base: list[Span], least: float = GUESSES) -> list[S
     for context in (_CONTEXT, _BEARER):
         for m in context.finditer(text):
             value = m.group(1).rstrip(".!?)]}")
-            if len(value) >= 6 and guess_cost(value) >= least:
+            if len(value) < 6 or _REFERENCE.fullmatch(value):
+                continue
+            if guess_cost(value) >= least:
                 found.append(("guess", m.start(1), m.start(1) + len(value)))
     return free_of(found, base)
 
