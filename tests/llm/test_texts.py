@@ -303,9 +303,81 @@ def test_weak_supervision_learns_reliabilities():
     ) / sum(rows.values())
     assert right > 0.95
     assert (share[:, 0, 0] > share[:, 0, 1]).all()
-    weights = pii.train_classifier(table, likely)
-    score = pii._features(table["kind"], table["votes"]) @ weights
-    assert np.mean((score > 0) == (likely > 0.5)) > 0.95
+
+
+def pii_texts():
+    """Telephone numbers and the like beside numbers that aren't, some without any hint near
+    by, a long candidate that holds a short one, repeats, and odd texts."""
+    pick, texts = random.Random(5), []
+    for i in range(300):
+        number = f"{pick.randint(200, 999)}-{pick.randint(200, 999)}-{pick.randint(1000, 9999)}"
+        social = f"{pick.randint(100, 999)}-{pick.randint(10, 99)}-{pick.randint(1000, 9999)}"
+        texts += [
+            f"Please call me at {number} any time, or phone {number} at night.",
+            f"The order {number} was sent, serial part {number}/x={number}",
+            f"ssn {social} of the taxpayer, born 12/03/19{pick.randint(50, 99)}",
+            f"build={pick.randint(10**8, 10**9)} version {pick.randint(10**8, 10**9)}",
+            f"Dear Mrs Anna Schmidt{i % 7}, regards Dr Peter Brown",
+            f"jo{i} at example dot com or order 12345678901234567",
+        ]
+    return [*ODD_TEXTS, *texts, *texts[:200], *["call 555-123-4567 now, jane.doe@example.com"] * 300]
+
+
+def test_added_spans_equal_a_plain_version(spark):
+    docs = frame(spark, pii_texts())
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    found = {d: pii.candidates(t, pii.base_spans(t)) for d, t in texts.items()}
+    import pandas as pd
+
+    votes = Counter((k, v) for d in texts for k, _, _, v, _ in found[d])
+    patterns = pd.DataFrame([(k, v, n) for (k, v), n in sorted(votes.items())], columns=["kind", "votes", "n"])
+    likely = dict(zip(zip(patterns["kind"], patterns["votes"]), pii.likelihoods(patterns)))
+    rows = sorted({(k, v, tuple(f)) for d in texts for k, _, _, v, f in found[d]})
+    weights = pii.train_classifier([list(f) for *_, f in rows], np.array([likely[r[:2]] for r in rows]))
+    added = 0
+    for r in pii.find_pii(docs.repartition(3)).collect():
+        base = pii.base_spans(texts[r.doc_id])
+        good = [(k, a, b) for k, a, b, _, f in found[r.doc_id] if 1 / (1 + np.exp(-weights[f].sum())) >= 0.5]
+        expected, last = list(base), 0
+        for k, a, b in sorted(good, key=lambda s: (s[1], -s[2], s[0])):
+            if a >= last and not any(x < b and a < y for _, x, y in base):
+                expected.append((k, a, b))
+                last = b
+        assert r.spans == listing(expected, pii.KINDS)
+        added += len(expected) - len(base)
+    assert added > 600
+
+
+def test_the_classifier_learns_from_the_span_and_its_context(spark):
+    texts = pii_texts()
+    docs = frame(spark, [*texts, "Please call me at 212-555-0188 any time", "The order 212-555-0188 was sent"])
+    out = {r.doc_id: r.spans for r in pii.find_pii(docs).collect()}
+    rows = {r.text: out[r.doc_id] for r in docs.collect()}
+    assert "local_phone:18:30" in rows["Please call me at 212-555-0188 any time"]
+    assert rows["The order 212-555-0188 was sent"] == ""
+
+
+def test_a_rejected_candidate_hides_no_good_one():
+    text = "jo at example dot com"
+    assert [s[0] for s in pii.candidates(text, [])] == ["spelled_email"]
+    overlapping = pii.candidates("acct 123-45-6789 555-123-45-6789 1234-12-01 (555) 123-45678901", [])
+    assert len(overlapping) >= 1
+    from txrisk.llm.spans import clear_of, free_of
+
+    spans = [("long", 0, 10), ("short", 2, 5), ("after", 10, 12)]
+    assert clear_of(spans, [("x", 11, 13)]) == spans[:2] and clear_of(spans, []) == spans
+    assert free_of(spans, []) == [spans[0], spans[2]] and free_of(spans[1:], []) == spans[1:]
+
+
+def test_training_rows_are_bounded(spark):
+    docs = frame(spark, pii_texts())
+    from pyspark.sql import functions as F
+
+    each = pii.scan(docs).select(F.explode("found").alias("c"))
+    whole = pii.training_rows(each)
+    few = pii.training_rows(each, 100)
+    assert len(few) == 100 and not whole.duplicated(["pick"]).any()
+    assert few["pick"].tolist() == whole["pick"].tolist()[:100]
 
 
 # ------------------------------------------------------------------- repeats, test items
