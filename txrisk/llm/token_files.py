@@ -31,6 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -120,14 +121,15 @@ def read_blocks(content: bytes) -> Iterator[tuple[int, int, list, np.ndarray, np
 
 
 def encode_texts(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """Of each row its doc_id, ids with the end id (16 or 32 bits each), how many ids and
-    characters, and what orders rows of one doc_id: a hash of the ids and, for equal rows,
+    """Of each row its doc_id, ids with the end id (16 or 32 bits each, compressed), how many
+    ids and characters, and what orders rows of one doc_id: a hash of the ids and, for equal rows,
     which nothing else tells apart, where they lay."""
 
     def start():
         from pyspark import TaskContext
 
         own, at = encoder(vocabulary), TaskContext.get().partitionId() << 33
+        compress = zstandard.ZstdCompressor(level=1).compress
 
         def work(some: dict) -> dict:
             nonlocal at
@@ -140,7 +142,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
                 "place": list(range(at - len(ids), at)),
                 "chars": list(map(len, some["text"])),
                 "n": list(map(len, ids)),
-                "ids": raw,
+                "ids": list(map(compress, raw)),
             }
 
         return work
@@ -173,6 +175,7 @@ def write_token_files(
 
         part, before, held, names, size = TaskContext.get().partitionId(), 0, [], [], 0
         schema = pa.schema({"part": pa.int32(), "block": pa.binary()})
+        decompress = zstandard.ZstdDecompressor().decompress
 
         def block():
             raw = write_block(part, before, names, held)
@@ -182,6 +185,7 @@ def write_token_files(
             for a in range(0, batch.num_rows, tables.SLICE_ROWS):
                 some = batch.slice(a, tables.SLICE_ROWS).to_pydict()
                 for name, n, raw in zip(some["doc_id"], some["n"], some["ids"], strict=True):
+                    raw = decompress(raw)
                     names.append(name)
                     held.append(np.frombuffer(raw, f"<u{len(raw) // n}"))
                     size += n
