@@ -78,7 +78,8 @@ def test_stages_take_odd_documents(spark, sf_dir):
         assert stage(spark, empty, sf_dir).count() == 0, name
     for _, stage in corpus_pipeline.STAGES[1:-1]:
         docs = stage(spark, docs, sf_dir)
+    # of the repeated row one stays
     assert sorted(map(str, docs.collect())) == sorted(
-        map(str, spark.createDataFrame([(None, None, "a"), (1, "", "b"), (1, "", "b"), (2**60 + 1, "[SECRET]'", None)], docs.schema).collect())
+        map(str, spark.createDataFrame([(None, None, "a"), (1, "", "b"), (2**60 + 1, "[SECRET]'", None)], docs.schema).collect())
     )
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() > 0
