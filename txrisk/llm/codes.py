@@ -58,7 +58,19 @@ def word_hashes(text: str, lower: bool = False, family: int = 0) -> np.ndarray:
     """A hash of each word of ``words_of``, in order, by family. Every eight bytes are
     scrambled with their place in the word, and the sum with the word's length, so words
     that exchange parts get other hashes. ``lower``: A-Z count as a-z."""
-    data = text.encode() + bytes(8)
+    return _word_hashes(text.encode(), lower, family)[0]
+
+
+def word_hashes_of(texts: list[str], lower: bool = False, family: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes`` of several texts, one behind the other, and the text each belongs to."""
+    data = [t.encode() for t in texts]
+    hashes, starts = _word_hashes(b" ".join(data), lower, family)
+    sizes = np.fromiter(map(len, data), np.int64, len(data)) + 1
+    return hashes, np.searchsorted(np.cumsum(sizes) - sizes, starts, side="right") - 1
+
+
+def _word_hashes(data: bytes, lower: bool, family: int) -> tuple[np.ndarray, np.ndarray]:
+    data += bytes(8)
     if lower:
         data = data.lower()  # of bytes: A-Z only
     blank = _SPACE[np.frombuffer(data, np.uint8)]
@@ -72,7 +84,7 @@ def word_hashes(text: str, lower: bool = False, family: int = 0) -> np.ndarray:
     if len(starts) and starts[-1] >= len(data) - 8:
         starts, ends = starts[:-1], ends[:-1]
     if not len(starts):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), starts
     sizes = ends - starts
     pieces = (sizes + 7) >> 3
     first = np.cumsum(pieces) - pieces
@@ -83,7 +95,7 @@ def word_hashes(text: str, lower: bool = False, family: int = 0) -> np.ndarray:
     eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))[at] << cut.astype(np.uint64)
     place = place.astype(np.uint64) * np.uint64(BYTE_BASE) + np.uint64(SEEDS[family])
     sums = np.add.reduceat(mix(eight + place), first, dtype=np.uint64)
-    return mix(sums + sizes.astype(np.uint64) * np.uint64(BASES[family]))
+    return mix(sums + sizes.astype(np.uint64) * np.uint64(BASES[family])), starts
 
 
 def window_hashes(hashes: np.ndarray, length: int, family: int = 0) -> np.ndarray:

@@ -20,8 +20,9 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """``df``, written and read again, with the shuffle files it was made from let go: Spark
     drops those of results that nothing refers to, once the driver has collected garbage."""
     out = materialize(df, name)
+    del df
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    out.sparkSession.sparkContext._jvm.System.gc()
     return out
 
 
