@@ -3,6 +3,7 @@ they cut their work into."""
 
 import gc
 import math
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -22,7 +23,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     out = materialize(df, name)
     del df
     gc.collect()
-    out.sparkSession.sparkContext._jvm.System.gc()
+    context = out.sparkSession.sparkContext
+    # a thread of Python's tells the JVM what was let go, within a second or so
+    queue = getattr(context._gateway._gateway_client, "finalizer_deque", None)
+    for _ in range(30):
+        if not queue:
+            break
+        time.sleep(0.1)
+    time.sleep(0.1)
+    context._jvm.System.gc()
     return out
 
 
