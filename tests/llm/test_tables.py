@@ -205,6 +205,38 @@ def test_long_texts_that_are_alike_but_not_linked(spark, monkeypatch, size):
     assert 1 < len({c for _, c in expected.values()}) < 40
 
 
+def test_all_documents_count_for_frequent_shingles(spark):
+    # 15,000 passages of four documents each: a sample of the 60,000 documents misses most
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "concat('a passage of four ', id div 4) AS text")
+    found = near_duplicates.frequent_shingles(docs)
+    passages = [signatures.shingles(f"a passage of four {i}") for i in range(15_000)]
+    assert len(found) > 14_900 and np.isin(found, np.concatenate(passages)).all()
+    assert (np.diff(found.view(np.int64).astype(object)) != 0).all()
+
+
+def test_sets_are_made_of_the_documents_in_pairs_only(spark):
+    texts = [f"words that stand for document {i % 7}" for i in range(40)]
+    rows = [*enumerate(texts), (3, texts[3]), (4, "another text of document four"), (4, None)]
+    docs = near_duplicates.tables.texts(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    pairs = spark.createDataFrame([(3, 4), (4, 30)], "a bigint, b bigint")
+    out = near_duplicates.sets_of_pairs(pairs, docs).collect()
+    got = Counter((r.doc_id, tuple(near_duplicates.C.unpack_sorted(r["items"]).tolist())) for r in out)
+    ends = [(3, texts[3]), (4, texts[4]), (4, rows[-2][1]), (4, ""), (30, texts[30])]
+    assert got == Counter((d, tuple(signatures.shingles(t).tolist())) for d, t in ends)
+    assert "items" not in near_duplicates.HELD  # the others' sets are not kept
+
+
+def test_fine_sketches_differ_no_more_than_sets():
+    pick = np.random.default_rng(3)
+    for size in [*range(120, 136), *range(1020, 1030)] * 4:  # the number of cells doubles at 128, 1024
+        b = np.unique(pick.integers(0, 2**63, size, dtype=np.uint64))
+        a = b[int(pick.integers(0, 6)) :]
+        one, other = map(near_duplicates.fine_sketch, (a, b))
+        cells = near_duplicates.fine_cells([one, other], 4 * min(len(one), len(other)))
+        apart = np.abs(cells[0].astype(int) - cells[1]).sum()
+        assert apart <= len(b) - len(a) and near_duplicates.fine_apart(one, other) == apart
+
+
 def exchanged(n=10):
     """The Thue-Morse word of 2^n letters, and the same with letters exchanged."""
     swap = str.maketrans("ab", "ba")

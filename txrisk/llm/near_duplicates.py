@@ -21,6 +21,7 @@ them on).
 """
 
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ from txrisk.llm import signatures as S
 from txrisk.llm import tables
 from txrisk.sources.stages import materialize
 
-SAMPLE_DOCS, FREQUENT_IN, FREQUENT_MOST = 20_000, 4, 500_000
+STRETCH, FREQUENT_IN, FREQUENT_MOST = 4_000_000, 4, 500_000
 CELLS = 128
 BLOCK = 1024
 BUCKET_ROWS, CELL_ROWS, AT_ONCE = 20_000, 50_000, 500
@@ -55,21 +56,48 @@ def classes(docs: DataFrame) -> DataFrame:
     return tables.map_slices(docs, lambda: rows, "doc_id bigint, grp bigint, digest binary")
 
 
+def text_runs(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Where runs of texts begin and end whose sets are made together."""
+    first = chars = 0
+    for i, text in enumerate(texts):
+        if i > first and chars + len(text) > CHARS_AT_ONCE:
+            yield first, i
+            first, chars = i, 0
+        chars += len(text)
+    if len(texts) > first:
+        yield first, len(texts)
+
+
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
-    """Shingles of many documents, by a sample of about ``SAMPLE_DOCS``, the most frequent
-    ``FREQUENT_MOST`` at most. Any list gives the same links; this one keeps passages that
-    many documents share from making them all look alike."""
-    share = max(1, docs.count() // SAMPLE_DOCS)
-    some = docs.filter(F.pmod(F.xxhash64("text", "doc_id"), F.lit(share)) == 0)
+    """Shingles of many documents, ascending: all documents are counted, in stretches of
+    about ``STRETCH`` shingles as they lie, and those that ``FREQUENT_IN`` documents of a
+    stretch hold are frequent; of more than ``FREQUENT_MOST``, those most often held. Any list
+    gives the same links; this one keeps passages that many documents share from making them
+    all look alike."""
+
+    def often(parts: list[np.ndarray]) -> pd.DataFrame:
+        items = np.sort(np.concatenate(parts))
+        starts = np.flatnonzero(np.r_[True, items[1:] != items[:-1]])
+        held = np.diff(starts, append=len(items))
+        most = held >= FREQUENT_IN
+        return pd.DataFrame({"shingle": items[starts[most]].view(np.int64), "held": held[most]})
 
     def rows(batches):
+        parts, size = [], 0
         for batch in batches:
-            for text in batch["text"]:
-                yield pd.DataFrame({"shingle": S.shingles(text).view(np.int64)})
-
-    counted = tables.spread(some).select("text").mapInPandas(rows, "shingle bigint")
-    often = counted.groupBy("shingle").count().filter(F.col("count") >= FREQUENT_IN)
-    top = often.orderBy(F.col("count").desc(), "shingle").limit(FREQUENT_MOST)
+            texts = batch["text"].tolist()
+            for a, z in text_runs(texts):
+                parts.append(S.shingle_sets(texts[a:z])[0])
+                size += len(parts[-1])
+                if size >= STRETCH:
+                    yield often(parts)
+                    parts, size = [], 0
+        if size:
+            yield often(parts)
+
+    counted = tables.spread(docs).select("text").mapInPandas(rows, "shingle bigint, held bigint")
+    summed = counted.groupBy("shingle").agg(F.sum("held").alias("held"))
+    top = summed.orderBy(F.col("held").desc(), "shingle").limit(FREQUENT_MOST)
     found = top.select("shingle").toPandas()["shingle"].to_numpy(np.int64)
     return np.sort(found.view(np.uint64))
 
@@ -89,12 +117,12 @@ def _sketches(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint8).reshape(-1, CELLS)
 
 
-HELD = "doc_id bigint, digest binary, n bigint, sketch binary, items binary, shared binary"
+HELD = "doc_id bigint, digest binary, n bigint, sketch binary, fine binary, shared binary"
 
 
 def candidates(docs: DataFrame, reps: DataFrame, layout: tuple, frequent) -> DataFrame:
-    """Of each representative: its size and, if it shares a signature, its sketch, its set and
-    the signatures it shares. ``docs`` come with their groups."""
+    """Of each representative: its size and, if it shares a signature, its sketches and the
+    signatures it shares. ``docs`` come with their groups."""
     _, buckets, bits = layout
     spare = np.uint64(64 - bits)
     held = docs.sparkSession.sparkContext.broadcast(frequent)
@@ -105,7 +133,7 @@ def candidates(docs: DataFrame, reps: DataFrame, layout: tuple, frequent) -> Dat
         wanted, rows = defaultdict(set), Counter(texts["doc_id"])
         for key in ids:
             wanted[int(key[16:])].add(key[:16])
-        some, chars = [], 0
+        some = []
         for name, text in zip(texts["doc_id"], texts["text"], strict=True):
             own = wanted.get(name)
             if not own:
@@ -113,17 +141,10 @@ def candidates(docs: DataFrame, reps: DataFrame, layout: tuple, frequent) -> Dat
             digest = digest_of(text) if rows[name] > 1 else min(own)
             if digest in own:
                 own.discard(digest)
-                if some and chars + len(text) > CHARS_AT_ONCE:
-                    yield sets_of(some)
-                    some, chars = [], 0
                 some.append((int(name), digest, text))
-                chars += len(text)
-        if some:
-            yield sets_of(some)
-
-    def sets_of(some):
-        names, digests, texts = zip(*some, strict=True)
-        return names, digests, *S.shingle_sets(texts)
+        for a, z in text_runs([text for _, _, text in some]):
+            names, digests, texts = zip(*some[a:z], strict=True)
+            yield names, digests, *S.shingle_sets(texts)
 
     def tell(key: tuple, texts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(texts):
@@ -149,9 +170,9 @@ def candidates(docs: DataFrame, reps: DataFrame, layout: tuple, frequent) -> Dat
                 own, row = np.unique(codes[order[a:z]]), (b"", b"")
                 if len(own):
                     set_ = items[ends[i] - sizes[i] : ends[i]]
-                    row = (sketch(set_).tobytes(), C.pack_sorted(set_))
+                    row = (sketch(set_).tobytes(), fine_sketch(set_))
                 out.append((names[i], digests[i], int(sizes[i]), *row, C.pack_sorted(own)))
-        return pd.DataFrame(out, columns=["doc_id", "digest", "n", "sketch", "items", "shared"])
+        return pd.DataFrame(out, columns=["doc_id", "digest", "n", "sketch", "fine", "shared"])
 
     # a document with several texts can represent several classes: its id alone is no name
     key = F.concat("digest", F.col("doc_id").cast("string").cast("binary"))
@@ -177,22 +198,41 @@ def shared_rows(full: DataFrame) -> DataFrame:
     return full.select("doc_id", "shared").mapInPandas(rows, "sig bigint, doc_id bigint")
 
 
-def linked_pairs(pairs: DataFrame, held: DataFrame) -> DataFrame:
+def sets_of_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id and items, the sets of the documents in ``pairs`` (a, b), made from their texts
+    anew: few of the documents that share a signature come this far."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    some = tables.spread(docs).join(tables.settle(ids, "ids"), "doc_id", "left_semi")
+
+    def rows(some: dict) -> dict:
+        texts, sets = some.pop("text"), []
+        for a, z in text_runs(texts):
+            items, sizes = S.shingle_sets(texts[a:z])
+            sets += map(C.pack_sorted, np.split(items, np.cumsum(sizes)[:-1]))
+        return {**some, "items": sets}
+
+    made = tables.map_slices(some.select("doc_id", "text"), lambda: rows, "doc_id bigint, items binary")
+    return tables.settle(made.distinct(), "sets")
+
+
+def linked_pairs(pairs: DataFrame, held: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are linked. First sizes and sketches, then whole sets."""
 
-    def with_both(rows, *columns):
+    def with_both(rows, held, *columns):
         for side in ("a", "b"):
             own = [F.col(c).alias(f"{c}_{side}") for c in columns]
             rows = rows.join(held.select(F.col("doc_id").alias(side), *own), side)
         return rows
 
-    near = with_both(pairs, "n", "sketch")
+    near = with_both(pairs, held, "n", "sketch", "fine")
     near = near.filter(4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b"))
 
     def weigh(batches):
         for x in batches:
             sides = (x["n_a"].to_numpy(), _sketches(x["sketch_a"]), x["n_b"].to_numpy())
-            yield x.loc[may_link(*sides, _sketches(x["sketch_b"])), ["a", "b"]]
+            x = x[may_link(*sides, _sketches(x["sketch_b"]))]
+            apart = [fine_apart(p, q) for p, q in zip(x["fine_a"], x["fine_b"], strict=True)]
+            yield x.loc[7 * np.array(apart, np.int64) <= x["n_a"] + x["n_b"], ["a", "b"]]
 
     def compare(batches):
         for x in batches:
@@ -203,11 +243,12 @@ def linked_pairs(pairs: DataFrame, held: DataFrame) -> DataFrame:
             yield x.loc[good, ["a", "b"]]
 
     pair = "a bigint, b bigint"
-    close = tables.settle(near.mapInPandas(weigh, pair), "close")
+    close = tables.settle(near.mapInPandas(weigh, pair).distinct(), "close")
+    sets = sets_of_pairs(close, docs)
     # in turns, so that not all sets lie beside a pair at one time
     turn, found = F.pmod(F.xxhash64("a", "b"), F.lit(TURNS)), None
     for i in range(TURNS):
-        some = with_both(close.filter(turn == i), "items").mapInPandas(compare, pair)
+        some = with_both(close.filter(turn == i), sets, "items").mapInPandas(compare, pair)
         some = tables.settle(some.distinct(), "linked")
         found = some if found is None else found.unionByName(some)
     return found
@@ -253,7 +294,8 @@ CELL = ["fam", "blocks", "low", "high", "part"]
 
 
 def _second_round(groups: DataFrame, labels: DataFrame, held: DataFrame) -> DataFrame:
-    """Pairs (a, b) across components within the groups, if their sketches allow a link.
+    """Pairs (a, b) across components within the groups, if their sketches (in ``held``, with
+    doc_id) allow a link.
 
     Groups that hang together by their components make a cell, so a pair that shares many
     signatures meets in one cell, where it is weighed once. A group beyond ``BLOCK`` members is cut into blocks, each pair of blocks a cell, and a cell
@@ -282,9 +324,9 @@ def _second_round(groups: DataFrame, labels: DataFrame, held: DataFrame) -> Data
     buckets = max(1, rows.count() // BUCKET_ROWS)  # most cells are small: many a bucket
     bucket = F.pmod(F.xxhash64(*CELL), F.lit(buckets)).alias("bucket")
     sets = rows.toDF(*rows.columns).select(*CELL, "own", "doc_id", "label").distinct()
-    sets = sets.join(_fine_sketches(held), "doc_id")
+    sets = sets.join(held, "doc_id")
     members = rows.select(bucket, *CELL, "sig", "doc_id").groupBy("bucket")
-    sets = sets.select(bucket, *CELL, "own", "doc_id", "label", "n", "fine").groupBy("bucket")
+    sets = sets.select(bucket, *CELL, "own", "label", *held.columns).groupBy("bucket")
     return members.cogroup(sets).applyInPandas(_weigh_cells, "a bigint, b bigint").distinct()
 
 
@@ -299,24 +341,22 @@ def fine_sketch(items: np.ndarray) -> bytes:
 
 def fine_cells(sketches: list[bytes], cells: int) -> np.ndarray:
     """Sketches side by side, on ``cells`` cells; on more, those with the same last bits are
-    one, as these bits of a shingle name its cell."""
+    one, as these bits of a shingle name its cell, which then holds up to three, too."""
     out = np.zeros((len(sketches), cells), np.int8)
     sizes = np.fromiter(map(len, sketches), np.int64, len(sketches))
     for size in np.unique(sizes).tolist():
         at = np.flatnonzero(sizes == size)
         packed = np.frombuffer(b"".join(sketches[i] for i in at), np.uint8).reshape(len(at), -1, 1)
         held = (packed >> np.array([0, 2, 4, 6], np.uint8) & np.uint8(3)).astype(np.int8)
-        out[at] = held.reshape(len(at), -1, cells).sum(axis=1, dtype=np.int8)
+        held = held.reshape(len(at), -1, cells).sum(axis=1, dtype=np.int64)
+        out[at] = np.minimum(held, 3)
     return out
 
 
-def _fine_sketches(held: DataFrame) -> DataFrame:
-    def rows(batches):
-        for batch in batches:
-            fine = [fine_sketch(C.unpack_sorted(raw)) for raw in batch["items"]]
-            yield batch[["doc_id", "n"]].assign(fine=fine)
-
-    return held.select("doc_id", "n", "items").mapInPandas(rows, "doc_id bigint, n bigint, fine binary")
+def fine_apart(a: bytes, b: bytes) -> int:
+    """In how many shingles two sets differ at least."""
+    one, other = fine_cells([a, b], 4 * min(len(a), len(b)))
+    return int(np.abs(one - other).sum(dtype=np.int64))
 
 
 def _weigh_cells(members: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
@@ -403,7 +443,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = same.filter("low < high").groupBy("n", "x", "low", "high")
     kept = same.agg(F.min("sig").alias("sig")).select("sig")
     groups = tables.settle(members.join(kept, "sig"), "groups")
-    first = linked_pairs(_first_round(groups), full)
+    first = linked_pairs(_first_round(groups), full, rows)
     if repeated:  # a document links the classes of its texts
         theirs = digests.join(several, "doc_id").filter(F.col("digest") != F.lit(NONE))
         theirs = theirs.select(F.col("doc_id").alias("a"), "digest").join(rep, "digest")
@@ -411,7 +451,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = tables.settle(first, "links")
     labels = tables.settle(components(first), "labels")
     # what the second round links are components of the first
-    second = tables.settle(linked_pairs(_second_round(groups, labels, full), full), "links")
+    second = _second_round(groups, labels, full.select("doc_id", "n", "fine"))
+    second = tables.settle(linked_pairs(second, full, rows), "links")
     renamed = second
     for side in ("a", "b"):
         to = labels.select(F.col("node").alias(side), F.col("label").alias("to"))
