@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from txrisk.llm import decontamination, packing, pii, secrets, substrings, token_files
+from txrisk.llm import decontamination, packing, pii, secrets, substrings, token_files, tokens
 from txrisk.llm.spans import listing
 from txrisk.llm.tokens import encoder, vocabulary_path
 
@@ -462,3 +462,23 @@ def test_decontamination(spark):
     assert {r.doc_id for r in kept.collect()} == {None, BIG, 0, 1, 2, 5}
     assert decontamination.find_contamination(docs, bench.limit(0)).count() == 0
     assert decontamination.decontaminate(docs.limit(0), bench).count() == 0
+
+
+def test_each_word_is_looked_up_once():
+    looked = []
+
+    class Word(str):
+        def __hash__(self):
+            looked.append(self)
+            return str.__hash__(self)
+
+        __eq__ = str.__eq__
+
+    own = tokens.Encoder(tokens.vocabulary_path())
+    words = [Word(w) for w in "one two 3rd one, \x01four two étage".split(" ")]
+    for _ in range(2):
+        looked.clear()
+        ids, lengths = own._word_ids(words)
+        assert len(looked) <= len(words) + 1  # and not once more to find out which are new
+    assert ids.tolist() == [i for w in words for i in own._word_ids([str(w)])[0].tolist()]
+    assert lengths.sum() == len(ids) and len(own.words) == 6

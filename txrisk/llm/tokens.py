@@ -11,6 +11,8 @@ of ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``.
 
 import os
 import re
+from collections import defaultdict
+from itertools import count, islice
 
 import numpy as np
 
@@ -59,7 +61,7 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.words, self.kept = {}, 0
+        self.words, self.kept = defaultdict(count().__next__), 0  # numbers as they come
         self.ids = np.zeros(0, np.uint32)
         self.starts = self.lengths = np.zeros(0, np.int64)
 
@@ -67,16 +69,16 @@ class Encoder:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def _piece(self, piece):
+        return [t.id for t in self.model.tokenize(self._spelled(piece))]
+
+    def _spelled(self, piece):
         if piece.isascii() and piece.isprintable():  # all but the blank stand for themselves
-            spelled = piece.replace(" ", self.blank)
-        else:
-            spelled = piece.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(spelled)]
+            return piece.replace(" ", self.blank)
+        return piece.encode().decode("latin-1").translate(self.letters)
 
     def _word(self, word):
-        """Ids of a word as it stands after a blank, or after a line end if so marked."""
-        if word.isalpha():
-            return self._piece(" " + word)
+        """Ids of a word that is not of letters only, as it stands after a blank, or after a
+        line end if so marked."""
         if word[:1] == GLUED:
             return self._split(word[1:])
         return self._split(word if word == "\n" else " " + word)
@@ -86,25 +88,33 @@ class Encoder:
         return [i for p in _PIECES.findall(text) for i in self._piece(p)]
 
     def _learn(self, words):
-        words = list(words)
-        ids = list(map(self._word, words))
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.array([i for own in ids for i in own], np.uint32)
-        first = len(self.ids) + np.cumsum(lengths) - lengths
-        n = len(self.words)
+        """Ids of words just numbered, behind those of the words before them."""
+        tokenize, blank, flat, ends = self.model.tokenize, self.blank, [], []
+        for word in words:
+            if word.isalpha():  # one piece, with the blank before it
+                spelled = blank + word if word.isascii() else self._spelled(" " + word)
+                flat += [t.id for t in tokenize(spelled)]
+            else:
+                flat += self._word(word)
+            ends.append(len(flat))
+        lengths = np.diff(ends, prepend=0)
         self.kept += sum(map(len, words))
-        self.words.update(zip(words, range(n, n + len(words)), strict=True))
-        self.ids = np.concatenate([self.ids, flat])
-        self.starts = np.concatenate([self.starts, first])
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.array(ends) - lengths])
+        self.ids = np.concatenate([self.ids, np.array(flat, np.uint32)])
         self.lengths = np.concatenate([self.lengths, lengths])
 
     def _word_ids(self, words):
         """Ids of the words in a row, and how many each word has."""
         if self.kept > self.memo:
             self._forget()
-        if new := set(words).difference(self.words):
-            self._learn(new)
+        known = len(self.words)
         at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        if new := len(self.words) - known:
+            try:
+                self._learn(list(islice(reversed(self.words), new))[::-1])
+            except BaseException:  # numbered, but without ids
+                self._forget()
+                raise
         lengths = self.lengths[at]
         shift = self.starts[at] - (np.cumsum(lengths) - lengths)
         return self.ids[np.repeat(shift, lengths) + np.arange(lengths.sum())], lengths
