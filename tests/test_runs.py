@@ -184,3 +184,16 @@ def test_a_stream_that_failed_goes_on(spark, raw, tmp_path):
     start().awaitTermination()
     twice = spark.read.parquet(str(whole)).count()
     assert spark.read.parquet(table).count() == cleaned.count() + twice
+
+
+def test_a_batch_of_one_file_is_scored_by_several_tasks(spark, raw, tmp_path):
+    cleaned = stages.materialize(profile_and_clean(raw)[1], "cleaned")
+    model = forest.fit_forest(cleaned, trees=5, key="transaction_id")
+    source, table, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    tagged = cleaned.withColumn("tags", F.create_map(F.lit("a"), "transaction_id"))
+    tagged.coalesce(1).write.parquet(source)
+    rows = streaming.read_stream(spark, source, tagged.schema, files=1)
+    streaming.score_stream(model, rows, table, checkpoint=log).awaitTermination()
+    scored = spark.read.parquet(table)
+    assert len(scored.inputFiles()) == spark.sparkContext.defaultParallelism
+    assert sorted(entry._scores(scored).collect()) == sorted(entry._scores(model.score(cleaned)).collect())

@@ -1,6 +1,7 @@
 """Scoring transactions as they arrive, with a model fitted before."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -25,13 +26,18 @@ def score_stream(
 ) -> StreamingQuery:
     """Score a stream of rows and add them to the Parquet table at ``path``.
 
-    Scoring is a map, so a batch is scored where it lies and needs no state. ``checkpoint``, a
+    Scoring is a map and needs no state. A batch is dealt to all cores first: it is often one
+    file, of one row group, which a single task would score. Rows go by a hash of theirs, which
+    a task that runs again repeats. ``checkpoint``, a
     shared folder of the query's own, holds which rows were read and which files were
     written: a query that starts again there goes on where the last one ended, and the table
     has each row once. With ``every`` (as "1 minute") the query goes on until it is stopped;
     without, it ends when all rows that are there have been scored.
     """
-    writer = model.score(rows).writeStream.format("parquet").outputMode("append")
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    told = [c for c, kind in rows.dtypes if "map<" not in kind]  # a map has no hash
+    dealt = rows.repartition(cores, F.xxhash64(*told))
+    writer = model.score(dealt).writeStream.format("parquet").outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start(path)
